@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no streaming workload (no incremental sources, watermarks,
+windows over event time or state), so nothing is built here.  All daybook
+operators are plain DataFrame transformations; the same functions apply to a
+streaming DataFrame inside ``foreachBatch`` should a user need it.
+"""
