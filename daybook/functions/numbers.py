@@ -56,15 +56,24 @@ def to_bigint(c) -> Column:
     return _c(c).cast("bigint")
 
 
-def round_half_even(c, places: int = 2) -> Column:
+def round_half_even(c, places: int = 2, snap: int | None = None) -> Column:
     """numpy-style rounding: scale, round half to even on the binary value, unscale.
 
     ``round``/``bround`` on doubles go through the decimal of the printed
     value and differ from numpy at ties; ``rint`` works on the scaled double
     itself, which is what numpy does.
+
+    ``snap``: for computed means, first round the scaled value to ``snap``
+    decimals.  A mean that is mathematically a tie (``x.xx5``) comes out a
+    last bit above or below it depending on summation order, which changes
+    from run to run in a distributed aggregate; snapping removes that noise so
+    the rounded value is reproducible (ties then go to even).
     """
     scale = float(10 ** places)
-    return F.rint(_c(c) * F.lit(scale)) / F.lit(scale)
+    scaled = _c(c) * F.lit(scale)
+    if snap is not None:
+        scaled = F.round(scaled, snap)
+    return F.rint(scaled) / F.lit(scale)
 
 
 def sum0(c) -> Column:

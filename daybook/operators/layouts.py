@@ -48,7 +48,7 @@ def drop_empty_positions(long_df: DataFrame, doc_keys: Sequence[str], pos_col: s
 
 
 def compact_cells(rows: DataFrame, doc_keys: Sequence[str], cells_col: str = "cells") -> DataFrame:
-    """P10 on the array form: remove cell positions that are null (or blank) in
+    """P10 on the array form: remove cell positions that are null in
     every row of the document, shifting later cells left (as dropping all-empty
     columns of an extracted table does).
 
@@ -58,7 +58,7 @@ def compact_cells(rows: DataFrame, doc_keys: Sequence[str], cells_col: str = "ce
     """
     keys = list(doc_keys)
     exploded = rows.select(*keys, F.posexplode_outer(cells_col).alias("_pos", "_cell"))
-    non_empty = (exploded.where(F.col("_cell").isNotNull() & (F.trim("_cell") != ""))
+    non_empty = (exploded.where(F.col("_cell").isNotNull())
                  .groupBy(*keys).agg(F.collect_set("_pos").alias("_keep")))
     joined = rows.join(non_empty, keys, "left")
     kept = F.filter(F.col(cells_col),
@@ -188,3 +188,134 @@ def normalize_rows(rows: DataFrame, layouts: DataFrame, measures: Sequence[str],
         out.append(F.when(src_idx > 0, derived).otherwise(plain).alias(m))
         reject = reject + F.when(grouped_digits_reject(raw(m)), 1).otherwise(0)
     return j.select(*keep, "region", *out, reject.alias("rejects"))
+
+
+# --------------------------------------------------------------------------- dispatch rules
+
+def position_case(col: Column, rules: Sequence[tuple], default=None) -> Column:
+    """Compile ordered ``(condition, value)`` rules on an integer column into
+    one ``CASE`` expression; the first matching rule wins.
+
+    A condition is a tuple of alternatives; each alternative is an ``int``
+    (equality), a ``(lo, hi)`` pair (inclusive range; ``None`` = open end).
+    """
+    out = None
+    for cond, value in rules:
+        test = None
+        for alt in cond:
+            if isinstance(alt, tuple):
+                lo, hi = alt
+                t = F.lit(True)
+                if lo is not None:
+                    t = t & (col >= lo)
+                if hi is not None:
+                    t = t & (col <= hi)
+            else:
+                t = col == alt
+            test = t if test is None else (test | t)
+        out = F.when(test, F.lit(value)) if out is None else out.when(test, F.lit(value))
+    if out is None:
+        return F.lit(default)
+    return out.otherwise(F.lit(default))
+
+
+@dataclass(frozen=True)
+class TrimRules:
+    """Which rows of a document form its body.
+
+    ``single_table_skip``  rows skipped when a document has only one table.
+    ``body_table``         ordered rules -> table index of the body (default 1).
+    ``skip``               ordered rules -> rows to skip from the top.
+    ``anchor``             ordered rules -> cell index of the anchor text; the
+                           body starts at the last row whose cell equals
+                           ``anchor_text`` (all rows when there is none).
+    ``default_skip``       rows skipped when no rule matches.
+    """
+
+    single_table_skip: int = 5
+    body_table: tuple = ()
+    default_body_table: int = 1
+    skip: tuple = ()
+    anchor: tuple = ()
+    anchor_text: str = ""
+    default_skip: int = 1
+
+
+def trim_documents(cells: DataFrame, trim: TrimRules, doc_col: str = "doc_index") -> DataFrame:
+    """Pick each document's body table and rows.
+
+    Adds ``rel_row`` (0-based row number inside the body).  Per-document
+    facts (table count, anchor row) are grouped aggregates joined back.
+    """
+    doc = F.col(doc_col)
+    n_tables = cells.groupBy(doc_col).agg(F.countDistinct("table_index").alias("_n_tables"))
+    c = cells.join(n_tables, doc_col, "left")
+    single = F.col("_n_tables") == 1
+    body_table = position_case(doc, trim.body_table, trim.default_body_table)
+    c = c.where(F.when(single, F.col("table_index") == 0)
+                .otherwise(F.col("table_index") == body_table))
+    c = c.withColumn("_row", F.when(single, F.col("row_index") - trim.single_table_skip)
+                     .otherwise(F.col("row_index"))).where(F.col("_row") >= 0)
+    skip = position_case(doc, trim.skip, None).cast("int")
+    anchor_cell = position_case(doc, trim.anchor, None).cast("int")
+    is_anchor = anchor_cell.isNotNull() & (
+        F.try_element_at(F.col("cells"), anchor_cell + 1) == F.lit(trim.anchor_text))
+    anchors = (c.where(F.coalesce(is_anchor, F.lit(False))).groupBy(doc_col)
+               .agg(F.max("_row").alias("_anchor_row")))
+    c = c.join(anchors, doc_col, "left")
+    start = (F.when(skip.isNotNull(), skip)
+             .when(anchor_cell.isNotNull(), F.coalesce(F.col("_anchor_row"), F.lit(0)))
+             .otherwise(F.lit(trim.default_skip)))
+    c = c.withColumn("_start", start).where(F.col("_row") >= F.col("_start"))
+    return (c.withColumn("rel_row", F.col("_row") - F.col("_start"))
+            .drop("_n_tables", "_row", "_anchor_row", "_start"))
+
+
+def apply_row_patches(rows: DataFrame, layouts: Sequence[Layout], doc_col: str = "doc_index",
+                      layout_col: str = "layout", cells_col: str = "cells") -> DataFrame:
+    """Per-layout positional row copies and drops inside a document.
+
+    A copy ``(dst, src)`` gives row ``dst`` the cells of row ``src`` after the
+    region cell; a drop removes a body row.  Only layouts that declare
+    patches pay for the lookup (a join of the few source rows).
+    """
+    patched = [lay for lay in layouts if lay.row_copies or lay.row_drops]
+    out = rows
+    for lay in patched:
+        in_layout = F.col(layout_col) == lay.name
+        for dst, src in lay.row_copies:
+            src_rows = (out.where(in_layout & (F.col("rel_row") == src))
+                        .select(F.col(doc_col).alias("_doc"), F.col(cells_col).alias("_src_cells")))
+            out = out.join(src_rows, (F.col(doc_col) == F.col("_doc"))
+                           & in_layout & (F.col("rel_row") == dst), "left")
+            head = F.slice(F.col(cells_col), 1, lay.region_cell + 1)
+            tail = F.slice(F.col("_src_cells"), lay.region_cell + 2, 1 << 20)
+            out = out.withColumn(cells_col, F.when(F.col("_src_cells").isNotNull(),
+                                                   F.concat(head, tail))
+                                 .otherwise(F.col(cells_col))).drop("_doc", "_src_cells")
+        if lay.row_drops:
+            out = out.where(~(in_layout & F.col("rel_row").isin(*lay.row_drops)))
+    return out
+
+
+def normalize_reports(cells: DataFrame, layouts: Sequence[Layout], dispatch: Sequence[tuple],
+                      trim: TrimRules, measures: Sequence[str], header_marker: str | None = None,
+                      doc_col: str = "doc_index") -> DataFrame:
+    """Extracted report cells -> one row per report row with cleaned measures.
+
+    ``dispatch``: ordered ``(condition, layout name)`` rules on the document
+    position.  Steps: trim (body table, skipped rows, anchor), drop columns
+    empty in the whole document, row patches, header-row removal (P11), then
+    the layout's cell groups.  Output: ``day`` (from the file name, S7),
+    ``doc_index``, ``rel_row``, ``region``, measures, ``rejects``.
+    """
+    spark = cells.sparkSession
+    body = trim_documents(cells, trim, doc_col)
+    body = compact_cells(body, [doc_col])
+    body = body.withColumn("layout", position_case(F.col(doc_col), dispatch, None))
+    body = apply_row_patches(body, layouts, doc_col)
+    if header_marker is not None:
+        body = body.where(~F.coalesce(F.array_contains("cells", header_marker), F.lit(False)))
+    body = body.withColumn("day", F.try_to_date(F.substring("file_name", 1, 10), "yyyy-MM-dd"))
+    return normalize_rows(body, layout_table(spark, layouts), measures,
+                          keep=["day", doc_col, "rel_row"])

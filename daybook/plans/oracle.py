@@ -299,3 +299,216 @@ ORACLE: dict[str, str] = {
         FROM t
     """,
 }
+
+
+# --------------------------------------------------------------------------- stages T1-T9
+
+_DOSES = ["dose_1", "dose_2", "15_18_years_dose_1", "15_18_years_dose_2",
+          "12_14_years_dose_1", "12_14_years_dose_2", "precaution_dose", "total_doses"]
+_Q_DOSES = ", ".join(f'"{d}"' for d in _DOSES)
+
+_T1 = """
+    t1_pc AS (
+        SELECT o_custkey, CAST(o_orderdate AS DATE) AS day,
+               CAST(sum(floor(o_totalprice)) AS BIGINT) AS confirmed,
+               count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS cured,
+               count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS death
+        FROM orders GROUP BY 1, 2),
+    t1_cases AS (
+        SELECT p.day, c.c_nationkey, sum(p.confirmed) AS confirmed, sum(p.cured) AS cured,
+               sum(p.death) AS death
+        FROM t1_pc p JOIN customer c ON p.o_custkey = c.c_custkey GROUP BY 1, 2),
+    t1_codes AS (
+        SELECT substr(lower('IN-N' || CAST(n_nationkey AS VARCHAR)), 4) AS code,
+               max(n_name) AS state_name
+        FROM nation GROUP BY 1),
+    t1 AS (
+        SELECT x.report_time, x.state, x.cured, x.death, x.confirmed, k.state_name
+        FROM (SELECT day AS report_time,
+                     CASE WHEN c_nationkey = 24 THEN 'n4'
+                          ELSE 'n' || CAST(c_nationkey AS VARCHAR) END AS state,
+                     CAST(cured AS BIGINT) AS cured, CAST(death AS BIGINT) AS death,
+                     CAST(confirmed AS BIGINT) AS confirmed
+              FROM t1_cases) x
+        LEFT JOIN t1_codes k ON x.state = k.code)
+"""
+
+_ROWS36 = """
+    r36_li AS (
+        SELECT CAST(l.l_shipdate AS DATE) AS day,
+               CAST(strftime(l.l_shipdate, '%Y%m%d') AS INTEGER) AS doc_index,
+               l.l_linenumber AS rel_row, year(l.l_shipdate) AS yr,
+               CASE WHEN n.n_nationkey = 24 THEN n.n_name || '*' ELSE n.n_name END AS region,
+               CAST(l.l_quantity AS BIGINT) AS d1, CAST(floor(l.l_extendedprice) AS BIGINT) AS d2,
+               CAST(round(l.l_discount * 100) AS BIGINT) AS t1,
+               CAST(l.l_linenumber AS BIGINT) AS pa, CAST(round(l.l_tax * 100) AS BIGINT) AS pb
+        FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+        JOIN nation n ON s.s_nationkey = n.n_nationkey),
+    r36 AS (
+        SELECT day, doc_index, rel_row, region,
+               d1 AS dose_1, d2 AS dose_2,
+               CASE WHEN yr <= 1994 THEN 0 ELSE t1 END AS "15_18_years_dose_1",
+               CAST(0 AS BIGINT) AS "15_18_years_dose_2",
+               CAST(0 AS BIGINT) AS "12_14_years_dose_1",
+               CAST(0 AS BIGINT) AS "12_14_years_dose_2",
+               CASE WHEN yr <= 1996 THEN 0 WHEN yr <= 1998 THEN pa + pb ELSE pa END
+                 AS precaution_dose,
+               CASE WHEN yr <= 1998 THEN d1 + d2 ELSE d1 + d2 + t1 END AS total_doses,
+               0 AS rejects
+        FROM r36_li)
+"""
+
+_T2 = _ROWS36 + """,
+    t2_clean AS (
+        SELECT day,
+               CASE WHEN region = 'NATION_24*' THEN 'NATION_24'
+                    WHEN region = 'NATION_23' THEN 'NATION_22' ELSE region END AS region,
+               """ + _Q_DOSES + """
+        FROM r36),
+    t2 AS (
+        SELECT day, region, """ + ", ".join(
+    f'CAST(coalesce(sum("{d}"), 0) AS BIGINT) AS "{d}"' for d in _DOSES) + """
+        FROM t2_clean WHERE day IS NOT NULL AND region IS NOT NULL GROUP BY 1, 2)
+"""
+
+_T3 = _T1 + "," + _T2 + """,
+    t3 AS (
+        SELECT t1.report_time, t1.state_name, t1.cured, t1.death, t1.confirmed, """ + ", ".join(
+    f't2."{d}"' for d in _DOSES) + """
+        FROM t1 RIGHT JOIN t2 ON t1.report_time = t2.day AND t1.state_name = t2.region)
+"""
+
+_T4 = """
+    t4_r AS (
+        SELECT 'Sector-' || CAST(user_id % 10 AS VARCHAR) || ', Station ' ||
+                 CAST(user_id AS VARCHAR) || ' - SPCB' AS location,
+               'City ' || CAST(user_id % 10 AS VARCHAR) AS city, 'IN' AS country,
+               event_type AS pollutant, value, ts
+        FROM events),
+    t4_p AS (
+        SELECT country, city, location, CAST(ts AS DATE) AS day,
+               avg(CASE WHEN pollutant = 'click' THEN value END) AS click,
+               avg(CASE WHEN pollutant = 'error' THEN value END) AS error,
+               avg(CASE WHEN pollutant = 'purchase' THEN value END) AS purchase,
+               avg(CASE WHEN pollutant = 'signup' THEN value END) AS signup,
+               avg(CASE WHEN pollutant = 'view' THEN value END) AS "view"
+        FROM t4_r WHERE country = 'IN' AND value IS NOT NULL
+        GROUP BY 1, 2, 3, 4),
+    t4 AS (
+        SELECT *,
+               CASE WHEN strpos(location, '-') > 0 AND strpos(location, ',') > 0
+                    THEN trim(string_split(string_split(location, '-')[-2], ',')[-1])
+                    ELSE location END AS city_refined,
+               CASE WHEN strpos(location, '-') > 0 THEN trim(string_split(location, '-')[2])
+                    ELSE trim(location) END AS pollution_board
+        FROM t4_p)
+"""
+
+_T5 = _T4 + """,
+    t5_cities AS (
+        SELECT 'Station ' || CAST(s.s_suppkey AS VARCHAR) AS city, n.n_name AS state
+        FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),
+    t5_mean AS (
+        SELECT t4.day, c.state AS region, avg(click) AS click, avg(error) AS error,
+               avg(purchase) AS purchase, avg(signup) AS signup, avg("view") AS "view"
+        FROM t4 LEFT JOIN t5_cities c ON t4.city_refined = c.city
+        WHERE t4.day IS NOT NULL AND c.state IS NOT NULL GROUP BY 1, 2),
+    t5_fill AS (
+        SELECT day, region, """ + ",\n               ".join(
+    f'first_value("{t}" IGNORE NULLS) OVER (PARTITION BY region ORDER BY day '
+    f'ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS "{t}"' for t in _TYPES) + """
+        FROM t5_mean),
+    t5 AS (
+        SELECT day, region, """ + ", ".join(
+    f'round_even(round("{t}" * 100, 6), 0) / 100 AS "{t}"' for t in _TYPES) + """
+        FROM t5_fill)
+"""
+
+_T6 = _T3 + "," + _T5 + """,
+    t6_j AS (
+        SELECT t3.*, """ + ", ".join(f't5."{t}"' for t in _TYPES) + """
+        FROM t3 LEFT JOIN t5 ON t3.report_time = t5.day AND t3.state_name = t5.region),
+    t6 AS (
+        SELECT report_time, state_name, cured, death, confirmed, """ + _Q_DOSES + """,
+               """ + ", ".join(
+    f'coalesce("{t}", CASE WHEN state_name IS NOT NULL THEN avg("{t}") OVER '
+    f'(PARTITION BY state_name) END) AS "{t}"' for t in _TYPES) + """
+        FROM t6_j)
+"""
+_T6_FINAL = "(SELECT * FROM t6 WHERE report_time IS NOT NULL)"
+
+_SUMS = ["cured", "death", "confirmed"] + _DOSES
+
+_T7 = _T6 + """,
+    t7 AS (
+        SELECT report_time, """ + ", ".join(
+    f'CAST(coalesce(sum("{c}"), 0) AS BIGINT) AS "{c}"' for c in _SUMS) + ", " + ", ".join(
+    f'avg("{t}") AS "{t}"' for t in _TYPES) + """
+        FROM """ + _T6_FINAL + """ x WHERE report_time IS NOT NULL GROUP BY 1)
+"""
+
+_CLOSES = [("close_nifty_50", "o_orderstatus = 'F'"), ("close_nifty_500", "o_orderstatus = 'O'"),
+           ("close_nifty_healthcare", "o_orderstatus = 'P'"),
+           ("close_nifty_IT", "o_orderpriority = '1-URGENT'"),
+           ("close_nifty_pharma", "o_orderpriority = '5-LOW'")]
+
+_T8 = ",\n".join(
+    f"""    t8_{i} AS (SELECT CAST(o_orderdate AS DATE) AS "Date", avg(o_totalprice) AS "{name}"
+               FROM orders WHERE {cond} GROUP BY 1)""" for i, (name, cond) in enumerate(_CLOSES)) \
+    + """,
+    t8 AS (
+        SELECT t8_0."Date", """ + ", ".join(f't8_{i}."{n}"' for i, (n, _) in enumerate(_CLOSES)) \
+    + """
+        FROM t8_0 """ + " ".join(f'LEFT JOIN t8_{i} ON t8_0."Date" = t8_{i}."Date"'
+                                for i in range(1, len(_CLOSES))) + ")\n"
+
+_CLOSE_NAMES = [n for n, _ in _CLOSES]
+
+_T9 = _T7 + "," + _T8 + """,
+    t9 AS (
+        SELECT t7.*, """ + ",\n               ".join(
+    f'last_value(t8."{n}" IGNORE NULLS) OVER (ORDER BY t7.report_time '
+    f'ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS "{n}"' for n in _CLOSE_NAMES) + """
+        FROM t7 LEFT JOIN t8 ON t7.report_time = t8."Date")
+"""
+
+ORACLE.update({
+    "q36_layouts": "WITH " + _ROWS36 + " SELECT * FROM r36",
+    "q40_case_table": "WITH " + _T1 + " SELECT * FROM t1",
+    "q41_vaccination_region": "WITH " + _T2 + " SELECT * FROM t2",
+    "q42_cases_vaccination": "WITH " + _T3 + " SELECT * FROM t3",
+    "q43_station_day": "WITH " + _T4 + " SELECT * FROM t4",
+    "q44_pollution_region": "WITH " + _T5 + " SELECT * FROM t5",
+    "q45_combined_region": "WITH " + _T6 + " SELECT * FROM " + _T6_FINAL + " x",
+    "q46_country_day": "WITH " + _T7 + " SELECT * FROM t7",
+    "q47_closes_day": "WITH " + _T8 + " SELECT * FROM t8",
+    "q48_country_closes": "WITH " + _T9 + " SELECT * FROM t9",
+    "q50_index_quarterly": "WITH " + _T8 + """,
+        l AS (""" + " UNION ALL ".join(
+        f"""SELECT "Date", '{n}' AS variable, "{n}" AS value FROM t8""" for n in _CLOSE_NAMES) + """)
+        SELECT CAST(year("Date") AS VARCHAR) || 'Q' || CAST(quarter("Date") AS VARCHAR) AS quarter,
+               variable, avg(value) AS mean_close
+        FROM l GROUP BY 1, 2""",
+    "q51_measure_series": "WITH " + _T6 + """
+        SELECT report_time,
+               CAST(year(report_time) AS VARCHAR) || 'Q' || CAST(quarter(report_time) AS VARCHAR)
+                 AS quarter, state_name, confirmed, purchase
+        FROM """ + _T6_FINAL + " x",
+    "q52_doses_cases": "WITH " + _T6 + """
+        SELECT report_time, avg(total_doses) AS mean_total_doses, avg(confirmed) AS mean_confirmed
+        FROM """ + _T6_FINAL + " x GROUP BY 1",
+    "q53_deaths_quarterly": "WITH " + _T6 + """
+        SELECT CAST(year(report_time) AS VARCHAR) || 'Q' || CAST(quarter(report_time) AS VARCHAR)
+                 AS quarter, avg(death) AS mean_death
+        FROM """ + _T6_FINAL + " x GROUP BY 1",
+    "q54_region_extremes": "WITH " + _T1 + """,
+        tot AS (SELECT state_name, CAST(coalesce(sum(death), 0) AS BIGINT) AS death FROM t1
+                WHERE state_name IS NOT NULL GROUP BY 1),
+        hi AS (SELECT * FROM tot ORDER BY death DESC, state_name LIMIT 1),
+        lo AS (SELECT * FROM tot ORDER BY death ASC, state_name LIMIT 1)
+        SELECT hi.state_name AS max_state_name, hi.death AS max_death,
+               lo.state_name AS min_state_name, lo.death AS min_death FROM hi, lo""",
+    "q55_region_ranking": "WITH " + _T1 + """
+        SELECT state_name, CAST(coalesce(sum(death), 0) AS BIGINT) AS death FROM t1
+        WHERE state_name IS NOT NULL GROUP BY 1""",
+})

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from daybook.plans.oracle import ORACLE
 from daybook.plans.queries import OPERATOR_QUERIES
+from daybook.plans.shapes import SHAPE_QUERIES
 
-ALL_QUERIES = dict(OPERATOR_QUERIES)
+ALL_QUERIES = dict(sorted({**OPERATOR_QUERIES, **SHAPE_QUERIES}.items()))
 ALL_ORACLE = {k: v for k, v in ORACLE.items() if k in ALL_QUERIES}
 
-FLAGSHIP = "q25_arg_extremes"
+FLAGSHIP = "q48_country_closes"
