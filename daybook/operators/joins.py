@@ -91,3 +91,20 @@ def attach_group_stats(df: DataFrame, keys: Sequence[str], stats: Sequence[Colum
     """
     grouped = df.groupBy(*keys).agg(*stats)
     return df.join(grouped, list(keys), "left")
+
+
+def small_derived_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """A small table derived from big data (per-document statistics, say),
+    ready to be joined back to that data.
+
+    The table is computed once and written as Parquet under the shared
+    checkpoint folder (one job; executor loss cannot lose it and the join
+    does not recompute it), read back, and broadcast if its row count is
+    within ``max_rows``.  Beyond the bound it stays a regular table and Spark
+    plans a shuffled join.
+    """
+    from daybook.session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, "derived")
+    df.write.mode("overwrite").parquet(path)
+    return bounded_broadcast(spark.read.parquet(path), max_rows)

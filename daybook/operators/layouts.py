@@ -5,17 +5,17 @@ Extracted report tables arrive as one long table of cell rows::
     file_name, doc_index, table_index, row_index, cells array<string>
 
 A *layout* says which cells of a row hold which measures.  Instead of one
-code branch per layout, layouts are data: a rule table broadcast-joined on the
-layout id.  Each layout lists *cell groups*; a group is one or more adjacent
-cells whose text is joined with blanks and split on blanks into the group's
-token names (a cell holding ``"1,000 2,000"`` is a group of one cell with two
-names; two cells whose numbers are spread unevenly are one group of two
-cells).  Zipping names with tokens gives a ``name -> text`` map per row; the
-canonical measures are then read from the map and cleaned with F6.
-
-All of it is column expressions over the row plus a small number of grouped
-aggregates per document (anchor row, non-empty cell positions), so documents
-are processed in parallel and a large document is aggregated map-side.
+code branch per layout, layouts are data (:class:`Layout`) turned into a small
+rule table that is broadcast-joined on the layout id.  Each layout lists
+*cell groups*; a group is one or more adjacent cells whose text is joined
+with blanks and split on blanks into the group's token names (a cell holding
+``"1,000 2,000"`` is a group of one cell with two names; two cells whose
+numbers are spread unevenly are one group of two cells).  The canonical
+measures are read from the tokens and cleaned with F6.
+
+All of it is column expressions over the row plus one small aggregate per
+document (table count, anchor row, last non-empty row of each position), so
+documents are processed in parallel and no row is shuffled by document.
 """
 
 from __future__ import annotations
@@ -23,13 +23,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, MapType, StringType,
-                               StructField, StructType)
+from pyspark.sql.types import (BooleanType, IntegerType, MapType, StringType, StructField,
+                               StructType)
 
 from daybook.functions.numbers import grouped_digits, grouped_digits_reject
-from daybook.operators.joins import bounded_broadcast
+from daybook.operators.joins import small_derived_side
 
 
 # --------------------------------------------------------------------------- P10
@@ -47,25 +47,6 @@ def drop_empty_positions(long_df: DataFrame, doc_keys: Sequence[str], pos_col: s
     return long_df.join(kept, keys, "left_semi")
 
 
-def compact_cells(rows: DataFrame, doc_keys: Sequence[str], cells_col: str = "cells") -> DataFrame:
-    """P10 on the array form: remove cell positions that are null in
-    every row of the document, shifting later cells left (as dropping all-empty
-    columns of an extracted table does).
-
-    The non-empty positions of a document are found with one grouped
-    aggregate over exploded cells (bounded by the document's column count)
-    and joined back on the document keys.
-    """
-    keys = list(doc_keys)
-    exploded = rows.select(*keys, F.posexplode_outer(cells_col).alias("_pos", "_cell"))
-    non_empty = (exploded.where(F.col("_cell").isNotNull())
-                 .groupBy(*keys).agg(F.collect_set("_pos").alias("_keep")))
-    joined = rows.join(non_empty, keys, "left")
-    kept = F.filter(F.col(cells_col),
-                    lambda x, i: F.coalesce(F.array_contains(F.col("_keep"), i), F.lit(False)))
-    return joined.withColumn(cells_col, kept).drop("_keep")
-
-
 # --------------------------------------------------------------------------- layouts as data
 
 @dataclass(frozen=True)
@@ -96,98 +77,119 @@ class Layout:
         return list(self.group_cells) if self.group_cells else [1] * len(self.groups)
 
 
-LAYOUT_SCHEMA = StructType([
-    StructField("layout", StringType(), False),
-    StructField("region_cell", IntegerType(), False),
-    StructField("group_start", ArrayType(IntegerType()), False),
-    StructField("group_len", ArrayType(IntegerType()), False),
-    StructField("group_names", ArrayType(ArrayType(StringType())), False),
-    StructField("sum_targets", ArrayType(StringType()), False),
-    StructField("sum_sources", ArrayType(ArrayType(StringType())), False),
-    StructField("drop_null_rows", BooleanType(), False),
-    StructField("strip_region_digits", BooleanType(), False),
-    StructField("renames", MapType(StringType(), StringType()), False),
-])
+_NULL_MARK = "\u0000"
 
 
-def layout_table(spark: SparkSession, layouts: Sequence[Layout]) -> DataFrame:
-    """The rule table: one row per layout, cell groups as arrays."""
-    rows = []
-    for lay in layouts:
-        starts, lens, names = [], [], []
-        pos = lay.region_cell + 1
-        for grp, width in zip(lay.groups, lay.cells_per_group()):
-            if grp is not None:
-                starts.append(pos)
-                lens.append(width)
-                names.append(list(grp))
-            pos += width
-        rows.append((lay.name, lay.region_cell, starts, lens, names,
-                     [t for t, _ in lay.sums], [list(s) for _, s in lay.sums],
-                     lay.drop_null_rows, lay.strip_region_digits, dict(lay.renames)))
-    return spark.createDataFrame(rows, LAYOUT_SCHEMA)
-
-
-def _group_tokens(cells: Column, start: Column, length: Column, names: Column) -> Column:
-    """Tokens of one cell group, padded with nulls to the group's name count.
-
-    A null cell in the group makes every token null (text + blank + null is
-    missing in the reference's pandas, and F6 then reads 0).
-    """
-    part = F.slice(cells, start + 1, length)
-    joined = F.array_join(part, " ")
-    toks = F.split(joined, " ")
-    n = F.size(names)
-    padded = F.slice(F.concat(toks, F.array_repeat(F.lit(None).cast("string"), n)), 1, n)
-    any_null = F.exists(part, lambda x: x.isNull()) | (F.size(part) < length)
-    return F.when(any_null, F.array_repeat(F.lit(None).cast("string"), n)).otherwise(padded)
+@dataclass(frozen=True)
+class _Slot:
+    """Where one measure (or one term of a derived measure) sits in a layout."""
+
+    start: int      # 0-based first cell of the group
+    width: int      # cells joined into the group
+    token: int      # 1-based token inside the group; 0 = the whole cell, not split
+    names: int      # token names of the group
+
+
+def _layout_slots(lay: Layout, measures: Sequence[str]) -> tuple[dict, int]:
+    """Per measure, the list of slots summed into it; and the end of the used cells."""
+    where: dict[str, _Slot] = {}
+    pos = lay.region_cell + 1
+    used_end = pos
+    for grp, width in zip(lay.groups, lay.cells_per_group()):
+        if grp is not None:
+            whole = len(grp) == 1 and width == 1
+            for k, name in enumerate(grp):
+                where[name] = _Slot(pos, width, 0 if whole else k + 1, len(grp))
+            used_end = pos + width
+        pos += width
+    sums = dict(lay.sums)
+    slots = {}
+    for m in measures:
+        sources = sums.get(m, (m,))
+        slots[m] = [where[s] for s in sources if s in where]
+    return slots, used_end
+
+
+_SLOT_FIELDS = ("start", "width", "token", "names")
 
 
-def normalize_rows(rows: DataFrame, layouts: DataFrame, measures: Sequence[str],
+def layout_table(spark, layouts: Sequence[Layout], measures: Sequence[str]) -> tuple[DataFrame, int]:
+    """The rule table: one row per layout with the integers that place every
+    measure term (first cell, cell count, token index, token count), the
+    region cell, and the row-drop and rename rules.
+
+    Built on the driver from the layout list, so its size is the number of
+    layouts (a code-sized bound); returned with the number of term slots of
+    each measure (the most terms any layout sums into it).
+    """
+    plans = [(lay, *_layout_slots(lay, measures)) for lay in layouts]
+    n_slots = [max((len(slots[m]) for _, slots, _ in plans), default=0) for m in measures]
+    fields = [StructField("layout", StringType(), False),
+              StructField("_region_cell", IntegerType(), False),
+              StructField("_strip_digits", BooleanType(), False),
+              StructField("_drop_end", IntegerType(), False),
+              StructField("_renames", MapType(StringType(), StringType()), False)]
+    for i in range(len(measures)):
+        for j in range(n_slots[i]):
+            fields += [StructField(f"_m{i}_{j}_{f}", IntegerType(), False) for f in _SLOT_FIELDS]
+    rows = []
+    for lay, slots, used_end in plans:
+        row = [lay.name, lay.region_cell, lay.strip_region_digits,
+               used_end if lay.drop_null_rows else 0, dict(lay.renames)]
+        for i, m in enumerate(measures):
+            for j in range(n_slots[i]):
+                slot = slots[m][j] if j < len(slots[m]) else _Slot(0, 0, 0, 0)
+                row += [getattr(slot, f) for f in _SLOT_FIELDS]
+        rows.append(tuple(row))
+    return spark.createDataFrame(rows, StructType(fields)), n_slots
+
+
+def normalize_rows(rows: DataFrame, layouts: Sequence[Layout], measures: Sequence[str],
                    layout_col: str = "layout", cells_col: str = "cells",
                    keep: Sequence[str] = ()) -> DataFrame:
     """Apply each row's layout: region text plus cleaned ``measures``.
 
-    ``rows`` must carry ``layout_col`` and ``cells_col``.  Output columns:
-    ``keep``, ``region``, every measure (bigint, F6-cleaned) and
-    ``rejects`` (number of cells whose text was not a number, or that had
-    more tokens than names).
+    The rule table (:func:`layout_table`) is broadcast-joined on the layout
+    id -- its size is the number of layouts, known on the driver -- and every
+    row then runs the same compact expression per measure term: join the
+    term's cells with blanks (null if any is null), split on blanks, take the
+    token, clean it with F6, add the terms.  Expressions do not grow with the
+    number of layouts and stay inside whole-stage codegen.
+
+    Output: ``keep``, ``region``, every measure (bigint) and ``rejects``
+    (measure tokens that were not numbers, plus tokens taken from a group
+    holding more numbers than names).  Rows whose layout is unknown are
+    dropped; layouts with ``drop_null_rows`` drop rows with a null used cell.
     """
-    rules = bounded_broadcast(layouts, 10_000)
-    j = rows.join(rules, layout_col, "inner")
+    rules, n_slots = layout_table(rows.sparkSession, layouts, measures)
+    j = rows.withColumnRenamed(layout_col, "layout").join(F.broadcast(rules), "layout")
     cells = F.col(cells_col)
-    groups = F.arrays_zip(F.col("group_start").alias("s"), F.col("group_len").alias("l"),
-                          F.col("group_names").alias("n"))
-    tokens = F.flatten(F.transform(groups, lambda g: _group_tokens(cells, g["s"], g["l"], g["n"])))
-    names = F.flatten(F.col("group_names"))
-    too_many = F.exists(groups, lambda g: F.size(F.split(F.array_join(
-        F.slice(cells, g["s"] + 1, g["l"]), " "), " ")) > F.size(g["n"]))
-    region_raw = F.try_element_at(cells, F.col("region_cell") + 1)
-    region = F.when(F.col("strip_region_digits"), F.regexp_replace(region_raw, r"\d+", "")) \
-        .otherwise(region_raw)
-    region = F.coalesce(F.try_element_at(F.col("renames"), region), region)
-    used_end = F.aggregate(F.transform(groups, lambda g: g["s"] + g["l"]), F.lit(0),
-                           lambda a, b: F.greatest(a, b))
-    used = F.slice(cells, 1, used_end)
-    has_null = F.exists(F.concat(F.array(region_raw), used), lambda x: x.isNull())
-    j = j.where(~(F.col("drop_null_rows") & has_null))
-    j = j.select(*keep, region.alias("region"), F.map_from_arrays(names, tokens).alias("_m"),
-                 too_many.alias("_too_many"), "sum_targets", "sum_sources")
-
-    def raw(name: str) -> Column:
-        return F.try_element_at(F.col("_m"), F.lit(name))
-
-    out = []
-    reject = F.when(F.col("_too_many"), F.lit(1)).otherwise(F.lit(0))
-    for m in measures:
-        src_idx = F.array_position(F.col("sum_targets"), F.lit(m))
-        sources = F.try_element_at(F.col("sum_sources"), src_idx.cast("int"))
-        derived = F.aggregate(F.transform(sources, lambda s: grouped_digits(
-            F.try_element_at(F.col("_m"), s))), F.lit(0).cast("bigint"), lambda a, b: a + b)
-        plain = grouped_digits(raw(m))
-        out.append(F.when(src_idx > 0, derived).otherwise(plain).alias(m))
-        reject = reject + F.when(grouped_digits_reject(raw(m)), 1).otherwise(0)
-    return j.select(*keep, "region", *out, reject.alias("rejects"))
+
+    measure_cols, rejects = [], F.lit(0)
+    for i, m in enumerate(measures):
+        total = F.lit(0).cast("bigint")
+        for s in range(n_slots[i]):
+            start, width, token, names = (F.col(f"_m{i}_{s}_{f}") for f in _SLOT_FIELDS)
+            joined = F.array_join(F.slice(cells, start + 1, width), " ", _NULL_MARK)
+            complete = (F.size(cells) >= start + width) & (F.instr(joined, _NULL_MARK) == 0)
+            group = F.when(complete, joined)
+            parts = F.split(group, " ")
+            text = F.when(token == 0, group).otherwise(F.try_element_at(parts, token))
+            present = width > 0
+            total = total + F.when(present, grouped_digits(text)).otherwise(F.lit(0))
+            bad = present & (grouped_digits_reject(text)
+                             | ((token > 0) & F.coalesce(F.size(parts) > names, F.lit(False))))
+            rejects = rejects + F.when(bad, 1).otherwise(0)
+        measure_cols.append(total.alias(m))
+
+    region = F.try_element_at(cells, F.col("_region_cell") + 1)
+    region = F.when(F.col("_strip_digits"), F.regexp_replace(region, r"\d+", "")).otherwise(region)
+    region = F.coalesce(F.try_element_at(F.col("_renames"), region), region)
+    used = F.array_join(F.slice(cells, 1, F.col("_drop_end")), " ", _NULL_MARK)
+    drop = (F.col("_drop_end") > 0) & ((F.size(cells) < F.col("_drop_end"))
+                                        | (F.instr(used, _NULL_MARK) > 0))
+    return j.where(~drop).select(*keep, region.alias("region"), *measure_cols,
+                                 rejects.alias("rejects"))
 
 
 # --------------------------------------------------------------------------- dispatch rules
@@ -241,34 +243,63 @@ class TrimRules:
     default_skip: int = 1
 
 
-def trim_documents(cells: DataFrame, trim: TrimRules, doc_col: str = "doc_index") -> DataFrame:
-    """Pick each document's body table and rows.
+def document_bodies(cells: DataFrame, trim: TrimRules, doc_col: str = "doc_index",
+                    max_docs: int = 1_000_000) -> DataFrame:
+    """Pick each document's body (P14, P15, P18) and drop its empty columns (P10).
 
-    Adds ``rel_row`` (0-based row number inside the body).  Per-document
-    facts (table count, anchor row) are grouped aggregates joined back.
+    The body of a document is a suffix of one of its tables, so every
+    per-document fact follows from one aggregate over the exploded cells,
+    keyed by (document, table, cell position):
+
+    * the number of tables of the document,
+    * the last row holding the anchor text in the anchor cell,
+    * the last row where each position is not null -- a position is empty
+      in the body exactly when that row lies before the body's first row.
+
+    The aggregate is tiny (documents x tables x columns); it is computed once,
+    checkpointed and broadcast after a size check, so the cell rows are never
+    shuffled by document, however large one document is.  Adds ``rel_row``
+    (0-based row inside the body); ``cells`` keeps only non-empty positions.
     """
     doc = F.col(doc_col)
-    n_tables = cells.groupBy(doc_col).agg(F.countDistinct("table_index").alias("_n_tables"))
-    c = cells.join(n_tables, doc_col, "left")
+    anchor_cell = position_case(doc, trim.anchor, None).cast("int")
+    exploded = cells.select(doc_col, "table_index", "row_index",
+                            F.posexplode_outer("cells").alias("_pos", "_cell"))
+    is_anchor = (F.col("_pos") == anchor_cell) & (F.col("_cell") == F.lit(trim.anchor_text))
+    single_skip = trim.single_table_skip
+    per_pos = (exploded.groupBy(doc_col, "table_index", "_pos").agg(
+        F.max(F.when(F.col("_cell").isNotNull(), F.col("row_index"))).alias("_last_value"),
+        F.max(F.when(is_anchor, F.col("row_index"))).alias("_anchor_multi"),
+        F.max(F.when(is_anchor & (F.col("row_index") >= single_skip), F.col("row_index")))
+        .alias("_anchor_single")))
+    per_table = per_pos.groupBy(doc_col, "table_index").agg(
+        F.max("_anchor_multi").alias("_anchor_multi"),
+        F.max("_anchor_single").alias("_anchor_single"),
+        F.collect_list(F.struct("_pos", "_last_value")).alias("_positions"))
+    tables_per_doc = per_table.groupBy(doc_col).agg(F.count(F.lit(1)).alias("_n_tables"))
+    t = per_table.join(tables_per_doc, doc_col)
     single = F.col("_n_tables") == 1
     body_table = position_case(doc, trim.body_table, trim.default_body_table)
-    c = c.where(F.when(single, F.col("table_index") == 0)
-                .otherwise(F.col("table_index") == body_table))
-    c = c.withColumn("_row", F.when(single, F.col("row_index") - trim.single_table_skip)
-                     .otherwise(F.col("row_index"))).where(F.col("_row") >= 0)
+    t = t.where(F.when(single, F.lit(True)).otherwise(F.col("table_index") == body_table))
+    offset = F.when(single, F.lit(single_skip)).otherwise(F.lit(0))
+    anchor_row = F.when(single, F.col("_anchor_single") - single_skip) \
+        .otherwise(F.col("_anchor_multi"))
     skip = position_case(doc, trim.skip, None).cast("int")
-    anchor_cell = position_case(doc, trim.anchor, None).cast("int")
-    is_anchor = anchor_cell.isNotNull() & (
-        F.try_element_at(F.col("cells"), anchor_cell + 1) == F.lit(trim.anchor_text))
-    anchors = (c.where(F.coalesce(is_anchor, F.lit(False))).groupBy(doc_col)
-               .agg(F.max("_row").alias("_anchor_row")))
-    c = c.join(anchors, doc_col, "left")
     start = (F.when(skip.isNotNull(), skip)
-             .when(anchor_cell.isNotNull(), F.coalesce(F.col("_anchor_row"), F.lit(0)))
+             .when(anchor_cell.isNotNull(), F.coalesce(anchor_row, F.lit(0)))
              .otherwise(F.lit(trim.default_skip)))
-    c = c.withColumn("_start", start).where(F.col("_row") >= F.col("_start"))
-    return (c.withColumn("rel_row", F.col("_row") - F.col("_start"))
-            .drop("_n_tables", "_row", "_anchor_row", "_start"))
+    t = t.withColumn("_start_raw", start + offset)
+    keep = F.array_sort(F.transform(
+        F.filter("_positions", lambda p: p["_last_value"] >= F.col("_start_raw")),
+        lambda p: p["_pos"]))
+    stats = t.select(doc_col, "table_index", "_start_raw", keep.alias("_keep"))
+    stats = small_derived_side(stats, max_docs)
+    body = (cells.join(stats, [doc_col, "table_index"])
+            .where(F.col("row_index") >= F.col("_start_raw")))
+    kept = F.filter("cells", lambda x, i: F.array_contains(F.col("_keep"), i))
+    return (body.withColumn("cells", kept)
+            .withColumn("rel_row", F.col("row_index") - F.col("_start_raw"))
+            .drop("_start_raw", "_keep"))
 
 
 def apply_row_patches(rows: DataFrame, layouts: Sequence[Layout], doc_col: str = "doc_index",
@@ -309,13 +340,10 @@ def normalize_reports(cells: DataFrame, layouts: Sequence[Layout], dispatch: Seq
     the layout's cell groups.  Output: ``day`` (from the file name, S7),
     ``doc_index``, ``rel_row``, ``region``, measures, ``rejects``.
     """
-    spark = cells.sparkSession
-    body = trim_documents(cells, trim, doc_col)
-    body = compact_cells(body, [doc_col])
+    body = document_bodies(cells, trim, doc_col)
     body = body.withColumn("layout", position_case(F.col(doc_col), dispatch, None))
     body = apply_row_patches(body, layouts, doc_col)
     if header_marker is not None:
         body = body.where(~F.coalesce(F.array_contains("cells", header_marker), F.lit(False)))
     body = body.withColumn("day", F.try_to_date(F.substring("file_name", 1, 10), "yyyy-MM-dd"))
-    return normalize_rows(body, layout_table(spark, layouts), measures,
-                          keep=["day", doc_col, "rel_row"])
+    return normalize_rows(body, layouts, measures, keep=["day", doc_col, "rel_row"])

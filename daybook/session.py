@@ -7,6 +7,7 @@ Everything here is ordinary Spark configuration:
   joins on a hot key (one region or station holding a large share of the rows)
   are split at runtime instead of landing in one task.
 * No web UI.
+* Whole-stage codegen falls back for methods too large for the JIT.
 * A checkpoint folder.  On a cluster it comes from ``spark.checkpoint.dir``
   (a shared file system); only when nothing is configured, as in local tests,
   do we create one of our own.
@@ -29,6 +30,9 @@ DEFAULT_CONF = {
     # Parquet row groups feed vectorized scans; 128 MB splits keep a task's
     # input bounded whatever the table size.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # Generated methods above 8000 bytecodes are never JIT-compiled by the JVM;
+    # fall back to non-fused code for them (wide CASE projections of layouts).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
