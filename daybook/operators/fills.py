@@ -55,12 +55,13 @@ def fill_gaps(df: DataFrame, cols: Sequence[str], order_col: str,
     part = keys + ["_bucket"]
     base = df.withColumn("_bucket", bucket)
 
+    whole = Window.partitionBy(*part).orderBy(order_col) \
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     if direction == FORWARD:
         frame = Window.partitionBy(*part).orderBy(order_col) \
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         local = [F.last(c, ignorenulls=True).over(frame).alias(f"_in_{c}") for c in cols]
-        edge = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order_col))).alias(f"_edge_{c}")
-                for c in cols]
+        edge = [F.last(c, ignorenulls=True).over(whole).alias(f"_edge_{c}") for c in cols]
         carry_frame = Window.partitionBy(*keys).orderBy("_bucket") \
             .rowsBetween(Window.unboundedPreceding, -1)
         carry = [F.last(f"_edge_{c}", ignorenulls=True).over(carry_frame).alias(f"_carry_{c}")
@@ -69,17 +70,20 @@ def fill_gaps(df: DataFrame, cols: Sequence[str], order_col: str,
         frame = Window.partitionBy(*part).orderBy(order_col) \
             .rowsBetween(Window.currentRow, Window.unboundedFollowing)
         local = [F.first(c, ignorenulls=True).over(frame).alias(f"_in_{c}") for c in cols]
-        edge = [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order_col))).alias(f"_edge_{c}")
-                for c in cols]
+        edge = [F.first(c, ignorenulls=True).over(whole).alias(f"_edge_{c}") for c in cols]
         carry_frame = Window.partitionBy(*keys).orderBy("_bucket") \
             .rowsBetween(1, Window.unboundedFollowing)
         carry = [F.first(f"_edge_{c}", ignorenulls=True).over(carry_frame).alias(f"_carry_{c}")
                  for c in cols]
 
-    filled_in_bucket = base.select("*", *local)
-    edges = base.groupBy(*part).agg(*edge)
+    # One exchange and sort of the data by (keys, bucket); the in-bucket fill
+    # and each bucket's edge value come out of the same window operator.  The
+    # per-bucket table is aggregated from that output without another
+    # exchange, carried across buckets, and joined back on (keys, bucket).
+    windowed = base.select("*", *local, *edge)
+    edges = windowed.groupBy(*part).agg(*[F.max(f"_edge_{c}").alias(f"_edge_{c}") for c in cols])
     carried = edges.select(*part, *carry)
-    joined = filled_in_bucket.join(carried, part, "left")
+    joined = windowed.join(carried, part, "left")
     out_cols = []
     for f in df.schema.fields:
         if f.name in cols:
