@@ -53,6 +53,7 @@ def report_cells(spark: SparkSession, sf: str) -> DataFrame:
     j = (li.join(s, F.col("l_suppkey") == F.col("s_suppkey"))
          .join(bounded_broadcast(n), F.col("s_nationkey") == F.col("n_nationkey")))
     fmt = lambda c: F.format_number(c, 0)  # noqa: E731 - grouped digits "12,345"
+    txt = lambda c: c.cast("string")       # noqa: E731 - values below 1,000 print alike
     d1 = F.col("l_quantity").cast("bigint")
     d2 = F.floor("l_extendedprice").cast("bigint")
     t1 = F.round(F.col("l_discount") * 100).cast("bigint")
@@ -64,13 +65,14 @@ def report_cells(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.col("n_name"))
     year = F.year("l_shipdate")
     blank = F.lit(" ")
-    cells = (F.when(year <= 1994, F.array(s_num, region, fmt(d1), fmt(d2), fmt(total)))
-             .when(year <= 1996, F.array(s_num, region, F.concat(fmt(d1), blank, fmt(d2)),
-                                         fmt(t1), fmt(total)))
-             .when(year <= 1998, F.array(s_num, region, fmt(d1), F.concat(fmt(d2), blank, fmt(t1)),
-                                         F.concat(fmt(pa), blank, fmt(pb)), fmt(total)))
-             .otherwise(F.array(s_num, region, F.concat(fmt(d1), blank, fmt(d2)), fmt(t1),
-                                fmt(pa), fmt(total))))
+    # quantity, discount, line number and tax stay below 1,000: plain text
+    cells = (F.when(year <= 1994, F.array(s_num, region, txt(d1), fmt(d2), fmt(total)))
+             .when(year <= 1996, F.array(s_num, region, F.concat(txt(d1), blank, fmt(d2)),
+                                         txt(t1), fmt(total)))
+             .when(year <= 1998, F.array(s_num, region, txt(d1), F.concat(fmt(d2), blank, txt(t1)),
+                                         F.concat(txt(pa), blank, txt(pb)), fmt(total)))
+             .otherwise(F.array(s_num, region, F.concat(txt(d1), blank, fmt(d2)), txt(t1),
+                                txt(pa), fmt(total))))
     return j.select(
         F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit(".pdf")).alias("file_name"),
         F.date_format("l_shipdate", "yyyyMMdd").cast("int").alias("doc_index"),

@@ -183,3 +183,28 @@ def test_file_date_from_name(spark, inputs):
             fh.write("a\n1\n")
     df = readers.with_file_date(spark.read.option("header", True).csv(d))
     assert rows(df, "report_date") == [(D(2021, 4, 2),), (D(2021, 4, 3),)]
+
+
+def test_run_whole_pipeline_from_files(spark, inputs):
+    from daybook.plans.run import run
+    d = inputs["dir"]
+    f = "2020-01-30.pdf"
+    cells = [(f, 420, 0, 0, ["title"]),
+             (f, 420, 1, 0, ["S", "State", "D1", "D2", "a", "b", "c", "d", "e", "f", "Total"]),
+             (f, 420, 1, 1, ["1", "A & N Islands", "1", "2", "0", "0", "0", "0", "3", "4", "10"]),
+             (f, 420, 1, 2, ["2", "Kerala", "1,000", "2,000", "0", "0", "0", "0", "5", "6",
+                             "3,011"])]
+    reports = os.path.join(d, "reports.parquet")
+    spark.createDataFrame(cells, schemas.REPORT_CELLS).write.mode("overwrite").parquet(reports)
+    closes = {k: os.path.join(d, f"{k}.csv") for k in CLOSES}
+    out = os.path.join(d, "out")
+    res = run(spark, os.path.join(d, "cases.json"), os.path.join(d, "codes.csv"), reports,
+              os.path.join(d, "air.csv"), os.path.join(d, "cities.csv"), closes, out)
+    t2 = {r["region"]: r for r in res["vaccination_region"].collect()}
+    assert t2["Kerala"]["dose_1"] == 1000 and t2["Kerala"]["precaution_dose"] == 11
+    assert t2["Andaman and Nicobar Islands"]["total_doses"] == 10
+    assert sorted(os.listdir(out)) == ["cases_vaccination_region", "combined_region",
+                                       "country_closes_day", "country_day", "pollution_region",
+                                       "vaccination_region"]
+    t9 = res["country_closes_day"].collect()
+    assert [r["dose_1"] for r in t9] == [1000]
