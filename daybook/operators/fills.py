@@ -42,15 +42,34 @@ def _default_bucket(df: DataFrame, order_col: str) -> Column:
 
 def fill_gaps(df: DataFrame, cols: Sequence[str], order_col: str,
               keys: Sequence[str] = (), direction: str = FORWARD,
-              bucket: Column | None = None) -> DataFrame:
+              bucket: Column | None = None, method: str = "two_phase") -> DataFrame:
     """Fill nulls of ``cols`` from the previous (forward) or next (backward)
     non-null value in ``order_col`` order, within ``keys``.
 
     ``bucket`` must be non-decreasing in ``order_col`` (default: month).
+    ``method="window"`` uses one window per key instead -- one shuffle, no
+    join -- and is meant for tables whose groups are bounded by their grain
+    (one row per day and region, say); it needs ``keys``, because without
+    them the window would hold the whole table in one partition.
     """
     if direction not in (FORWARD, BACKWARD):
         raise ValueError(direction)
     keys = list(keys)
+    if method == "window":
+        if not keys:
+            raise ValueError("method='window' needs keys; use the two-phase fill")
+        if direction == FORWARD:
+            w = Window.partitionBy(*keys).orderBy(order_col) \
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            fill = lambda c: F.last(c, ignorenulls=True).over(w)
+        else:
+            w = Window.partitionBy(*keys).orderBy(order_col) \
+                .rowsBetween(Window.currentRow, Window.unboundedFollowing)
+            fill = lambda c: F.first(c, ignorenulls=True).over(w)
+        return df.select(*[fill(f.name).alias(f.name) if f.name in cols else F.col(f.name)
+                           for f in df.schema.fields])
+    if method != "two_phase":
+        raise ValueError(method)
     bucket = _default_bucket(df, order_col) if bucket is None else bucket
     part = keys + ["_bucket"]
     base = df.withColumn("_bucket", bucket)
@@ -94,40 +113,50 @@ def fill_gaps(df: DataFrame, cols: Sequence[str], order_col: str,
     return joined.select(*out_cols)
 
 
-def fill_forward(df, cols, order_col, keys=(), bucket=None) -> DataFrame:
+def fill_forward(df, cols, order_col, keys=(), bucket=None, method="two_phase") -> DataFrame:
     """Carry the last seen value forward."""
-    return fill_gaps(df, cols, order_col, keys, FORWARD, bucket)
+    return fill_gaps(df, cols, order_col, keys, FORWARD, bucket, method)
 
 
-def fill_backward(df, cols, order_col, keys=(), bucket=None) -> DataFrame:
+def fill_backward(df, cols, order_col, keys=(), bucket=None, method="two_phase") -> DataFrame:
     """Carry the next seen value backward."""
-    return fill_gaps(df, cols, order_col, keys, BACKWARD, bucket)
+    return fill_gaps(df, cols, order_col, keys, BACKWARD, bucket, method)
 
 
-def fill_both(df, cols, order_col, keys=(), bucket=None) -> DataFrame:
+def fill_both(df, cols, order_col, keys=(), bucket=None, method="two_phase") -> DataFrame:
     """Forward, then backward for what is still missing (the intended D1 behaviour)."""
-    return fill_backward(fill_forward(df, cols, order_col, keys, bucket),
-                         cols, order_col, keys, bucket)
+    return fill_backward(fill_forward(df, cols, order_col, keys, bucket, method),
+                         cols, order_col, keys, bucket, method)
 
 
-def impute_group_mean(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+def impute_group_mean(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
+                      method: str = "join") -> DataFrame:
     """J4 + A4 + F13: replace nulls by the mean of the column within the key.
 
-    Means are a partial hash aggregate joined back on the key (not a window),
-    so a hot key is combined map-side and its join can be split by AQE.
+    ``method="join"`` (default): means are a partial hash aggregate joined
+    back on the key, so a hot key is combined map-side and its join can be
+    split by AQE.  The input is evaluated twice (Spark prunes each branch's
+    columns differently, so the branches rarely share exchanges).
+
+    ``method="window"``: ``avg(c) over (partition by key)`` -- one pass and
+    one shuffle; for tables whose groups are bounded by their grain (one row
+    per day and region).
+
     Rows with a null key get no fill, as in the reference's join.
     """
     keys = list(keys)
-    means = (df.where(_all_not_null(keys)).groupBy(*keys)
-             .agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols]))
+    if method == "window":
+        w = Window.partitionBy(*keys)
+        has_key = F.lit(True)
+        for k in keys:
+            has_key = has_key & F.col(k).isNotNull()
+        return df.select(*[
+            F.coalesce(F.col(f.name), F.when(has_key, F.avg(f.name).over(w))).alias(f.name)
+            if f.name in cols else F.col(f.name) for f in df.schema.fields])
+    if method != "join":
+        raise ValueError(method)
+    means = df.groupBy(*keys).agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols])
     joined = df.join(means, keys, "left")
     return joined.select(*[
         F.coalesce(F.col(f.name), F.col(f"_mean_{f.name}")).alias(f.name) if f.name in cols
         else F.col(f.name) for f in df.schema.fields])
-
-
-def _all_not_null(keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    return cond

@@ -178,12 +178,14 @@ def pollution_by_region(stations: DataFrame, city_regions: DataFrame,
     j = joins.fanout_join(stations, cities, F.col("city_refined") == F.col("_city"))
     region = agg.group_mean(j, ["day", "State"], list(pollutants)) \
         .withColumnRenamed("State", "region")
+    # one row per (day, region): a region's series is bounded by the number
+    # of days, so a plain per-region window is the cheapest correct plan
     if fill == "backward":
-        region = fills.fill_backward(region, list(pollutants), "day", ["region"])
+        region = fills.fill_backward(region, list(pollutants), "day", ["region"], method="window")
     elif fill == "forward":
-        region = fills.fill_forward(region, list(pollutants), "day", ["region"])
+        region = fills.fill_forward(region, list(pollutants), "day", ["region"], method="window")
     elif fill == "both":
-        region = fills.fill_both(region, list(pollutants), "day", ["region"])
+        region = fills.fill_both(region, list(pollutants), "day", ["region"], method="window")
     if places is not None:
         for p in pollutants:
             region = region.withColumn(p, numbers.round_half_even(p, places, snap=6))
@@ -195,13 +197,20 @@ def pollution_by_region(stations: DataFrame, city_regions: DataFrame,
 def combined_region(cases_vacc: DataFrame, pollution: DataFrame,
                     pollutants: Sequence[str] = POLLUTANTS) -> DataFrame:
     """T3 with the day's regional pollution; missing values take the
-    region's mean (J4 as aggregate + join); rows without a day are dropped."""
+    region's mean (J4 as aggregate + join); rows without a day are dropped.
+
+    The drop comes first: a T3 row without a day is a vaccination row no case
+    matched, so its region is null as well and it never contributes to a
+    region's mean.  Dropping it up front gives the mean branch and the detail
+    branch the same plan, so Spark shares their upstream work.
+    """
     p = pollution.withColumnRenamed("day", "_p_day").withColumnRenamed("region", "_p_region")
-    j = cases_vacc.join(p, (F.col("report_time") == F.col("_p_day"))
-                        & (F.col("state_name") == F.col("_p_region")), "left") \
+    dated = filters.drop_nulls(cases_vacc, ["report_time"])
+    j = dated.join(p, (F.col("report_time") == F.col("_p_day"))
+                   & (F.col("state_name") == F.col("_p_region")), "left") \
         .drop("_p_day", "_p_region")
-    filled = fills.impute_group_mean(j, ["state_name"], list(pollutants))
-    return filters.drop_nulls(filled, ["report_time"])
+    # grain (day, region): a region's group is bounded by the number of days
+    return fills.impute_group_mean(j, ["state_name"], list(pollutants), method="window")
 
 
 # --------------------------------------------------------------------------- T7

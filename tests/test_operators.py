@@ -198,3 +198,21 @@ def test_drop_empty_positions(spark):
                                 ("d2", "co", 2.0)], "doc string, pos string, v double")
     assert rows(drop_empty_positions(df, ["doc"], "pos", "v")) == \
         [("d1", "no2", 1.0), ("d2", "co", 2.0)]
+
+
+def test_window_methods_equal_default_methods(spark):
+    df = spark.createDataFrame(FILL_ROWS, "region string, day date, co double")
+    for direction in (fills.FORWARD, fills.BACKWARD):
+        assert rows(fills.fill_gaps(df, ["co"], "day", ["region"], direction, method="window")) \
+            == rows(fills.fill_gaps(df, ["co"], "day", ["region"], direction))
+    imp = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 3.0), ("b", None), (None, None)],
+                                "k string, v double")
+    assert rows(fills.impute_group_mean(imp, ["k"], ["v"], method="window")) == \
+        rows(fills.impute_group_mean(imp, ["k"], ["v"]))
+
+
+def test_window_fill_refuses_global_window(spark):
+    import pytest
+    df = spark.createDataFrame(FILL_ROWS, "region string, day date, co double")
+    with pytest.raises(ValueError):
+        fills.fill_forward(df, ["co"], "day", method="window")
