@@ -308,16 +308,12 @@ _DOSES = ["dose_1", "dose_2", "15_18_years_dose_1", "15_18_years_dose_2",
 _Q_DOSES = ", ".join(f'"{d}"' for d in _DOSES)
 
 _T1 = """
-    t1_pc AS (
-        SELECT o_custkey, CAST(o_orderdate AS DATE) AS day,
-               CAST(sum(floor(o_totalprice)) AS BIGINT) AS confirmed,
-               count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS cured,
-               count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS death
-        FROM orders GROUP BY 1, 2),
     t1_cases AS (
-        SELECT p.day, c.c_nationkey, sum(p.confirmed) AS confirmed, sum(p.cured) AS cured,
-               sum(p.death) AS death
-        FROM t1_pc p JOIN customer c ON p.o_custkey = c.c_custkey GROUP BY 1, 2),
+        SELECT CAST(o.o_orderdate AS DATE) AS day, c.c_nationkey,
+               CAST(sum(floor(o.o_totalprice)) AS BIGINT) AS confirmed,
+               count(CASE WHEN o.o_orderstatus = 'O' THEN 1 END) AS cured,
+               count(CASE WHEN o.o_orderstatus = 'F' THEN 1 END) AS death
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2),
     t1_codes AS (
         SELECT substr(lower('IN-N' || CAST(n_nationkey AS VARCHAR)), 4) AS code,
                max(n_name) AS state_name

@@ -33,20 +33,21 @@ def case_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily case records: one per (order day, customer nation code).
 
     ``confirmed`` = whole order value, ``cured`` = orders with status O,
-    ``death`` = orders with status F.  Orders are pre-aggregated per customer
-    and day before the customer join, so the join sees one row per
-    (customer, day) and not one per order.
+    ``death`` = orders with status F.  Orders meet the customer -> nation map
+    first (broadcast when Spark sees it is small, else one shuffle of both by
+    customer) and are then aggregated by (day, nation): the partial aggregate
+    shrinks every task's output to days x nations before the only other
+    shuffle.  (A per-(customer, day) pre-aggregate would barely reduce rows
+    and would need a second shuffle by customer for the join.)
     """
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders").select(
+        "o_custkey", F.to_date("o_orderdate").alias("day"), "o_orderstatus", "o_totalprice")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    per_cust_day = (o.groupBy("o_custkey", F.to_date("o_orderdate").alias("day"))
-                    .agg(F.sum(F.floor("o_totalprice")).cast("bigint").alias("confirmed"),
-                         F.count(F.when(F.col("o_orderstatus") == "O", 1)).alias("cured"),
-                         F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("death")))
-    joined = per_cust_day.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    joined = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
     return (joined.groupBy("day", "c_nationkey")
-            .agg(F.sum("confirmed").alias("confirmed"), F.sum("cured").alias("cured"),
-                 F.sum("death").alias("death"))
+            .agg(F.sum(F.floor("o_totalprice")).cast("bigint").alias("confirmed"),
+                 F.count(F.when(F.col("o_orderstatus") == "O", 1)).alias("cured"),
+                 F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("death"))
             .select(F.col("day").cast("string").alias("report_time"),
                     F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("state"),
                     "cured", "death", "confirmed"))
