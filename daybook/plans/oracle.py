@@ -270,12 +270,12 @@ ORACLE: dict[str, str] = {
     "q32_drop_empty_column": f"""
         WITH p AS ({_STATION_DAY}),
         l AS (
-            SELECT station_id, date_trunc('week', day) AS week, day, 'click' AS variable,
+            SELECT station_id, CAST(date_trunc('week', day) AS DATE) AS week, day, 'click' AS variable,
                    click AS value FROM p
-            UNION ALL SELECT station_id, date_trunc('week', day), day, 'error', error FROM p
-            UNION ALL SELECT station_id, date_trunc('week', day), day, 'purchase', purchase FROM p
-            UNION ALL SELECT station_id, date_trunc('week', day), day, 'signup', signup FROM p
-            UNION ALL SELECT station_id, date_trunc('week', day), day, 'view', "view" FROM p),
+            UNION ALL SELECT station_id, CAST(date_trunc('week', day) AS DATE), day, 'error', error FROM p
+            UNION ALL SELECT station_id, CAST(date_trunc('week', day) AS DATE), day, 'purchase', purchase FROM p
+            UNION ALL SELECT station_id, CAST(date_trunc('week', day) AS DATE), day, 'signup', signup FROM p
+            UNION ALL SELECT station_id, CAST(date_trunc('week', day) AS DATE), day, 'view', "view" FROM p),
         k AS (SELECT station_id, week, variable FROM l GROUP BY 1, 2, 3 HAVING count(value) > 0)
         SELECT l.* FROM l JOIN k USING (station_id, week, variable)
     """,

@@ -172,14 +172,14 @@ def q15_fill_backward(spark: SparkSession, sf: str) -> DataFrame:
     """Per-station backward fill in day order (weekly buckets exercise the carry)."""
     p = station_day_means(spark, sf)
     return fills.fill_backward(p, EVENT_TYPES, "day", ["station_id"],
-                               bucket=F.date_trunc("week", F.col("day")))
+                               bucket=F.trunc("day", "week"))
 
 
 def q16_fill_forward(spark: SparkSession, sf: str) -> DataFrame:
     """Per-station forward fill in day order."""
     p = station_day_means(spark, sf)
     return fills.fill_forward(p, EVENT_TYPES, "day", ["station_id"],
-                              bucket=F.date_trunc("week", F.col("day")))
+                              bucket=F.trunc("day", "week"))
 
 
 def q17_round(spark: SparkSession, sf: str) -> DataFrame:
@@ -319,7 +319,7 @@ def q32_drop_empty_column(spark: SparkSession, sf: str) -> DataFrame:
     """P10: per (station, week) document, drop pollutant positions that are empty throughout."""
     from daybook.operators.layouts import drop_empty_positions
     long = reshape.unpivot_long(
-        station_day_means(spark, sf).withColumn("week", F.date_trunc("week", "day")),
+        station_day_means(spark, sf).withColumn("week", F.trunc("day", "week")),
         ["station_id", "week", "day"], EVENT_TYPES)
     return drop_empty_positions(long, ["station_id", "week"], "variable", "value")
 
