@@ -18,16 +18,26 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 100_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def is_bounded(df: DataFrame, max_rows: int) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows.
+
+    Runs ``limit(max_rows + 1).count()``, which stops reading once the bound
+    is exceeded, so it is cheap whether or not the table is small.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      bound_from: DataFrame | None = None) -> DataFrame:
     """Broadcast-hint ``df`` if it has at most ``max_rows`` rows, else return it as is.
 
-    The check runs ``limit(max_rows + 1).count()``, which stops reading once
-    the bound is exceeded, so it is cheap whether or not the table is small.
+    ``bound_from`` may name a table with at least as many rows as ``df`` (its
+    input before de-duplication, say) whose count is cheaper to check.
     Without the hint Spark still broadcasts small sides on its own statistics
     and adaptive execution can convert a shuffled join at runtime.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if is_bounded(bound_from if bound_from is not None else df,
+                                         max_rows) else df
 
 
 def unique_lookup(dim: DataFrame, key: str, value_cols: Sequence[str],
@@ -51,18 +61,38 @@ def lookup_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                 value_cols: Sequence[str], max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Left lookup ``fact_key -> value_cols``; unmatched facts keep null values."""
     lookup = unique_lookup(dim, dim_key, value_cols)
+    # the raw dimension bounds its de-duplicated form and is cheaper to count
     if dim_key == fact_key:
-        return facts.join(bounded_broadcast(lookup, max_rows), fact_key, "left")
+        return facts.join(bounded_broadcast(lookup, max_rows, bound_from=dim), fact_key, "left")
     lookup = lookup.withColumnRenamed(dim_key, "_lookup_key")
-    return (facts.join(bounded_broadcast(lookup, max_rows),
+    return (facts.join(bounded_broadcast(lookup, max_rows, bound_from=dim),
                        F.col(fact_key) == F.col("_lookup_key"), "left")
             .drop("_lookup_key"))
 
 
-def fanout_join(facts: DataFrame, dim: DataFrame, on: Column | str | Sequence[str],
+def fanout_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Left join where duplicate dimension keys fan a fact row out."""
-    return facts.join(bounded_broadcast(dim, max_rows), on, "left")
+    """Left join on ``fact_key = dim_key``; repeated dimension keys fan a
+    fact row out, facts without a match keep null dimension columns.
+
+    * small dimension: broadcast it (the usual case: a city list);
+    * small facts, large dimension: a left join can only broadcast its right
+      side, so it would shuffle the large dimension by a key with as few
+      values as there are facts (a few hot partitions).  Instead: an inner
+      join broadcasting the facts, plus the facts without a match, found by
+      an anti join against the matched keys (at most as many as the facts);
+    * both large: a shuffled left join (AQE splits skewed fact partitions).
+    """
+    if is_bounded(dim, max_rows):
+        return facts.join(F.broadcast(dim), F.col(fact_key) == dim[dim_key], "left")
+    if is_bounded(facts, max_rows):
+        matched = dim.join(F.broadcast(facts), F.col(fact_key) == dim[dim_key], "inner")
+        keys = (matched.select(F.col(fact_key).alias("_matched_key")).distinct())
+        unmatched = facts.join(F.broadcast(keys), F.col(fact_key) == F.col("_matched_key"),
+                               "left_anti")
+        return matched.select(*facts.columns, *dim.columns).unionByName(
+            unmatched, allowMissingColumns=True)
+    return facts.join(dim, F.col(fact_key) == dim[dim_key], "left")
 
 
 def join_keys_renamed(left: DataFrame, right: DataFrame, left_key: str, right_key: str,

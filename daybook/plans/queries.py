@@ -164,7 +164,7 @@ def q14_fanout_join(spark: SparkSession, sf: str) -> DataFrame:
     """Left join to a list with repeated keys; every match is a row."""
     n = table(spark, sf, "nation").select("n_nationkey", "n_name")
     s = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    return (joins.fanout_join(n, s, F.col("n_nationkey") == F.col("s_nationkey"))
+    return (joins.fanout_join(n, s, "n_nationkey", "s_nationkey")
             .select("n_nationkey", "n_name", "s_suppkey", "s_name"))
 
 

@@ -175,7 +175,7 @@ def pollution_by_region(stations: DataFrame, city_regions: DataFrame,
     mean to 6 decimals, so ties do not depend on summation order.
     """
     cities = city_regions.select(F.col("Name of City").alias("_city"), F.col("State"))
-    j = joins.fanout_join(stations, cities, F.col("city_refined") == F.col("_city"))
+    j = joins.fanout_join(stations, cities, "city_refined", "_city")
     region = agg.group_mean(j, ["day", "State"], list(pollutants)) \
         .withColumnRenamed("State", "region")
     # one row per (day, region): a region's series is bounded by the number

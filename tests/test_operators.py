@@ -64,9 +64,15 @@ def test_fanout_join(spark):
     cities = spark.createDataFrame(
         [("Srinagar", "Jammu and Kashmir"), ("Srinagar", "Uttarakhand"),
          ("Gurugram", "Haryana"), ("Gurugram", "Haryana")], "name string, state string")
-    out = joins.fanout_join(st_, cities, F.col("city") == F.col("name"))
+    out = joins.fanout_join(st_, cities, "city", "name")
     assert out.count() == 5
     assert rows(out.where(F.col("city") == "Nowhere"), "state") == [(None,)]
+    # same rows when the dimension is the large side (facts broadcast + anti join)
+    big_dim = joins.fanout_join(st_, cities, "city", "name", max_rows=3)
+    assert rows(big_dim.select(*out.columns)) == rows(out)
+    # and when both sides are large (plain shuffled left join)
+    both = joins.fanout_join(st_, cities, "city", "name", max_rows=1)
+    assert rows(both.select(*out.columns)) == rows(out)
 
 
 def test_bounded_broadcast_respects_bound(spark):
