@@ -42,7 +42,8 @@ def _default_bucket(df: DataFrame, order_col: str) -> Column:
 
 def fill_gaps(df: DataFrame, cols: Sequence[str], order_col: str,
               keys: Sequence[str] = (), direction: str = FORWARD,
-              bucket: Column | None = None, method: str = "two_phase") -> DataFrame:
+              bucket: Column | None = None, method: str = "two_phase",
+              materialize: bool = False) -> DataFrame:
     """Fill nulls of ``cols`` from the previous (forward) or next (backward)
     non-null value in ``order_col`` order, within ``keys``.
 
@@ -51,6 +52,11 @@ def fill_gaps(df: DataFrame, cols: Sequence[str], order_col: str,
     join -- and is meant for tables whose groups are bounded by their grain
     (one row per day and region, say); it needs ``keys``, because without
     them the window would hold the whole table in one partition.
+
+    The two-phase fill reads its input twice, and Spark prunes the columns of
+    each read differently, so an expensive input would be computed twice;
+    ``materialize=True`` first writes the input to the shared checkpoint
+    folder (use it for small tables with a long lineage).
     """
     if direction not in (FORWARD, BACKWARD):
         raise ValueError(direction)
@@ -73,6 +79,9 @@ def fill_gaps(df: DataFrame, cols: Sequence[str], order_col: str,
     bucket = _default_bucket(df, order_col) if bucket is None else bucket
     part = keys + ["_bucket"]
     base = df.withColumn("_bucket", bucket)
+    if materialize:
+        from daybook.sources.sinks import handoff
+        base = handoff(base, "fill-input")
 
     whole = Window.partitionBy(*part).orderBy(order_col) \
         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -113,14 +122,16 @@ def fill_gaps(df: DataFrame, cols: Sequence[str], order_col: str,
     return joined.select(*out_cols)
 
 
-def fill_forward(df, cols, order_col, keys=(), bucket=None, method="two_phase") -> DataFrame:
+def fill_forward(df, cols, order_col, keys=(), bucket=None, method="two_phase",
+                 materialize=False) -> DataFrame:
     """Carry the last seen value forward."""
-    return fill_gaps(df, cols, order_col, keys, FORWARD, bucket, method)
+    return fill_gaps(df, cols, order_col, keys, FORWARD, bucket, method, materialize)
 
 
-def fill_backward(df, cols, order_col, keys=(), bucket=None, method="two_phase") -> DataFrame:
+def fill_backward(df, cols, order_col, keys=(), bucket=None, method="two_phase",
+                  materialize=False) -> DataFrame:
     """Carry the next seen value backward."""
-    return fill_gaps(df, cols, order_col, keys, BACKWARD, bucket, method)
+    return fill_gaps(df, cols, order_col, keys, BACKWARD, bucket, method, materialize)
 
 
 def fill_both(df, cols, order_col, keys=(), bucket=None, method="two_phase") -> DataFrame:

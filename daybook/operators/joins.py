@@ -133,8 +133,5 @@ def small_derived_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     within ``max_rows``.  Beyond the bound it stays a regular table and Spark
     plans a shuffled join.
     """
-    from daybook.session import scratch_path
-    spark = df.sparkSession
-    path = scratch_path(spark, "derived")
-    df.write.mode("overwrite").parquet(path)
-    return bounded_broadcast(spark.read.parquet(path), max_rows)
+    from daybook.sources.sinks import handoff
+    return bounded_broadcast(handoff(df, "derived"), max_rows)

@@ -242,9 +242,13 @@ def closes_by_day(series: Mapping[str, DataFrame]) -> DataFrame:
 def country_with_closes(country: DataFrame, closes: DataFrame,
                         close_cols: Sequence[str] = CLOSE_SERIES) -> DataFrame:
     """Country table with the day's closes, carried forward over days
-    without a close (weekends, holidays) by the two-phase global fill."""
+    without a close (weekends, holidays) by the two-phase global fill.
+
+    The fill reads its input twice (in-bucket fill and bucket edges); the
+    joined table is one row per day, so it is handed off as a written table
+    first and the long lineage behind it runs once."""
     j = joins.join_keys_renamed(country, closes, "report_time", "Date")
-    return fills.fill_forward(j, list(close_cols), "report_time")
+    return fills.fill_forward(j, list(close_cols), "report_time", materialize=True)
 
 
 # --------------------------------------------------------------------------- hand-off
@@ -253,8 +257,5 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write a stage output as Parquet under the shared checkpoint folder and
     read it back: cuts lineage for stages that several questions reuse, and
     survives executor loss (unlike a cache)."""
-    from daybook.session import scratch_path
-    from daybook.sources.sinks import write_parquet
-    path = scratch_path(spark, name)
-    write_parquet(df, path)
-    return spark.read.parquet(path)
+    from daybook.sources.sinks import handoff
+    return handoff(df, name)

@@ -32,3 +32,17 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
     """K3: the first ``n`` rows (a plan, not a driver-side print)."""
     return df.limit(n)
+
+
+def handoff(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage where a table is consumed more than once (Spark would
+    otherwise recompute everything above the last shared exchange for each
+    consumer) and survives executor loss, unlike a cache.  Runs one job now.
+    """
+    from daybook.session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    write_parquet(df, path)
+    return spark.read.parquet(path)
