@@ -111,18 +111,6 @@ def align_series(series: Sequence[DataFrame], key: str) -> DataFrame:
     return reduce(lambda a, b: a.join(b, key, "left"), series)
 
 
-def attach_group_stats(df: DataFrame, keys: Sequence[str], stats: Sequence[Column]) -> DataFrame:
-    """Group statistics joined back to their own rows.
-
-    Aggregation is partial (map-side) first, so a hot key costs one small
-    partial row per task, and the join-back is a plain equi-join that adaptive
-    skew handling can split; a window over the key would sort the whole hot
-    group inside one task instead.
-    """
-    grouped = df.groupBy(*keys).agg(*stats)
-    return df.join(grouped, list(keys), "left")
-
-
 def small_derived_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """A small table derived from big data (per-document statistics, say),
     ready to be joined back to that data.

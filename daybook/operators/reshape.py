@@ -28,7 +28,3 @@ def top_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 def sorted_by(df: DataFrame, *order: Column | str) -> DataFrame:
     """O1/O2: global sort (range-partitioned; only where the order is the output)."""
     return df.orderBy(*order)
-
-
-def desc_nulls_last(c: str) -> Column:
-    return F.col(c).desc_nulls_last()

@@ -65,14 +65,6 @@ def station_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("timestamp"))
 
 
-def station_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Station -> region list: supplier key as station, its nation as region."""
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (s.join(bounded_broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
-            .select(F.col("s_suppkey").alias("station_id"), F.col("n_name").alias("State")))
-
-
 def closes_series(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Five daily "index close" series: mean order value per day for each
     order status and for urgent orders, with ``Date`` rendered ``dd MMM yyyy``
