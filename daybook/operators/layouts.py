@@ -60,6 +60,9 @@ class Layout:
     ``sums``          derived measures: target -> sources, summed after cleaning.
     ``drop_null_rows``drop rows with a null in any used cell (before splitting).
     ``strip_region_digits`` remove digits from the region cell (F5).
+    ``renames``       region names replaced in this layout only.
+    ``row_copies``    ``(dst, src)`` body rows: dst takes src's numbers (P16).
+    ``row_drops``     body rows removed (P16).
     """
 
     name: str
@@ -113,7 +116,8 @@ def _layout_slots(lay: Layout, measures: Sequence[str]) -> tuple[dict, int]:
 _SLOT_FIELDS = ("start", "width", "token", "names")
 
 
-def layout_table(spark, layouts: Sequence[Layout], measures: Sequence[str]) -> tuple[DataFrame, int]:
+def layout_table(spark, layouts: Sequence[Layout],
+                 measures: Sequence[str]) -> tuple[DataFrame, list[int]]:
     """The rule table: one row per layout with the integers that place every
     measure term (first cell, cell count, token index, token count), the
     region cell, and the row-drop and rename rules.
@@ -257,8 +261,9 @@ def document_bodies(cells: DataFrame, trim: TrimRules, doc_col: str = "doc_index
       in the body exactly when that row lies before the body's first row.
 
     The aggregate is tiny (documents x tables x columns); it is computed once,
-    checkpointed and broadcast after a size check, so the cell rows are never
-    shuffled by document, however large one document is.  Adds ``rel_row``
+    written to the shared checkpoint folder and broadcast after a size check,
+    so the cell rows are never shuffled by document, however large one
+    document is.  Adds ``rel_row``
     (0-based row inside the body); ``cells`` keeps only non-empty positions.
     """
     doc = F.col(doc_col)
@@ -308,7 +313,9 @@ def apply_row_patches(rows: DataFrame, layouts: Sequence[Layout], doc_col: str =
 
     A copy ``(dst, src)`` gives row ``dst`` the cells of row ``src`` after the
     region cell; a drop removes a body row.  Only layouts that declare
-    patches pay for the lookup (a join of the few source rows).
+    patches pay for the lookup: the source rows (one per document of the
+    layout, so bounded by the document count already checked for the
+    per-document statistics) are broadcast, and the body rows stay in place.
     """
     patched = [lay for lay in layouts if lay.row_copies or lay.row_drops]
     out = rows
@@ -317,7 +324,7 @@ def apply_row_patches(rows: DataFrame, layouts: Sequence[Layout], doc_col: str =
         for dst, src in lay.row_copies:
             src_rows = (out.where(in_layout & (F.col("rel_row") == src))
                         .select(F.col(doc_col).alias("_doc"), F.col(cells_col).alias("_src_cells")))
-            out = out.join(src_rows, (F.col(doc_col) == F.col("_doc"))
+            out = out.join(F.broadcast(src_rows), (F.col(doc_col) == F.col("_doc"))
                            & in_layout & (F.col("rel_row") == dst), "left")
             head = F.slice(F.col(cells_col), 1, lay.region_cell + 1)
             tail = F.slice(F.col("_src_cells"), lay.region_cell + 2, 1 << 20)
