@@ -25,6 +25,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Shuffle partition count comes from the cluster (or the caller); AQE then
+    # coalesces small partitions towards this size and splits skewed ones.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Parquet row groups feed vectorized scans; 128 MB splits keep a task's
