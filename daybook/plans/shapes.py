@@ -16,6 +16,7 @@ from daybook.plans import questions, stages, tables
 from daybook.plans.queries import EVENT_TYPES
 from daybook.plans.report_rules import D1, D2, PA, PB, PREC, T1, TOTAL, TOTAL_CELL
 from daybook.plans.tables import table
+from daybook.sources.readers import spread
 from daybook.schemas import CASE_MEASURES, DOSE_MEASURES
 
 # --------------------------------------------------------------------------- fixed values
@@ -45,9 +46,11 @@ CASE_RECODES = {"n24": "n4"}
 def report_cells(spark: SparkSession, sf: str) -> DataFrame:
     """One extracted report row per line item: the day's report, the
     supplier's region and the numbers printed in the day's layout."""
-    li = table(spark, sf, "lineitem").select(
+    # every row below becomes formatted text and is parsed again: spread the
+    # scan over all task slots if the file has fewer row groups than slots
+    li = spread(table(spark, sf, "lineitem").select(
         "l_suppkey", "l_linenumber", "l_shipdate", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax")
+        "l_discount", "l_tax"))
     s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     n = table(spark, sf, "nation").select("n_nationkey", "n_name")
     j = (li.join(s, F.col("l_suppkey") == F.col("s_suppkey"))
