@@ -56,10 +56,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread an under-partitioned input over all task slots.
 
     A file with a few large row groups scans as a few tasks; before CPU-heavy
-    row work that leaves cores idle.  When ``df`` has fewer partitions than
-    ``min_partitions`` (default: the cluster's default parallelism) it is
-    repartitioned round-robin; otherwise -- the normal case for a large table
-    made of many files -- it is returned unchanged and costs nothing.
+    row work that leaves most cores idle.  When ``df`` has fewer than half of
+    ``min_partitions`` partitions (default: the cluster's default
+    parallelism) it is repartitioned round-robin to ``min_partitions``;
+    otherwise -- the normal case for a large table made of many files -- it
+    is returned unchanged and costs nothing.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    return df.repartition(target) if 2 * df.rdd.getNumPartitions() < target else df
