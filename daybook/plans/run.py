@@ -1,8 +1,8 @@
 """Run the whole daily regional roll-up on the reference's own input formats.
 
-    python -m daybook.plans.run --cases mohfw.json --codes state_codes.csv \
-        --reports report_cells.parquet --air global_air_quality.csv \
-        --cities list_of_cities.csv --closes NAME=path.csv [NAME=path.csv ...] \
+    python -m daybook.plans.run --cases cases.json --codes region_codes.csv \
+        --reports report_cells.parquet --air air_quality.csv \
+        --cities city_regions.csv --closes NAME=path.csv [NAME=path.csv ...] \
         --out /shared/output
 
 ``--reports`` is the table of extracted report cells (``file_name, doc_index,
