@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.operators.joins import bounded_broadcast
 from daybook.sources.readers import read_table
 
 
