@@ -197,19 +197,19 @@ def pollution_by_region(stations: DataFrame, city_regions: DataFrame,
 def combined_region(cases_vacc: DataFrame, pollution: DataFrame,
                     pollutants: Sequence[str] = POLLUTANTS) -> DataFrame:
     """T3 with the day's regional pollution; missing values take the
-    region's mean (J4 as aggregate + join); rows without a day are dropped.
+    region's mean (J4); rows without a day are dropped.
 
     The drop comes first: a T3 row without a day is a vaccination row no case
     matched, so its region is null as well and it never contributes to a
-    region's mean.  Dropping it up front gives the mean branch and the detail
-    branch the same plan, so Spark shares their upstream work.
+    region's mean.  The table has one row per (day, region), so a region's
+    group is bounded by the number of days and the mean is a window over the
+    region: one shuffle, and the upstream is read once.
     """
     p = pollution.withColumnRenamed("day", "_p_day").withColumnRenamed("region", "_p_region")
     dated = filters.drop_nulls(cases_vacc, ["report_time"])
     j = dated.join(p, (F.col("report_time") == F.col("_p_day"))
                    & (F.col("state_name") == F.col("_p_region")), "left") \
         .drop("_p_day", "_p_region")
-    # grain (day, region): a region's group is bounded by the number of days
     return fills.impute_group_mean(j, ["state_name"], list(pollutants), method="window")
 
 
