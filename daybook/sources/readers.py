@@ -58,9 +58,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     A file with a few large row groups scans as a few tasks; before CPU-heavy
     row work that leaves most cores idle.  When ``df`` has fewer than half of
     ``min_partitions`` partitions (default: the cluster's default
-    parallelism) it is repartitioned round-robin to ``min_partitions``;
-    otherwise -- the normal case for a large table made of many files -- it
-    is returned unchanged and costs nothing.
+    parallelism) it is hash-partitioned on all its columns into
+    ``min_partitions`` parts (deterministic under task retries without the
+    local sort a round-robin repartition needs); otherwise -- the normal case
+    for a large table made of many files -- it is returned unchanged and
+    costs nothing.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if 2 * df.rdd.getNumPartitions() < target else df
+    if 2 * df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *[F.col(c) for c in df.columns])
