@@ -29,7 +29,7 @@ from pyspark.sql.types import (BooleanType, IntegerType, MapType, StringType, St
                                StructType)
 
 from daybook.functions.numbers import grouped_digits, grouped_digits_reject
-from daybook.operators.joins import small_derived_side
+from daybook.operators.joins import bounded_broadcast, small_derived_side
 
 
 # --------------------------------------------------------------------------- P10
@@ -314,8 +314,7 @@ def apply_row_patches(rows: DataFrame, layouts: Sequence[Layout], doc_col: str =
     A copy ``(dst, src)`` gives row ``dst`` the cells of row ``src`` after the
     region cell; a drop removes a body row.  Only layouts that declare
     patches pay for the lookup: the source rows (one per document of the
-    layout, so bounded by the document count already checked for the
-    per-document statistics) are broadcast, and the body rows stay in place.
+    layout) are broadcast after a size check, and the body rows stay in place.
     """
     patched = [lay for lay in layouts if lay.row_copies or lay.row_drops]
     out = rows
@@ -324,7 +323,7 @@ def apply_row_patches(rows: DataFrame, layouts: Sequence[Layout], doc_col: str =
         for dst, src in lay.row_copies:
             src_rows = (out.where(in_layout & (F.col("rel_row") == src))
                         .select(F.col(doc_col).alias("_doc"), F.col(cells_col).alias("_src_cells")))
-            out = out.join(F.broadcast(src_rows), (F.col(doc_col) == F.col("_doc"))
+            out = out.join(bounded_broadcast(src_rows), (F.col(doc_col) == F.col("_doc"))
                            & in_layout & (F.col("rel_row") == dst), "left")
             head = F.slice(F.col(cells_col), 1, lay.region_cell + 1)
             tail = F.slice(F.col("_src_cells"), lay.region_cell + 2, 1 << 20)
