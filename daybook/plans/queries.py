@@ -310,7 +310,7 @@ def q30_union_missing(spark: SparkSession, sf: str) -> DataFrame:
 def q31_anchor_slice(spark: SparkSession, sf: str) -> DataFrame:
     """Each conversation from its last user turn on, after skipping turn 0."""
     cv = table(spark, sf, "conversations").select("conv_id", "turn", "role",
-                                                  F.length("text").alias("n_chars"))
+                                                  F.length("text").cast("bigint").alias("n_chars"))
     body = filters.skip_leading_rows(cv, "turn", 1)
     return filters.slice_from_last_anchor(body, ["conv_id"], "turn", F.col("role") == "user")
 
