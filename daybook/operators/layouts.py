@@ -297,11 +297,15 @@ def document_bodies(cells: DataFrame, trim: TrimRules, doc_col: str = "doc_index
     keep = F.array_sort(F.transform(
         F.filter("_positions", lambda p: p["_last_value"] >= F.col("_start_raw")),
         lambda p: p["_pos"]))
-    stats = t.select(doc_col, "table_index", "_start_raw", keep.alias("_keep"))
+    # a table without an empty position keeps its cells as they are
+    whole = F.size(keep) == F.size("_positions")
+    stats = t.select(doc_col, "table_index", "_start_raw",
+                     F.when(whole, F.lit(None)).otherwise(keep).alias("_keep"))
     stats = small_derived_side(stats, max_docs)
     body = (cells.join(stats, [doc_col, "table_index"])
             .where(F.col("row_index") >= F.col("_start_raw")))
-    kept = F.filter("cells", lambda x, i: F.array_contains(F.col("_keep"), i))
+    kept = F.when(F.col("_keep").isNull(), F.col("cells")).otherwise(
+        F.filter("cells", lambda x, i: F.array_contains(F.col("_keep"), i)))
     return (body.withColumn("cells", kept)
             .withColumn("rel_row", F.col("row_index") - F.col("_start_raw"))
             .drop("_start_raw", "_keep"))
