@@ -15,8 +15,18 @@ from pyspark.sql import functions as F
 from daybook.sources.readers import read_table
 
 
+_OPENED: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, sf_dir, name)
+    """A driver test table.  The files are read-only, so one DataFrame per
+    session and path is reused (file listing and footer reads happen once,
+    not once per adapter that needs the table)."""
+    key = (id(spark), sf_dir, name)
+    df = _OPENED.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _OPENED[key] = read_table(spark, sf_dir, name)
+    return df
 
 
 def region_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
