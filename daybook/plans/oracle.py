@@ -100,7 +100,7 @@ ORACLE: dict[str, str] = {
     "q08_group_sum": """
         SELECT CAST(l_shipdate AS DATE) AS day, l_returnflag,
                coalesce(sum(l_quantity), 0) AS sum_qty,
-               CAST(coalesce(sum(CAST(l_extendedprice AS DECIMAL(18,2))), 0) AS DECIMAL(38,2))
+               CAST(CAST(coalesce(sum(CAST(l_extendedprice AS DECIMAL(18,2))), 0) AS DECIMAL(38,2)) AS DOUBLE)
                  AS sum_price,
                count(*) AS n_lines, 'lineitem' AS source
         FROM lineitem WHERE l_shipdate IS NOT NULL AND l_returnflag IS NOT NULL
@@ -165,7 +165,7 @@ ORACLE: dict[str, str] = {
     """,
     "q19_mixed_rollup": """
         SELECT CAST(o_orderdate AS DATE) AS day,
-               CAST(coalesce(sum(CAST(o_totalprice AS DECIMAL(18,2))), 0) AS DECIMAL(38,2))
+               CAST(CAST(coalesce(sum(CAST(o_totalprice AS DECIMAL(18,2))), 0) AS DECIMAL(38,2)) AS DOUBLE)
                  AS sum_price,
                count(*) AS n_orders, avg(o_totalprice) AS avg_price
         FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1
@@ -173,7 +173,7 @@ ORACLE: dict[str, str] = {
     "q20_series_chain": """
         WITH s AS (
             SELECT CAST(o_orderdate AS DATE) AS day, o_orderstatus AS st,
-                   CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total
+                   CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS DOUBLE) AS total
             FROM orders GROUP BY 1, 2),
         c AS (SELECT CAST(o_orderdate AS DATE) AS "Date", count(*) AS n_orders
               FROM orders GROUP BY 1)
@@ -186,7 +186,7 @@ ORACLE: dict[str, str] = {
     "q21_global_ffill": """
         WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders),
         u AS (SELECT CAST(o_orderdate AS DATE) AS day,
-                     CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2))
+                     CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS DOUBLE)
                        AS urgent_total
               FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1),
         sparse AS (SELECT d.day, u.urgent_total FROM days d
@@ -220,7 +220,7 @@ ORACLE: dict[str, str] = {
             SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS s
             FROM orders GROUP BY 1),
         tot AS (
-            SELECT n.n_name AS region, CAST(sum(p.s) AS DECIMAL(38,2)) AS total
+            SELECT n.n_name AS region, CAST(CAST(sum(p.s) AS DECIMAL(38,2)) AS DOUBLE) AS total
             FROM per_cust p JOIN customer c ON p.o_custkey = c.c_custkey
             LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
             WHERE n.n_name IS NOT NULL GROUP BY 1),

@@ -97,7 +97,7 @@ def q08_group_sum(spark: SparkSession, sf: str) -> DataFrame:
                      F.col("l_extendedprice").cast("decimal(18,2)").alias("price"))
     return (agg.total_of(rows, ["day", "l_returnflag"], [
         numbers.sum0("l_quantity").alias("sum_qty"),
-        numbers.sum0("price").cast("decimal(38,2)").alias("sum_price"),
+        numbers.sum0("price").cast("decimal(38,2)").cast("double").alias("sum_price"),
         F.count(F.lit(1)).alias("n_lines")])
         .withColumn("source", F.lit("lineitem")))
 
@@ -199,7 +199,7 @@ def q19_mixed_rollup(spark: SparkSession, sf: str) -> DataFrame:
     """A5: daily decimal sum, count and mean in one aggregate."""
     o = table(spark, sf, "orders")
     return agg.total_of(o.select(F.to_date("o_orderdate").alias("day"), "o_totalprice"), ["day"], [
-        numbers.sum0(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)")
+        numbers.sum0(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)").cast("double")
         .alias("sum_price"),
         F.count(F.lit(1)).alias("n_orders"),
         F.avg("o_totalprice").alias("avg_price")])
@@ -207,7 +207,7 @@ def q19_mixed_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 def _daily_total(o: DataFrame, cond, name: str, key: str = "day") -> DataFrame:
     return (o.where(cond).groupBy(F.to_date("o_orderdate").alias(key))
-            .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)")
+            .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)").cast("double")
                  .alias(name)))
 
 
@@ -263,7 +263,7 @@ def nation_totals(spark: SparkSession, sf: str) -> DataFrame:
     n = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("region"))
     j = per_cust.join(c, F.col("o_custkey") == F.col("c_custkey"))
     j = joins.lookup_join(j, n, "c_nationkey", "n_nationkey", ["region"])
-    return agg.total_of(j, ["region"], [F.sum("s").cast("decimal(38,2)").alias("total")])
+    return agg.total_of(j, ["region"], [F.sum("s").cast("decimal(38,2)").cast("double").alias("total")])
 
 
 def q25_arg_extremes(spark: SparkSession, sf: str) -> DataFrame:
