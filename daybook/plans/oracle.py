@@ -508,3 +508,28 @@ ORACLE.update({
         SELECT state_name, CAST(coalesce(sum(death), 0) AS BIGINT) AS death FROM t1
         WHERE state_name IS NOT NULL GROUP BY 1""",
 })
+
+
+# --------------------------------------------------------------------------- dates at the edge
+# Registered queries render their date columns as yyyy-MM-dd text.
+DATE_COLUMNS = {
+    "q08_group_sum": ["day"], "q11_pivot_mean": ["day"], "q12_mean_of_means": ["day"],
+    "q15_fill_backward": ["day"], "q16_fill_forward": ["day"], "q18_impute_mean": ["day"],
+    "q19_mixed_rollup": ["day"], "q20_series_chain": ["day"], "q21_global_ffill": ["day"],
+    "q23_unpivot": ["day"], "q32_drop_empty_column": ["week", "day"], "q36_layouts": ["day"],
+    "q40_case_table": ["report_time"], "q41_vaccination_region": ["day"],
+    "q42_cases_vaccination": ["report_time"], "q43_station_day": ["day"],
+    "q44_pollution_region": ["day"], "q45_combined_region": ["report_time"],
+    "q46_country_day": ["report_time"], "q47_closes_day": ["Date"],
+    "q48_country_closes": ["report_time"], "q51_measure_series": ["report_time"],
+    "q52_doses_cases": ["report_time"],
+}
+
+
+def _dates_as_text(sql: str, cols: list[str]) -> str:
+    repl = ", ".join(f"strftime(\"{c}\", '%Y-%m-%d') AS \"{c}\"" for c in cols)
+    return f"SELECT * REPLACE ({repl}) FROM ({sql}) AS deliverable"
+
+
+for _key, _cols in DATE_COLUMNS.items():
+    ORACLE[_key] = _dates_as_text(ORACLE[_key], _cols)

@@ -46,3 +46,19 @@ def handoff(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     write_parquet(df, path)
     return spark.read.parquet(path)
+
+
+def render_dates(df: DataFrame, fmt: str = "yyyy-MM-dd") -> DataFrame:
+    """Render every ``date`` column as text (the deliverables' day format).
+
+    Days stay ``DateType`` inside the plans (joins, windows, buckets); at the
+    edge they become ``yyyy-MM-dd`` text, the form the reference's own
+    outputs carry, readable the same way by any consumer.
+    """
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import DateType
+    if not any(isinstance(f.dataType, DateType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.date_format(f.name, fmt).alias(f.name)
+                       if isinstance(f.dataType, DateType) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
