@@ -53,17 +53,30 @@ def build_session(master: str | None = None, app: str = "daybook",
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for sessions without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions expose no context
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder named by the cluster, if any."""
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if sc is None:
+        return spark.conf.get("spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    return spark.sparkContext.getCheckpointDir()
+    return sc.getCheckpointDir()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -72,14 +85,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster names its shared folder in ``spark.checkpoint.dir``; that value
     always wins.  The local fallback exists for tests and single-machine runs.
     """
+    sc = _context(spark)
     current = checkpoint_dir(spark)
     if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
+        if sc is not None and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
         return current
     local = tempfile.mkdtemp(prefix="daybook-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    if sc is None:
+        return local
+    sc.setCheckpointDir(local)
+    return sc.getCheckpointDir() or local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
