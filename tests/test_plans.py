@@ -84,3 +84,21 @@ def test_small_operators(spark):
     assert [x["s"] for x in reshape.sorted_by(df, "ts").collect()] == ["4", "3"]
     assert sinks.preview(df, 1).count() == 1
     assert rows(df.select(to_bigint("s").alias("n"))) == [(3,), (4,)]
+
+
+def test_spread_only_when_under_partitioned(spark):
+    from daybook.sources.readers import spread
+    few = spark.range(0, 100, numPartitions=1)
+    many = spark.range(0, 100, numPartitions=4)
+    assert spread(few, 4).rdd.getNumPartitions() == 4
+    assert spread(many, 4) is many
+    assert sorted(r[0] for r in spread(few, 4).collect()) == list(range(100))
+
+
+def test_handoff_writes_under_the_checkpoint_folder(spark):
+    from daybook.session import checkpoint_dir
+    df = sinks.handoff(spark.range(5), "unit")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    base = checkpoint_dir(spark).replace("file:", "")
+    assert base.rstrip("/") in plan and "unit-" in plan
+    assert df.count() == 5
