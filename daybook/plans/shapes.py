@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.operators.joins import bounded_broadcast
 from daybook.operators.layouts import Layout, TrimRules, normalize_reports
 from daybook.plans import questions, stages, tables
 from daybook.plans.queries import EVENT_TYPES
@@ -52,9 +51,9 @@ def report_cells(spark: SparkSession, sf: str) -> DataFrame:
         "l_suppkey", "l_linenumber", "l_shipdate", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax"))
     s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    n = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    n = tables.small_table(spark, sf, "nation", ("n_nationkey", "n_name"))
     j = (li.join(s, F.col("l_suppkey") == F.col("s_suppkey"))
-         .join(bounded_broadcast(n), F.col("s_nationkey") == F.col("n_nationkey")))
+         .join(n, F.col("s_nationkey") == F.col("n_nationkey")))
     fmt = lambda c: F.format_number(c, 0)  # noqa: E731 - grouped digits "12,345"
     txt = lambda c: c.cast("string")       # noqa: E731 - values below 1,000 print alike
     d1 = F.col("l_quantity").cast("bigint")
@@ -116,8 +115,8 @@ def readings(spark, sf):
 
 def city_list(spark, sf):
     s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    n = table(spark, sf, "nation").select("n_nationkey", "n_name")
-    return (s.join(bounded_broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
+    n = tables.small_table(spark, sf, "nation", ("n_nationkey", "n_name"))
+    return (s.join(n, F.col("s_nationkey") == F.col("n_nationkey"))
             .select(F.concat(F.lit("Station "), F.col("s_suppkey").cast("string"))
                     .alias("Name of City"), F.col("n_name").alias("State")))
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast
 from daybook.sources.readers import read_table
 
 
@@ -29,6 +30,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+_SMALL: dict[tuple, DataFrame] = {}
+
+
+def small_table(spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...],
+                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Columns of a driver test table, broadcast-hinted when the table has at
+    most ``max_rows`` rows.  The files are read-only, so the size check runs
+    once per session and table."""
+    key = (id(spark), sf_dir, name, columns, max_rows)
+    df = _SMALL.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _SMALL[key] = bounded_broadcast(table(spark, sf_dir, name).select(*columns),
+                                             max_rows)
+    return df
+
+
 def region_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Region code table in the reference's column layout, from ``nation``."""
     n = table(spark, sf_dir, "nation")
