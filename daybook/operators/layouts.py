@@ -357,3 +357,13 @@ def normalize_reports(cells: DataFrame, layouts: Sequence[Layout], dispatch: Seq
         body = body.where(~F.coalesce(F.array_contains("cells", header_marker), F.lit(False)))
     body = body.withColumn("day", F.try_to_date(F.substring("file_name", 1, 10), "yyyy-MM-dd"))
     return normalize_rows(body, layouts, measures, keep=["day", doc_col, "rel_row"])
+
+
+def rejected_rows(normalized: DataFrame) -> DataFrame:
+    """The reject table of §2.12: normalized report rows with at least one cell
+    that was not a number or a cell group with more numbers than names.
+
+    Those cells count as 0 in the measures (decision D6); this table lets a
+    user see and fix them.  It is a filter over the same rows, no extra pass.
+    """
+    return normalized.where(F.col("rejects") > 0)

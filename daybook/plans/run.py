@@ -20,7 +20,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook import schemas
-from daybook.operators.layouts import normalize_reports
+from daybook.operators.layouts import normalize_reports, rejected_rows
 from daybook.plans import questions, stages
 from daybook.plans.report_rules import (REFERENCE_DISPATCH, REFERENCE_LAYOUTS,
                                         REFERENCE_MEASURES, REFERENCE_TRIM)
@@ -46,6 +46,7 @@ def run(spark: SparkSession, cases: str, codes: str, reports: str, air: str, cit
                                     REFERENCE_DISPATCH, REFERENCE_TRIM, REFERENCE_MEASURES,
                                     header_marker=stages.HEADER_MARKER)
     t2 = stages.vaccination_by_region(report_rows)
+    rejects = rejected_rows(report_rows)
     t3 = stages.cases_with_vaccination(t1, t2)
     t4 = stages.station_day(readers.read_csv(spark, air, schemas.AIR_QUALITY))
     t5 = stages.pollution_by_region(t4, readers.read_csv(spark, cities, schemas.CITY_REGION))
@@ -66,9 +67,11 @@ def run(spark: SparkSession, cases: str, codes: str, reports: str, air: str, cit
         "deaths_per_quarter": questions.deaths_per_quarter(t6),
         "region_extremes": questions.region_extremes(t1),
         "region_ranking": questions.region_totals(t1),
+        "rejected_report_rows": rejects,
     }
     if out:
         sinks.write_csv(t2, f"{out}/vaccination_region", sep="|")
+        sinks.write_csv(rejects, f"{out}/rejected_report_rows")
         for name in ("cases_vaccination_region", "pollution_region", "combined_region",
                      "country_day", "country_closes_day"):
             sinks.write_csv(result[name], f"{out}/{name}")

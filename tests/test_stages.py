@@ -193,7 +193,8 @@ def test_run_whole_pipeline_from_files(spark, inputs):
              (f, 420, 1, 0, ["S", "State", "D1", "D2", "a", "b", "c", "d", "e", "f", "Total"]),
              (f, 420, 1, 1, ["1", "A & N Islands", "1", "2", "0", "0", "0", "0", "3", "4", "10"]),
              (f, 420, 1, 2, ["2", "Kerala", "1,000", "2,000", "0", "0", "0", "0", "5", "6",
-                             "3,011"])]
+                             "3,011"]),
+             (f, 420, 1, 3, ["3", "Goa", "12.5", "0", "0", "0", "0", "0", "0", "0", "0"])]
     reports = os.path.join(d, "reports.parquet")
     spark.createDataFrame(cells, schemas.REPORT_CELLS).write.mode("overwrite").parquet(reports)
     closes = {k: os.path.join(d, f"{k}.csv") for k in CLOSES}
@@ -205,6 +206,8 @@ def test_run_whole_pipeline_from_files(spark, inputs):
     assert t2["Andaman and Nicobar Islands"]["total_doses"] == 10
     assert sorted(os.listdir(out)) == ["cases_vaccination_region", "combined_region",
                                        "country_closes_day", "country_day", "pollution_region",
-                                       "vaccination_region"]
+                                       "rejected_report_rows", "vaccination_region"]
+    rejected = res["rejected_report_rows"].collect()
+    assert [(r["region"], r["dose_1"], r["rejects"]) for r in rejected] == [("Goa", 0, 1)]
     t9 = res["country_closes_day"].collect()
     assert [r["dose_1"] for r in t9] == [1000]
