@@ -226,9 +226,8 @@ ORACLE: dict[str, str] = {
             WHERE n.n_name IS NOT NULL GROUP BY 1),
         hi AS (SELECT region, total FROM tot ORDER BY total DESC, region LIMIT 1),
         lo AS (SELECT region, total FROM tot ORDER BY total ASC, region LIMIT 1)
-        SELECT hi.region AS max_region, hi.total AS max_total,
-               lo.region AS min_region, lo.total AS min_total
-        FROM hi, lo
+        SELECT (SELECT region FROM hi) AS max_region, (SELECT total FROM hi) AS max_total,
+               (SELECT region FROM lo) AS min_region, (SELECT total FROM lo) AS min_total
     """,
     "q26_top_sorted": """
         SELECT o_orderkey, o_totalprice, o_orderdate FROM orders
@@ -502,8 +501,9 @@ ORACLE.update({
                 WHERE state_name IS NOT NULL GROUP BY 1),
         hi AS (SELECT * FROM tot ORDER BY death DESC, state_name LIMIT 1),
         lo AS (SELECT * FROM tot ORDER BY death ASC, state_name LIMIT 1)
-        SELECT hi.state_name AS max_state_name, hi.death AS max_death,
-               lo.state_name AS min_state_name, lo.death AS min_death FROM hi, lo""",
+        SELECT (SELECT state_name FROM hi) AS max_state_name, (SELECT death FROM hi) AS max_death,
+               (SELECT state_name FROM lo) AS min_state_name,
+               (SELECT death FROM lo) AS min_death""",
     "q55_region_ranking": "WITH " + _T1 + """
         SELECT state_name, CAST(coalesce(sum(death), 0) AS BIGINT) AS death FROM t1
         WHERE state_name IS NOT NULL GROUP BY 1""",
