@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from daybook.operators.layouts import Layout, TrimRules, normalize_reports, normalize_rows
@@ -175,3 +177,41 @@ def test_reference_cleaning_sequence(spark):
         (d, "Goa"): (4, 4),
         (e, "Dadra and Nagar Haveli and Daman and Diu"): (13, 13),
     }
+
+
+@st.composite
+def layout_and_rows(draw):
+    count = draw(st.integers(1, len(M)))
+    names = draw(st.permutations(M))[:count]
+    groups, widths, i = [], [], 0
+    while i < len(names):
+        size = draw(st.integers(1, min(3, len(names) - i)))
+        groups.append(tuple(names[i:i + size]))
+        widths.append(draw(st.integers(1, 2)) if size > 1 else 1)
+        i += size
+    splits = [draw(st.integers(1, len(g) - 1)) if w == 2 else 0 for g, w in zip(groups, widths)]
+    values = draw(st.lists(st.lists(st.integers(0, 10**9), min_size=len(names),
+                                    max_size=len(names)), min_size=1, max_size=5))
+    return groups, widths, splits, names, values
+
+
+@settings(max_examples=25, deadline=None)
+@given(layout_and_rows())
+def test_any_layout_recovers_the_numbers(spark, case):
+    groups, widths, splits, names, values = case
+    lay = Layout("R", groups=tuple(groups), group_cells=tuple(widths))
+    data = []
+    for r, vals in enumerate(values):
+        by_name = dict(zip(names, vals))
+        cells = [str(r), "Region"]
+        for grp, width, k in zip(groups, widths, splits):
+            toks = [f"{by_name[n]:,}" for n in grp]
+            cells += [" ".join(toks)] if width == 1 else [" ".join(toks[:k]), " ".join(toks[k:])]
+        data.append((cells, "R", r))
+    df = spark.createDataFrame(data, "cells array<string>, layout string, r int")
+    out = {row["r"]: row for row in normalize_rows(df, [lay], M, keep=["r"]).collect()}
+    assert len(out) == len(values)
+    for r, vals in enumerate(values):
+        by_name = dict(zip(names, vals))
+        assert [out[r][m] for m in M] == [by_name.get(m, 0) for m in M]
+        assert out[r]["rejects"] == 0 and out[r]["region"] == "Region"
