@@ -211,3 +211,13 @@ def test_run_whole_pipeline_from_files(spark, inputs):
     assert [(r["region"], r["dose_1"], r["rejects"]) for r in rejected] == [("Goa", 0, 1)]
     t9 = res["country_closes_day"].collect()
     assert [r["dose_1"] for r in t9] == [1000]
+
+
+def test_closes_from_catalog_tables(spark, inputs):
+    from daybook.plans.run import read_closes
+    inputs["closes"]["close_nifty_IT"].createOrReplaceTempView("daybook_test_closes_it")
+    specs = {k: os.path.join(inputs["dir"], f"{k}.csv") for k in CLOSES}
+    specs["close_nifty_IT"] = "table:daybook_test_closes_it"
+    t8 = stages.closes_by_day(read_closes(spark, specs))
+    r = t8.collect()[0]
+    assert r["Date"] == D(2020, 1, 30) and r["close_nifty_IT"] == 8.0 and r["close_nifty_500"] is None
