@@ -136,6 +136,7 @@ def station_day_means(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q11_pivot_mean(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean reading per station, day and event type, one column per type."""
     return station_day_means(spark, sf)
 
 
