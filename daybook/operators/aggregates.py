@@ -110,8 +110,12 @@ def column_profile(df: DataFrame) -> DataFrame:
     """
     fields = df.schema.fields
     counts = df.agg(*[F.count(F.col(f.name)).alias(f"c{i}") for i, f in enumerate(fields)])
+
+    def lit(text: str) -> str:
+        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
     pairs = ", ".join(
-        f"'{f.name}', '{f.dataType.simpleString()}', c{i}" for i, f in enumerate(fields))
+        f"{lit(f.name)}, {lit(f.dataType.simpleString())}, c{i}" for i, f in enumerate(fields))
     return counts.selectExpr(
         f"stack({len(fields)}, {pairs}) as (column_name, data_type, non_null)")
 
