@@ -102,3 +102,15 @@ def test_handoff_writes_under_the_checkpoint_folder(spark):
     base = checkpoint_dir(spark).replace("file:", "")
     assert base.rstrip("/") in plan and "unit-" in plan
     assert df.count() == 5
+
+
+def test_default_imputation_is_aggregate_and_join_not_window(spark):
+    # one key holds almost every row: the default plan aggregates map-side and
+    # joins back (AQE can split the join); a window would sort the key in one task
+    df = spark.range(0, 2000).select(
+        F.when(F.col("id") < 1900, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id").cast("double")).alias("v"))
+    out = fills.impute_group_mean(df, ["k"], ["v"])
+    plan = executed_plan(out)
+    assert "Window" not in plan and "HashAggregate" in plan
+    assert out.where(F.col("v").isNull()).count() == 0
