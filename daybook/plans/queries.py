@@ -38,7 +38,8 @@ def q02_recode_lookup(spark: SparkSession, sf: str) -> DataFrame:
         "c_custkey", F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("state"))
     cust = cust.withColumn("state", text.recode("state", {"n24": "n4"}))
     codes = tables.region_codes(spark, sf).select(
-        text.code_suffix("3166-2 code").alias("code"), F.col("Subdivision name").alias("state_name"))
+        text.code_suffix("3166-2 code").alias("code"),
+        F.col("Subdivision name").alias("state_name"))
     return (joins.lookup_join(cust, codes, "state", "code", ["state_name"])
             .select("c_custkey", "state", "state_name"))
 
@@ -200,7 +201,8 @@ def q19_mixed_rollup(spark: SparkSession, sf: str) -> DataFrame:
     """A5: daily decimal sum, count and mean in one aggregate."""
     o = table(spark, sf, "orders")
     return agg.total_of(o.select(F.to_date("o_orderdate").alias("day"), "o_totalprice"), ["day"], [
-        numbers.sum0(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)").cast("double")
+        numbers.sum0(F.col("o_totalprice").cast("decimal(18,2)"))
+        .cast("decimal(38,2)").cast("double")
         .alias("sum_price"),
         F.count(F.lit(1)).alias("n_orders"),
         F.avg("o_totalprice").alias("avg_price")])
@@ -208,7 +210,8 @@ def q19_mixed_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 def _daily_total(o: DataFrame, cond, name: str, key: str = "day") -> DataFrame:
     return (o.where(cond).groupBy(F.to_date("o_orderdate").alias(key))
-            .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)").cast("double")
+            .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)"))
+                 .cast("decimal(38,2)").cast("double")
                  .alias(name)))
 
 
@@ -264,7 +267,8 @@ def nation_totals(spark: SparkSession, sf: str) -> DataFrame:
     n = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("region"))
     j = per_cust.join(c, F.col("o_custkey") == F.col("c_custkey"))
     j = joins.lookup_join(j, n, "c_nationkey", "n_nationkey", ["region"])
-    return agg.total_of(j, ["region"], [F.sum("s").cast("decimal(38,2)").cast("double").alias("total")])
+    total = F.sum("s").cast("decimal(38,2)").cast("double").alias("total")
+    return agg.total_of(j, ["region"], [total])
 
 
 def q25_arg_extremes(spark: SparkSession, sf: str) -> DataFrame:
