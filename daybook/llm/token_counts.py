@@ -103,8 +103,16 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     lexicon = handoff(counted.groupBy("pretoken").agg(F.sum("freq").alias("freq"))
                       .mapInArrow(_counter(tokenizer), "pretoken string, freq bigint, pieces bigint"),
                       "lexicon")
-    top = (lexicon.where(F.length("pretoken") <= HOT_CHARS)
-           .orderBy(F.desc("freq"), "pretoken").limit(hot).select("pretoken", "pieces"))
+    short = (lexicon.where(F.length("pretoken") <= HOT_CHARS)
+             .withColumn("level", F.floor(16 * F.log2(F.col("freq").cast("double")))))
+    levels = short.groupBy("level").count().collect()        # at most 16 for each doubling
+    cut, kept = None, 0
+    for r in sorted(levels, key=lambda r: -r["level"]):
+        kept += r["count"]
+        if kept > hot:
+            break
+        cut = r["level"]
+    top = short.where(F.col("level") >= F.lit(cut)).select("pretoken", "pieces")
     frequent = {r[0]: r[1] for r in top.collect()}  # at most ``hot`` short strings
     sent = spark.sparkContext.broadcast(frequent)
     per_doc = handoff(docs.mapInArrow(
