@@ -10,9 +10,9 @@ MinHash signatures of eight bytes and a sketch of ``SKETCH`` further bytes.
   longest common prefix.  So the depth adapts: in a sparse region neighbours
   share a short prefix, in a crowded one a long prefix.  A candidate goes on if
   sizes and sketches allow the similarity.
-* Links are confirmed on full sets, first each node's best candidate, then
-  every candidate pair whose ends are still in different components.  Pairs
-  inside a component can no longer change it.  So a group of thousands of near
+* Links are confirmed on full sets in rounds: each node's best candidate, then
+  its next ones, at last every candidate pair whose ends are still in different
+  components.  Pairs inside a component can no longer change it.  So a group of thousands of near
   copies costs a few confirmations for each member, not one for each pair.
 * Components come from star steps (:mod:`daybook.llm.components`).
 """
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.common import handoff, slices
@@ -32,9 +32,11 @@ from daybook.llm.components import components
 
 TREES = 24
 DEPTH = 8                 # bytes of a tree's signature: a 64-bit sort key
-SKETCH = 32
-SKETCH_LEAST = 14         # of SKETCH equal bytes; at similarity 0.8 fewer come once in 100,000 pairs
-NEIGHBOURS = 24
+SKETCH = 64
+SKETCH_LEAST = 38         # of SKETCH equal bytes; at similarity 0.8 fewer come in one of 25,000 pairs
+NEIGHBOURS = 8
+#: Pairs of a node confirmed in each round; the last round takes all that are left.
+ROUNDS = (1, 4)
 MAX_WORDS = 500_000
 MAX_BROADCAST_IDS = 1_000_000
 
@@ -182,6 +184,22 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a bigint, b bigint"))
 
 
+def _best(pairs: DataFrame, most: int) -> DataFrame:
+    """Each node's ``most`` likeliest pairs with a smaller node."""
+    place = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("equal"), "a"))
+    return pairs.withColumn("_place", place).where(F.col("_place") <= most).select("a", "b")
+
+
+def _still_open(pairs: DataFrame, done: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs not yet looked at whose nodes are in different components."""
+    def label(side: str) -> DataFrame:
+        return labels.select(F.col("node").alias(side), F.col("component").alias(f"{side}_label"))
+
+    return (pairs.join(done, ["a", "b"], "left_anti")
+            .join(label("a"), "a", "left").join(label("b"), "b", "left")
+            .where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b", "equal"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
@@ -209,18 +227,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         wanted = F.broadcast(wanted)
     sets = handoff(docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
                    .mapInArrow(_sets(size), "node bigint, members binary").distinct(), "sets")
-    best = (pairs.groupBy("b").agg(F.max_by("a", F.struct("equal", -F.col("a"))).alias("a"))
-            .select("a", "b"))
-    first = handoff(_confirmed(best, sets, percent), "confirmed")
-    labels = handoff(components(first), "labels")
-
-    def label(side: str) -> DataFrame:
-        return labels.select(F.col("node").alias(side), F.col("component").alias(f"{side}_label"))
-
-    open_pairs = (pairs.join(best.withColumn("_done", F.lit(True)), ["a", "b"], "left").where("_done IS NULL")
-                  .join(label("a"), "a", "left").join(label("b"), "b", "left")
-                  .where(~F.coalesce("a_label", "a").eqNullSafe(F.coalesce("b_label", "b"))))
-    links = first.unionByName(_confirmed(open_pairs, sets, percent))
+    links, open_pairs = None, pairs
+    for most in (*ROUNDS, None):
+        chosen = open_pairs if most is None else handoff(_best(open_pairs, most), "chosen")
+        confirmed = handoff(_confirmed(chosen, sets, percent), "confirmed")
+        links = confirmed if links is None else links.unionByName(confirmed)
+        if most is None:
+            break
+        open_pairs = handoff(_still_open(open_pairs, chosen, components(links)), "open-pairs")
+        if open_pairs.isEmpty():
+            break
     # the classes of one id with several texts hang together through their id
     found = components(links.unionByName(
         full.join(classes, "digest").where("doc_id != node")
