@@ -1,0 +1,500 @@
+"""The training-data operators against brute force, on small tables with awkward rows."""
+
+import collections
+import hashlib
+import re
+import zlib
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from daybook.llm import (components, mixing, near_duplicates, neighbours, packing, quality, secrets,
+                         substring_duplicates, token_counts, toxicity, url_filters)
+from daybook.llm.queries import QUERIES, tokenizer_path
+from tests.conftest import SF_SMALL
+
+LONG = "lorem ipsum dolor sit amet consectetur " * 4000
+AWKWARD = [(1, "one two three four five six", "a", "en"), (1, "one two three four five six", "a", "en"),
+           (2, "", "a", None), (3, None, None, "en"), (4, LONG, "b", "en"), (5, LONG + " more", "b", "en"),
+           (None, "no id at all", "b", "en"), (6, " \n\t ", "a", "en"), (7, "ÉTÉ Σας <|endoftext|>x token=abcdef", "a", "fr"),
+           (8, "x", "a", "en"), (9, "one two three four five\x0bsix", "a", "en")]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(AWKWARD, "doc_id bigint, text string, source string, lang string").withColumn(
+        "length", F.lit(1)).withColumn("secrets", F.lit("clash")).withColumn("score", F.lit("clash"))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    return dict(duckdb.sql(f"SELECT doc_id, text FROM '{SF_SMALL}/documents.parquet'").fetchall())
+
+
+@pytest.fixture(scope="module")
+def tok():
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(tokenizer_path())
+
+
+def ids_of(tok, text):
+    return tok.encode(text or "", add_special_tokens=False).ids
+
+
+def result(spark, name):
+    return QUERIES[name](spark, SF_SMALL).collect()
+
+
+def test_no_query_reads_part_of_its_table():
+    source = (Path(packing.__file__).parent / "queries.py").read_text()
+    assert not re.search(r"limit\(|sample\(|head\(", source)
+
+
+# --- packing and token counts
+
+def check_packing(rows, expected, tok, capacity=2048):
+    seen = collections.Counter()
+    by_sequence = collections.defaultdict(list)
+    for r in rows:
+        own = np.array(expected[(r.doc_id, r.start)], dtype="<u4")
+        assert r.length == len(own) and r.ids_crc32 == zlib.crc32(own.tobytes())
+        assert r.start == r.piece * capacity
+        seen[(r.doc_id, r.start)] += 1
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return seen, by_sequence
+
+
+def test_packing_query(spark, texts, tok):
+    expected = {}
+    for doc, text in texts.items():
+        ids = ids_of(tok, text) + [0]
+        for at in range(0, len(ids), 2048):
+            expected[(doc, at)] = ids[at:at + 2048]
+    seen, sequences = check_packing(result(spark, "op1_packing"), expected, tok)
+    assert seen == collections.Counter(expected.keys())
+    assert len(sequences) <= 1 + sum(map(len, expected.values())) / 2048 * 1.02
+
+
+def test_packing_awkward(docs, spark, tok):
+    rows = packing.pack(docs, tokenizer_path()).collect()
+    assert sum(r.length for r in rows) == sum(len(ids_of(tok, t)) + 1 for _, t, *_ in AWKWARD)
+    assert len([r for r in rows if r.doc_id == 1]) == 2 and len([r for r in rows if r.doc_id is None]) == 1
+    assert packing.pack(docs.limit(0), tokenizer_path()).count() == 0
+
+
+def test_plan_places_every_piece_once():
+    rng = np.random.default_rng(0)
+    for top in (1, 7, 40, 2048):
+        lengths = collections.Counter(int(x) for x in rng.integers(1, top + 1, 500))
+        placed, fill = collections.Counter(), collections.Counter()
+        for length, first, last, each, sequence, offset in packing.plan(lengths, 2048):
+            for number in range(first, last):
+                step, own = divmod(number - first, each)
+                placed[(length, number)] += 1
+                spot = (sequence + step, offset + own * length)
+                fill[spot[0]] = max(fill[spot[0]], spot[1] + length)
+        assert placed == collections.Counter({(x, i): 1 for x, n in lengths.items() for i in range(n)})
+        assert max(fill.values()) <= 2048
+        assert len(fill) <= 1.25 * sum(x * n for x, n in lengths.items()) / 2048 + 1
+
+
+def test_token_counts(spark, docs, texts, tok):
+    for r in result(spark, "op7_token_counts"):
+        n = len(ids_of(tok, texts[r.doc_id]))
+        assert (r.n_tokens, r.n_bytes, r.over_limit) == (n, len(texts[r.doc_id].encode()), n > 2048)
+    want = sorted((d or -1, len((t or "").encode()), len(ids_of(tok, t))) for d, t, *_ in AWKWARD)
+    for hot in (0, 3, 1000):
+        got = token_counts.token_counts(docs, tokenizer_path(), hot=hot).collect()
+        assert sorted((r[0] or -1, r[1], r[2]) for r in got) == want
+    assert token_counts.token_counts(docs.limit(0), tokenizer_path()).count() == 0
+
+
+# --- URLs
+
+def naive_url(url):
+    if url is None or "://" not in url:
+        return "", "", None
+    host, path = re.match(r"([^/?#]*)([^?#]*)", url.split("://", 1)[1], re.S).groups()
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = [r.text for r in url_filters.SITE_RULES for h, p in [r.text.split("/", 1)]
+            if (host == h or host.endswith("." + h)) and path.startswith("/" + p)]
+    return host, path, max(fits, key=len, default=None)
+
+
+URLS = ["http://A.Example.NET/en/x", "http://example.net", "http://example.net?/en/", "https://xexample.net/en/1",
+        "http://cheap-pills.org/de/", "http://a.org/fr/1", "http://cheap-pillsx.org/", None, "", "no scheme/casino",
+        "http://x.com/CASINO/1", "http://example.com/de/é", "http://example.com/DE/", "://net/", "http://net:80/"]
+
+
+def test_urls(spark):
+    actions = {r.text: r.action for r in url_filters.SITE_RULES}
+    rules = url_filters.SITE_RULES + url_filters.PATTERN_RULES
+    pages = spark.createDataFrame(list(enumerate(URLS * 2)), "page_id bigint, url string").withColumn(
+        "rule", F.lit("clash"))
+    for known in (len(rules), None):                          # broadcast and shuffled rules
+        rows = url_filters.judge(pages, url_filters.rules_table(spark, rules), known).collect()
+        assert len(rows) == len(URLS) * 2
+        for r in rows:
+            assert (r.host, r.path, r.rule) == naive_url(r.url), r
+            if r.rule:
+                assert r.verdict == actions[r.rule]
+    blocked = {r.url for r in rows if r.rule is None and r.verdict == "block"}
+    assert blocked == {"http://cheap-pills.org/de/", "no scheme/casino", "http://x.com/CASINO/1"}
+    for r in result(spark, "op2_url_filters"):
+        assert r.verdict in ("allow", "block")
+
+
+# --- secrets
+
+def der(tag, body):
+    n = len(body)
+    size = bytes([n]) if n < 128 else bytes([0x80 + (n.bit_length() + 7) // 8]) + n.to_bytes((n.bit_length() + 7) // 8, "big")
+    return bytes([tag]) + size + body
+
+
+def test_secret_structures():
+    import base64
+    import json
+    key = der(0x30, b"".join(der(2, bytes([1]) * k) for k in (1, 60, 3, 60, 30, 30, 30, 30, 30)))
+    wrapped = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2a\x86")) + der(4, key))
+    ssh = secrets.SSH_MAGIC + b"".join(len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"")) + \
+        (1).to_bytes(4, "big") + b"".join(len(x).to_bytes(4, "big") + x for x in (b"pub" * 9, b"priv" * 30))
+
+    def url64(x):
+        return base64.urlsafe_b64encode(x).decode().rstrip("=")
+    token = ".".join([url64(json.dumps({"alg": "HS256"}).encode()), url64(b'{"sub": 1}'), "c2lnbmF0dXJl"])
+    for kind, text in (("der_key_base64", base64.b64encode(key).decode()), ("der_key_hex", key.hex().upper()),
+                       ("der_key_base64", base64.b64encode(wrapped).decode()),
+                       ("ssh_key_base64", base64.b64encode(ssh).decode()), ("signed_token", token)):
+        found = secrets.find(f"é {text} .")
+        assert (kind, 2, 2 + len(text)) in [s[:3] for s in found], kind
+        broken = text[:30] + ("A" if text[30] != "A" else "B") + text[31:]
+        cut = text[:len(text) // 2 // 8 * 8]
+        assert kind not in [s[0] for s in secrets.find(f" {cut} ")] or kind == "signed_token", broken
+    body = "\n".join(re.findall(".{1,64}", base64.b64encode(wrapped).decode()))
+    pem = f"-----BEGIN PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----"
+    assert ("pem_key", 0, len(pem)) in [s[:3] for s in secrets.find(pem)]
+    assert not secrets.find("M" + "A" * 60) and not secrets.find("eyJhbGciOi.aaaa.bbbb")
+
+
+def test_secret_base_and_redaction(spark, docs, texts):
+    assert [s[:3] for s in secrets.find('é PASSWORD = "abc" secret=token:abcdef AKIA' + "B" * 16)] == [
+        ("access", 39, 59)]
+    rows = {r.doc_id: r for r in result(spark, "op3_secrets")}
+    pattern = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+                         re.I | re.A)
+    for doc, text in texts.items():
+        spans = [(m.start(), 0, "assign", m.end()) for m in pattern.finditer(text) if len(m[2]) >= 6]
+        spans += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+        spans += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+        joined = ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(spans))
+        assert rows[doc].base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert rows[doc].n_assign == sum(s[2] == "assign" for s in spans)
+    out = secrets.redact(docs)
+    assert out.count() == len(AWKWARD) and "abcdef" not in str(out.where("doc_id = 7").first().text)
+    assert secrets.scan(docs.limit(0)).count() == 0
+
+
+# --- toxicity
+
+def test_toxicity_learns_words_and_their_misspellings():
+    rng = np.random.default_rng(1)
+    plain = [f"w{i}ord" for i in range(300)]
+
+    def text(bad):
+        words = list(rng.choice(plain, 40))
+        if bad:
+            words[int(rng.integers(40))] = rng.choice(["horrible", "horribles", "xhorrible"])
+        return " ".join(words)
+    labels = [int(i % 3 == 0) for i in range(600)]
+    model = toxicity.train([text(y) for y in labels], labels, bits=14, epochs=120)
+    scorer = toxicity.Scorer(model)
+    right = [(scorer.logit(text(y)) > 0) == bool(y) for y in labels]
+    assert np.mean(right) > 0.95
+    assert scorer.word("horribl3") > max(scorer.word(w) for w in plain[:50])
+
+
+def test_toxicity_awkward(spark, docs):
+    model = toxicity.train([], [])
+    rows = toxicity.score(docs, model).collect()
+    assert len(rows) == len(AWKWARD) and all(0 <= r.score <= 1 for r in rows)
+    assert {r.doc_id: r.held_out for r in rows if r.doc_id} == {
+        d: zlib.crc32(str(d).encode()) % 5 == 0 for d, *_ in AWKWARD if d}
+    none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    assert toxicity.fit(docs, none).weights.max() == 0
+
+
+# --- mixing
+
+def naive_rake(cells, rounds, temper):
+    w = {k: float(v) for k, v in cells.items()}
+    total = [collections.Counter() for _ in range(3)]
+    for k, v in cells.items():
+        for d in range(3):
+            total[d][k[d]] += v
+    target = [{x: v ** temper for x, v in t.items()} for t in total]
+    target = [{x: v / sum(t.values()) for x, v in t.items()} for t in target]
+    for _ in range(rounds):
+        for d in range(3):
+            sums = collections.Counter()
+            for k, v in w.items():
+                sums[k[d]] += v
+            w = {k: v * target[d][k[d]] / sums[k[d]] for k, v in w.items()}
+    return w
+
+
+def test_mixing(spark, docs):
+    rows = result(spark, "op5_mixing")
+    cells = collections.Counter()
+    for r in rows:
+        cells[(r.source, r.lang, r.topic)] += r.n_tokens
+    raked = naive_rake(cells, mixing.ROUNDS, mixing.TEMPER)
+    ratio = {k: raked[k] / cells[k] for k in cells}
+    rate = {(r.source, r.lang, r.topic): r.rate for r in rows}
+    scale = {k: rate[k] / ratio[k] for k in ratio if rate[k] > 0.01}
+    assert max(scale.values()) / min(scale.values()) < 1.001
+    for r in rows:
+        u = int(hashlib.md5(str(r.doc_id).encode()).hexdigest()[:8], 16) / 2 ** 32
+        assert r.sampled == (u < rate[(r.source, r.lang, r.topic)]) or abs(u - r.rate) < 1e-5
+    assert sum(r.n_tokens for r in rows if r.rate >= 1) >= 0.45 * sum(r.n_tokens for r in rows)
+    assert mixing.mix(docs).count() == len(AWKWARD) and mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_mixing_meets_given_targets(spark):
+    rows = [(i, "w " * 100, f"s{i % 2}" if i % 3 else "s0", "en") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    out = mixing.mix(docs, {"source": {"s0": 0.5, "s1": 0.5}})
+    share = out.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("rate")).alias("t")).collect()
+    assert max(r.t for r in share) / min(r.t for r in share) == pytest.approx(1, abs=1e-6)
+
+
+# --- near duplicates
+
+def brute_components(texts, size, percent=80):
+    sets = {}
+    for d, t in texts:
+        w = (t or "").encode().lower().split()
+        own = {tuple(w[i:i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} if w else set()
+        sets.setdefault(d, []).append(own)
+    root = {d: d for d in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            for x in sets[a]:
+                for y in sets[b]:
+                    if x and y and 5 * min(len(x), len(y)) >= 4 * max(len(x), len(y)):
+                        both = len(x & y)
+                        if 100 * both >= percent * (len(x) + len(y) - both):
+                            p, q = sorted((find(a), find(b)))
+                            root[q] = p
+    return {d: find(d) for d in ids}
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for i in rng.integers(0, len(words), n):
+        words[i] = f"e{rng.integers(1 << 30)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_near_duplicates(spark, texts, size):
+    rng = np.random.default_rng(size)
+    rows = list(texts.items())
+    base = [f"b{i}" for i in range(200)]
+    rows += [(10_000 + i, edited(rng, base, int(rng.integers(1, 9)))) for i in range(150)]
+    rows += [(20_000 + i, rows[3][1]) for i in range(50)]
+    rows += [(d, t) for d, t, *_ in AWKWARD if d]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = near_duplicates.near_duplicates(docs, size=size).collect()
+    assert len(got) == len(rows)
+    want = brute_components(rows, size)
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
+def test_near_duplicates_awkward(docs):
+    got = near_duplicates.near_duplicates(docs, size=2).collect()
+    assert len(got) == len(AWKWARD)
+    own = [r for r in got if r.doc_id is None]
+    assert [(r.component_id, r.kept) for r in own] == [(None, True)]
+    assert {r.doc_id: r.n_shingles for r in got}[8] == 1 and {r.doc_id: r.n_shingles for r in got}[2] == 0
+    assert near_duplicates.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_components(spark):
+    rng = np.random.default_rng(3)
+    links = [(i, i + 1) for i in range(1, 60)] + [(100, x) for x in range(101, 160)] + [(5, 5)] + [
+        (int(a), int(b)) for a, b in rng.integers(1000, 1200, (150, 2))]
+    got = {r.node: r.component for r in components.components(
+        spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a, b in links:
+        p, q = sorted((find(a), find(b)))
+        root[q] = p
+    assert got == {x: find(x) for x in root if find(x) != x or any(find(y) == x and y != x for y in root)}
+
+
+# --- substring duplicates
+
+def test_substring_duplicates(spark, docs):
+    rng = np.random.default_rng(8)
+
+    def words(n):
+        return [f"w{x}" for x in rng.integers(0, 5000, n)]
+    passage = words(80)
+    fuzzy = passage[:30] + ["x", "y"] + passage[31:55] + passage[57:]
+    rows = [(0, " ".join(words(100) + passage + words(50))), (1, " ".join(words(40) + fuzzy + words(90))),
+            (2, " ".join(words(300))), (3, " ".join(passage)), (4, " ".join(words(60) + passage[:40] + words(60)))]
+    got = {(r.doc_id, r.match_doc_id): r for r in substring_duplicates.repeated_passages(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert set(got) == {(1, 0), (3, 0)}
+    assert (got[(3, 0)].start, got[(3, 0)].end, got[(3, 0)].match_start, got[(3, 0)].n_equal) == (0, 80, 100, 80)
+    assert got[(1, 0)].start == 40 and got[(1, 0)].end == 40 + len(fuzzy) and got[(1, 0)].n_equal >= 75
+    long = {(r.doc_id, r.match_doc_id) for r in substring_duplicates.repeated_passages(docs).collect()}
+    assert long == {(5, 4)}
+    assert substring_duplicates.repeated_passages(docs.limit(0)).count() == 0
+
+
+def test_chains_are_the_best():
+    rng = np.random.default_rng(5)
+    k, cost, gap = substring_duplicates.K, substring_duplicates.GAP_COST, substring_duplicates.MAX_GAP
+    for _ in range(30):
+        n = int(rng.integers(2, 9))
+        x, y = [int(v) for v in rng.integers(0, 60, n)], [int(v) for v in rng.integers(0, 60, n)]
+        order = sorted(range(n), key=lambda i: (x[i], y[i]))
+        best = {i: float(k) for i in range(n)}
+        for i in order:
+            for j in order:
+                if x[j] < x[i] and y[j] < y[i] and max(x[i] - x[j], y[i] - y[j]) <= gap + k:
+                    best[i] = max(best[i], best[j] + min(k, x[i] - x[j], y[i] - y[j])
+                                  - cost * (x[i] - x[j] + y[i] - y[j]))
+        top = substring_duplicates.chains(x, y)[0]
+        assert all(x[a] < x[b] and y[a] < y[b] for a, b in zip(top, top[1:]))
+        got = k + sum(min(k, x[b] - x[a], y[b] - y[a]) - cost * (x[b] - x[a] + y[b] - y[a]) for a, b in zip(top, top[1:]))
+        assert got >= max(best.values()) - k                  # the tree ranks by sums; overlaps are charged after
+
+
+# --- quality
+
+def naive_quality(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = collections.Counter(tuple(words[i:i + 5]) for i in range(len(words) - 4))
+    covered = {i + j for i in range(len(words) - 4) if windows[tuple(words[i:i + 5])] > 1 for j in range(5)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    n, rep = len(words), len(covered)
+    return (n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), rep,
+            n < 10 or 100 * rep > 20 * n)
+
+
+def test_quality(spark, docs, texts):
+    import xxhash
+    rows = result(spark, "op9_quality_rules")
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    for r in rows:
+        assert tuple(r[n] for n in names) == naive_quality(texts[r.doc_id]), r.doc_id
+        assert r.kept == (not r.base_failed and r.score >= quality.THRESHOLD)
+    got = sorted((r.doc_id or -1, *[r[n] for n in names]) for r in quality.rate(
+        docs.select("doc_id", "text"), spark.createDataFrame([(1,)], "doc_id bigint")).collect())
+    assert got == sorted((d or -1, *naive_quality(t)) for d, t, *_ in AWKWARD)
+
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    def buckets(text):
+        w = re.findall(r"[^\x20\x09-\x0D]+", text)
+        own = [xxhash.xxh64_intdigest(x.encode(), 42) for x in w]
+        both = [xxhash.xxh64_intdigest(y.encode(), xxhash.xxh64_intdigest(x.encode(), 42)) for x, y in zip(w, w[1:])]
+        return [signed(x) % quality.BUCKETS for x in own + both]
+    good = {d for d, in duckdb.sql(f"SELECT doc_id FROM '{SF_SMALL}/labels.parquet' GROUP BY 1 HAVING min(quality) = 1"
+                                   ).fetchall()}
+    raw, target = collections.Counter(), collections.Counter()
+    for d, t in texts.items():
+        raw.update(buckets(t))
+        if d in good:
+            target.update(buckets(t))
+    scale = sum(target.values()) / sum(raw.values())
+    weight = {b: round(float(np.log((target[b] + 5) / (raw[b] * scale + 5))), 4) for b in raw}
+    for r in rows:
+        own = buckets(texts[r.doc_id])
+        assert r.score == pytest.approx(np.mean([weight[b] for b in own]) if own else 0, abs=2e-4)
+
+
+# --- neighbours
+
+def test_neighbours(spark):
+    vecs = {i: np.array(v, dtype=np.float64) for i, v in duckdb.sql(
+        f"SELECT vec_id, embedding FROM '{SF_SMALL}/embeddings.parquet'").fetchall()}
+    rows = collections.defaultdict(list)
+    for r in sorted(result(spark, "op10_neighbours"), key=lambda r: r["rank"]):
+        rows[r.query_id].append((r.vec_id, r.score))
+    assert set(rows) == {i for i in vecs if i % 20 == 0}
+    hits = 0
+    for q, found in rows.items():
+        exact = sorted(((-float(v @ vecs[q]), i) for i, v in vecs.items() if i != q))[:20]
+        hits += len({i for _, i in exact} & {i for i, _ in found})
+        for i, s in found:
+            assert s == pytest.approx(float(vecs[i] @ vecs[q]), abs=1e-12)
+        assert [(-s, i) for i, s in found] == sorted((-s, i) for i, s in found) and len(found) == 20
+    assert hits >= 0.95 * 20 * len(rows)
+
+
+def test_neighbours_recall_on_hard_vectors_and_awkward_rows(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(3000, 32)) * rng.uniform(0.2, 3, (3000, 1))
+    q = np.arange(0, 3000, 60)
+    a, b, _ = neighbours.search(x, np.arange(3000), x[q], q, 20)
+    score = x[q] @ x.T
+    score[np.arange(len(q)), q] = -np.inf
+    best = np.argsort(-score, axis=1)[:, :20]
+    got = collections.defaultdict(set)
+    for i, j in zip(a, b):
+        got[i].add(j)
+    assert np.mean([len(got[i] & set(r)) / 20 for i, r in zip(q, best)]) >= 0.9
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (1, [0.5, 0.5]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]),
+            (5, [None, 1.0]), (6, []), (None, [1.0, 1.0]), (7, [1.0, 0.0, 0.0]), (8, [0.5, 0.7])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    out = neighbours.nearest(df, lambda i: i % 20 == 0).collect()
+    assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in sorted(out, key=lambda r: r["rank"])] == [
+        (0, 1, 1, 0.5), (0, 2, 8, 0.5)]
+    assert neighbours.nearest(df.limit(0), lambda i: i % 20 == 0).count() == 0
+
+
+# --- pipeline
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    null = spark.createDataFrame([(None, None, None, None, None), (99_999, "", None, None, 0)], docs.schema)
+    docs = docs.unionByName(null)
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "secrets", "mixing", "packing"]
+    before = docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.handoff(stage(spark, docs, SF_SMALL), f"test-{name}")
+        n = docs.count()
+        assert docs.columns == null.columns and 0.4 * before <= n <= before
+        assert name != "secrets" or n == before
+        before = n
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL)
+    assert packed.where("piece = 0").count() == before
