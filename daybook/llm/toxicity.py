@@ -33,7 +33,7 @@ BITS = 17
 DIM = 8
 WINDOW = 10
 STRIDE = 5
-EPOCHS = 120
+EPOCHS = 80
 #: Gradient descent with momentum; step sizes of the vectors, the softmax and its bias.
 RATES = (60.0, 0.003, 0.1)
 MOMENTUM = 0.9
