@@ -7,7 +7,6 @@ functions  column helpers built from Spark built-ins
 operators  filters, joins, aggregates, fills, reshaping, report layouts
 plans      the stages of the daily regional roll-up, the analysis questions and
            the registered queries with their SQL oracles
-streaming  (empty: the reference has no streaming workload)
 """
 
 __version__ = "0.1.0"

@@ -22,7 +22,7 @@ def render_day(c, fmt: str = "yyyy-MM-dd") -> Column:
 
 def day_of(c) -> Column:
     """timestamp (or timestamp text) -> day, in the session time zone (UTC)."""
-    return F.to_date(_c(c))
+    return _c(c).try_cast("date")
 
 
 def quarter_label(c) -> Column:
@@ -33,4 +33,4 @@ def quarter_label(c) -> Column:
 
 def month_bucket(c) -> Column:
     """First day of the month: the default time bucket of the two-phase fills."""
-    return F.trunc(F.to_date(_c(c)), "month")
+    return F.trunc(_c(c).try_cast("date"), "month")

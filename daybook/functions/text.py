@@ -22,7 +22,7 @@ def prefix(c, n: int = 10) -> Column:
 
 def code_suffix(c, start: int = 4) -> Column:
     """lower-case and keep the text from character ``start`` on (``IN-KL`` -> ``kl``)."""
-    return F.substring(F.lower(_c(c)), start, 1 << 30)
+    return F.substr(F.lower(_c(c)), F.lit(start))
 
 
 def split_part(c, index: int, sep: str = " ") -> Column:
@@ -74,7 +74,7 @@ def two_line_tail(c) -> Column:
 
 def first_token_tail(c) -> Column:
     """first blank-separated token without its first character."""
-    return F.substring(F.try_element_at(F.split(_c(c), " "), F.lit(1)), 2, 1 << 30)
+    return F.substr(F.try_element_at(F.split(_c(c), " "), F.lit(1)), F.lit(2))
 
 
 def recode(c, mapping: dict) -> Column:

@@ -111,7 +111,10 @@ def fill_gaps(df: DataFrame, cols: Sequence[str], order_col: str,
     windowed = base.select("*", *local, *edge)
     edges = windowed.groupBy(*part).agg(*[F.max(f"_edge_{c}").alias(f"_edge_{c}") for c in cols])
     carried = edges.select(*part, *carry)
-    joined = windowed.join(carried, part, "left")
+    # null-safe: a null key or a null order value has a bucket of its own
+    carried = carried.select(*[F.col(c).alias(f"_of_{c}") for c in part],
+                             *[f"_carry_{c}" for c in cols])
+    joined = windowed.join(carried, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in part], "left")
     out_cols = []
     for f in df.schema.fields:
         if f.name in cols:

@@ -330,7 +330,7 @@ def apply_row_patches(rows: DataFrame, layouts: Sequence[Layout], doc_col: str =
             out = out.join(bounded_broadcast(src_rows), (F.col(doc_col) == F.col("_doc"))
                            & in_layout & (F.col("rel_row") == dst), "left")
             head = F.slice(F.col(cells_col), 1, lay.region_cell + 1)
-            tail = F.slice(F.col("_src_cells"), lay.region_cell + 2, 1 << 20)
+            tail = F.slice(F.col("_src_cells"), lay.region_cell + 2, F.size("_src_cells"))
             out = out.withColumn(cells_col, F.when(F.col("_src_cells").isNotNull(),
                                                    F.concat(head, tail))
                                  .otherwise(F.col(cells_col))).drop("_doc", "_src_cells")

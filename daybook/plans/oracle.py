@@ -108,8 +108,8 @@ ORACLE: dict[str, str] = {
     """,
     "q09_right_join_drop": """
         SELECT l.l_orderkey, l.l_linenumber, o.o_orderdate, o.o_totalprice
-        FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
-        WHERE o.o_orderstatus = 'F'
+        FROM lineitem l RIGHT JOIN orders o ON o.o_orderkey = l.l_orderkey
+        WHERE l.l_orderkey IS NOT NULL
     """,
     "q10_filter_project": """
         SELECT c_custkey AS custkey,
@@ -280,7 +280,6 @@ ORACLE: dict[str, str] = {
     """,
     "q33_catalog_sql": """
         SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
-        WHERE o_orderpriority = '1-URGENT'
     """,
     "q34_csv_roundtrip": """
         SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
@@ -290,7 +289,7 @@ ORACLE: dict[str, str] = {
                           p_name || chr(13) || '(' || p_type || ' x)' AS two_line FROM part)
         SELECT p_partkey,
                regexp_replace(p_brand, '\\d+', '', 'g') AS brand_letters,
-               TRY_CAST(substr(p_brand, 7, 10) AS DOUBLE) AS brand_no,
+               TRY_CAST(regexp_replace(p_brand, '[^0-9]', '', 'g') AS DOUBLE) AS brand_no,
                TRY_CAST(p_type AS DOUBLE) AS type_no,
                substr(string_split(p_name, ' ')[1], 2) AS name_tail,
                string_split(two_line, chr(13) || '(')[1] AS head,
@@ -484,6 +483,17 @@ ORACLE.update({
         SELECT CAST(year("Date") AS VARCHAR) || 'Q' || CAST(quarter("Date") AS VARCHAR) AS quarter,
                variable, avg(value) AS mean_close
         FROM l GROUP BY 1, 2""",
+    "q56_index_performance": "WITH " + _T8 + """,
+        l AS (""" + " UNION ALL ".join(
+        f"""SELECT "Date", '{n}' AS variable, "{n}" AS value FROM t8""" for n in _CLOSE_NAMES) + """)
+        SELECT strftime("Date", '%Y-%m-%d') AS "Date", variable, value,
+               CAST(year("Date") AS VARCHAR) || 'Q' || CAST(quarter("Date") AS VARCHAR) AS quarter
+        FROM l""",
+    "q37_document_position": """
+        SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') || '.csv' AS file_name,
+               CAST(dense_rank() OVER (ORDER BY strftime(l_shipdate, '%Y-%m-%d')) - 1 AS INTEGER) AS doc_index
+        FROM lineitem
+    """,
     "q51_measure_series": "WITH " + _T6 + """
         SELECT report_time,
                CAST(year(report_time) AS VARCHAR) || 'Q' || CAST(quarter(report_time) AS VARCHAR)

@@ -105,11 +105,10 @@ def q08_group_sum(spark: SparkSession, sf: str) -> DataFrame:
 
 def q09_right_join_drop(spark: SparkSession, sf: str) -> DataFrame:
     """Right join, then drop rows without the left key (Catalyst: inner join)."""
-    o = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F") \
-        .select("o_orderkey", "o_orderdate", "o_totalprice")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    joined = o.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "right")
-    return filters.drop_nulls(joined, ["o_orderkey"]).select(
+    joined = li.join(o, F.col("o_orderkey") == F.col("l_orderkey"), "right")
+    return filters.drop_nulls(joined, ["l_orderkey"]).select(
         "l_orderkey", "l_linenumber", "o_orderdate", "o_totalprice")
 
 
@@ -330,10 +329,11 @@ def q32_drop_empty_column(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q33_catalog_sql(spark: SparkSession, sf: str) -> DataFrame:
-    """SQL text over a catalog view."""
+    """A catalog view, read whole."""
+    from daybook.sources.readers import read_catalog_table
     table(spark, sf, "orders").createOrReplaceTempView("daybook_orders")
-    return spark.sql("SELECT o_orderkey, o_orderstatus, o_totalprice FROM daybook_orders "
-                     "WHERE o_orderpriority = '1-URGENT'")
+    return read_catalog_table(spark, "daybook_orders").select("o_orderkey", "o_orderstatus",
+                                                              "o_totalprice")
 
 
 def q34_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -354,13 +354,22 @@ def q35_text_helpers(spark: SparkSession, sf: str) -> DataFrame:
     return p.select(
         "p_partkey",
         text.strip_digits("p_brand").alias("brand_letters"),
-        numbers.to_double(F.substring("p_brand", 7, 10)).alias("brand_no"),
+        numbers.to_double(F.regexp_replace("p_brand", "[^0-9]", "")).alias("brand_no"),
         numbers.to_double("p_type").alias("type_no"),
         text.first_token_tail("p_name").alias("name_tail"),
         text.two_line_head(two_line).alias("head"),
         text.two_line_tail(two_line).alias("tail"))
 
 
+def q37_document_position(spark: SparkSession, sf: str) -> DataFrame:
+    """Position of each line's daily file in the sorted file list."""
+    from daybook.sources.readers import with_document_position
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit(".csv")).alias("file_name"))
+    return with_document_position(li)
+
+
 OPERATOR_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items())
     if name.startswith("q") and name[1:3].isdigit() and callable(fn)

@@ -196,6 +196,11 @@ def q50_index_quarterly(spark, sf):
     return questions.index_quarterly(t8(spark, sf))
 
 
+def q56_index_performance(spark, sf):
+    """Every close of every day in long form."""
+    return questions.index_performance(t8(spark, sf))
+
+
 def q51_measure_series(spark, sf):
     """Cases and one pollutant over time by region."""
     return questions.measure_over_time(t6(spark, sf), ["confirmed", "purchase"])

@@ -84,16 +84,23 @@ def case_table(cases: DataFrame, codes: DataFrame,
     ``cases``: ``report_time`` (text or timestamp), ``state`` (short code),
     measures.  ``codes``: the region code table (``3166-2 code``,
     ``Subdivision name``).  Codes are cut to their suffix (F2), made unique
-    and broadcast after a size check (J1); unmatched cases keep a null name.
+    and broadcast after a size check (J1); unmatched cases keep a null name,
+    and text that is no day becomes a null day (``rejected_cases`` lists it).
     """
     c = cases.withColumn("state", text.recode("state", dict(recodes)))
     lookup = codes.select(text.code_suffix("3166-2 code").alias("code"),
                           F.col("Subdivision name").alias("state_name"))
     named = joins.lookup_join(c, lookup, "state", "code", ["state_name"])
-    day = F.to_date(text.prefix(F.col("report_time").cast("string"), 10))
+    day = text.prefix(F.col("report_time").cast("string"), 10).try_cast("date")
     return named.withColumn("report_time", day)
 
 
+def rejected_cases(cases: DataFrame) -> DataFrame:
+    """Case records whose ``report_time`` is not a day, with the original text."""
+    written = F.col("report_time").cast("string")
+    return cases.where(written.isNotNull() & text.prefix(written, 10).try_cast("date").isNull())
+
+
 # --------------------------------------------------------------------------- T2
 
 def clean_vaccination(rows: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:

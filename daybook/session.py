@@ -91,15 +91,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return current
+    if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="daybook-ckpt-")
-    if sc is None:
-        return local
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint folder for written hand-offs."""
+    """A fresh sub-folder of the checkpoint folder for written hand-offs.
+
+    It is deleted when the application ends.
+    """
     base = ensure_checkpoint_dir(spark)
-    suffix = os.urandom(6).hex()
-    return f"{base.rstrip('/')}/{name}-{suffix}"
+    path = f"{base.rstrip('/')}/{name}-{os.urandom(6).hex()}"
+    sc = _context(spark)
+    if sc is not None:
+        place = sc._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path

@@ -6,7 +6,7 @@ same types on every run, and column pruning / filter pushdown stay possible.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daybook import schemas
@@ -47,6 +47,18 @@ def with_file_date(df: DataFrame, name: str = "report_date", length: int = 10) -
                                              "yyyy-MM-dd"))
 
 
+def with_document_position(df: DataFrame, file_col: str = "file_name",
+                           name: str = "doc_index") -> DataFrame:
+    """Position of each row's file in the sorted list of file names, from 0.
+
+    The positions are numbered on the distinct file names (a table as long as
+    the file list) and joined back; a null name has a null position.
+    """
+    files = df.select(F.col(file_col).alias("_file")).where(F.col("_file").isNotNull()).distinct()
+    numbered = files.select("_file", (F.row_number().over(Window.orderBy("_file")) - 1).alias(name))
+    return df.drop(name).join(numbered, F.col(file_col) == F.col("_file"), "left").drop("_file")
+
+
 def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
     """A table or view of the session catalog (``db.table`` or a temp view)."""
     return spark.table(name)
@@ -64,11 +76,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     for a large table made of many files -- it is returned unchanged and
     costs nothing.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access: leave as is
-        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    current = df.rdd.getNumPartitions()
     if 2 * current >= target:
         return df
     return df.repartition(target, *[F.col(c) for c in df.columns])

@@ -222,3 +222,32 @@ def test_window_fill_refuses_global_window(spark):
     df = spark.createDataFrame(FILL_ROWS, "region string, day date, co double")
     with pytest.raises(ValueError):
         fills.fill_forward(df, ["co"], "day", method="window")
+
+
+def test_two_phase_fill_carries_null_keys_like_the_window(spark):
+    rows = [(None, "2020-01-01", 5.0), (None, "2020-01-02", None), (None, "2020-02-01", None),
+            ("a", "2020-01-05", None), ("a", "2020-03-01", 2.0), ("a", None, None), ("a", None, 1.0)]
+    df = spark.createDataFrame(rows, "k string, d string, v double").withColumn("d", F.to_date("d"))
+    for fill in (fills.fill_forward, fills.fill_backward):
+        want = sorted(map(str, fill(df, ["v"], "d", ["k"], method="window").collect()))
+        got = sorted(map(str, fill(df, ["v"], "d", ["k"]).collect()))
+        if fill is fills.fill_forward:
+            assert str(fill(df, ["v"], "d", ["k"]).where("k IS NULL AND v IS NULL").count()) == "0"
+        assert got == want
+
+
+def test_document_position(spark):
+    from daybook.sources.readers import with_document_position
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("b",), ("c",)], "file_name string")
+    got = {(r.file_name, r.doc_index) for r in with_document_position(df).collect()}
+    assert got == {("a", 0), ("b", 1), ("c", 2), (None, None)}
+
+
+def test_text_that_is_no_day_is_null_and_listed(spark):
+    from daybook.plans.stages import case_table, rejected_cases
+    cases = spark.createDataFrame([("2020-01-30T00:00", "kl", 1), ("soon", "kl", 2), (None, "xx", 3)],
+                                  "report_time string, state string, confirmed int")
+    codes = spark.createDataFrame([("IN-KL", "Kerala")], ["3166-2 code", "Subdivision name"])
+    got = {r.confirmed: (str(r.report_time), r.state_name) for r in case_table(cases, codes).collect()}
+    assert got == {1: ("2020-01-30", "Kerala"), 2: ("None", "Kerala"), 3: ("None", None)}
+    assert [r.report_time for r in rejected_cases(cases).collect()] == ["soon"]
