@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,8 +44,8 @@ SCALE = 5.0               # size of the softmax's first weights
 SEED = 20
 #: The training sample: at most this many documents of each class, none longer
 #: than MAX_TRAIN_CHARS (longer ones are scored, not learnt from).
-MAX_POSITIVE = 1500
-MAX_NEGATIVE = 3000
+MAX_POSITIVE = 700
+MAX_NEGATIVE = 3300
 MAX_TRAIN_CHARS = 16_000
 MAX_WORDS = 600_000
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
@@ -90,7 +91,7 @@ def train(texts: list[str], labels: list[int], bits: int = BITS, dim: int = DIM,
         rate = (y.sum() + 1) / (len(y) + 2)
         return Model(np.zeros(1 << bits, np.float32), float(np.log(rate / (1 - rate))))
     vocab: dict[str, int] = {}
-    tokens, bounds, owner = [], [], []
+    tokens, bounds, owner = array("I"), [], []
     at = 0
     for doc, text in enumerate(texts):
         ids = [vocab.setdefault(clean(w), len(vocab)) for w in words_of(text)]
@@ -98,26 +99,29 @@ def train(texts: list[str], labels: list[int], bits: int = BITS, dim: int = DIM,
             if b > a:
                 bounds.append((at + a, at + b))
                 owner.append(doc)
-        tokens += ids
+        tokens.extend(ids)
         at += len(ids)
-    bags = [grams(w, bits) for w in vocab]
-    flat = np.array([g for b in bags for g in b], dtype=np.int64)
-    sizes = np.array([len(b) for b in bags])
-    word_of = np.repeat(np.arange(len(bags)), sizes)
+    bags, sizes = array("I"), array("I")                     # compact: some millions of n-grams
+    for w in vocab:
+        own = grams(w, bits)
+        bags.extend(own)
+        sizes.append(len(own))
+    flat = np.frombuffer(bags, np.uint32).astype(np.intp)
+    del bags
+    sizes = np.frombuffer(sizes, np.uint32).astype(np.intp)
     first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    tokens = np.array(tokens, dtype=np.int64)
+    tokens = np.frombuffer(tokens, np.uint32).astype(np.intp)
     lo, hi = np.array(bounds, dtype=np.int64).T
     owner = np.array(owner)
     width = (hi - lo).astype(np.float64)
-    used, flat = np.unique(flat, return_inverse=True)        # only the buckets that occur
     heads = np.flatnonzero(np.diff(owner, prepend=-1))
     spread = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(owner))))
     target = y[owner[heads]]
-    emb = rng.normal(0, 0.01, (len(used), dim))
+    emb = rng.normal(0, 0.01, (1 << bits, dim))
     out = rng.choice([-1.0, 1.0], (dim, 1)) * np.array([[-SCALE, SCALE]])
     bias = np.array([0.0, np.log(target.mean() / (1 - target.mean()))])
     # frequent n-grams take smaller steps: their gradients are sums over many words
-    often = np.bincount(flat, np.bincount(tokens, minlength=len(bags))[word_of], len(used))
+    often = np.bincount(flat, np.repeat(np.bincount(tokens, minlength=len(sizes)), sizes), 1 << bits)
     damp = 1 / np.sqrt(np.maximum(1.0, often / FREQUENT))
     params = [emb, out, bias]
     speed = [np.zeros_like(p) for p in params]
@@ -134,17 +138,16 @@ def train(texts: list[str], labels: list[int], bits: int = BITS, dim: int = DIM,
         err = 1 / (1 + np.exp(-np.clip(pooled, -30, 30))) - target
         d_gap = err[spread] * share / len(heads)
         edge = np.bincount(lo, d_gap / width, len(tokens) + 1) - np.bincount(hi, d_gap / width, len(tokens) + 1)
-        d_word = np.bincount(tokens, np.cumsum(edge[:-1]), len(bags)) / sizes
-        d_emb = np.bincount(flat, d_word[word_of], len(used))
+        d_word = np.bincount(tokens, np.cumsum(edge[:-1]), len(sizes)) / sizes
+        d_emb = np.bincount(flat, np.repeat(d_word, sizes), 1 << bits)
         d_out = emb.T @ d_emb
         grads = [np.outer(d_emb * damp, along), np.stack([-d_out, d_out], axis=1), np.array([-1.0, 1.0]) * d_gap.sum()]
         for p, v, g, rate in zip(params, speed, grads, RATES):
             v *= MOMENTUM
             v -= rate * (g + DECAY * p)
             p += v
-    weights = np.zeros(1 << bits, np.float32)
-    weights[used] = emb @ (out[:, 1] - out[:, 0])
-    return Model(weights, float(bias[1] - bias[0]))
+    weights = np.where(often > 0, emb @ (out[:, 1] - out[:, 0]), 0)  # n-grams never seen weigh nothing
+    return Model(weights.astype(np.float32), float(bias[1] - bias[0]))
 
 
 class Scorer:
