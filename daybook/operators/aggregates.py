@@ -47,6 +47,18 @@ def group_mean(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
             .agg(*[F.avg(m).alias(n) for m, n in zip(measures, names)]))
 
 
+def group_mean_exact(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """A2 whose result does not depend on the order of rows: values are summed as
+    decimals of ten places and divided by their count; null keys dropped.
+
+    For means that are rounded afterwards: a plain double sum may land on
+    either side of a tie from run to run.
+    """
+    exact = {m: F.col(m).cast("decimal(38,10)") for m in measures}
+    return (_non_null_keys(df, keys).groupBy(*keys)
+            .agg(*[F.try_divide(F.sum(c).cast("double"), F.count(c)).alias(m) for m, c in exact.items()]))
+
+
 def mixed_rollup(df: DataFrame, keys: Sequence[str], sums: Sequence[str],
                  means: Sequence[str], sum_cast: str | None = "bigint") -> DataFrame:
     """A5: several sums and several means by the same keys, one aggregate."""

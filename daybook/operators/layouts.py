@@ -359,6 +359,26 @@ def normalize_reports(cells: DataFrame, layouts: Sequence[Layout], dispatch: Seq
     return normalize_rows(body, layouts, measures, keep=["day", doc_col, "rel_row"])
 
 
+def rejected_documents(cells: DataFrame, dispatch: Sequence[tuple], trim: TrimRules,
+                       doc_col: str = "doc_index") -> DataFrame:
+    """Documents that :func:`normalize_reports` can't place: ``doc_col, reason, n_rows``.
+
+    ``no layout``: no dispatch rule fits the position (or it is null);
+    ``no body table``: several tables, but not the one that holds the body.
+    One partial aggregate by document.
+    """
+    doc = F.col(doc_col)
+    body_table = position_case(doc, trim.body_table, trim.default_body_table)
+    per_doc = cells.groupBy(doc_col).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("table_index").alias("_first"),
+        F.max("table_index").alias("_last"),
+        F.max(F.col("table_index") == body_table).alias("_has_body"))
+    reason = (F.when(doc.isNull() | position_case(doc, dispatch, None).isNull(), "no layout")
+              .when((F.col("_first") != F.col("_last")) & ~F.col("_has_body"), "no body table"))
+    return (per_doc.withColumn("reason", reason).where(F.col("reason").isNotNull())
+            .select(doc_col, "reason", "n_rows"))
+
+
 def rejected_rows(normalized: DataFrame) -> DataFrame:
     """The reject table of §2.12: normalized report rows with at least one cell
     that was not a number or a cell group with more numbers than names.

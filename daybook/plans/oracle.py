@@ -403,8 +403,8 @@ _T5 = _T4 + """,
         SELECT 'Station ' || CAST(s.s_suppkey AS VARCHAR) AS city, n.n_name AS state
         FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),
     t5_mean AS (
-        SELECT t4.day, c.state AS region, avg(click) AS click, avg(error) AS error,
-               avg(purchase) AS purchase, avg(signup) AS signup, avg("view") AS "view"
+        SELECT t4.day, c.state AS region, """ + ",\n               ".join(
+    f'CAST(sum(CAST("{t}" AS DECIMAL(38, 10))) AS DOUBLE) / count("{t}") AS "{t}"' for t in _TYPES) + """
         FROM t4 LEFT JOIN t5_cities c ON t4.city_refined = c.city
         WHERE t4.day IS NOT NULL AND c.state IS NOT NULL GROUP BY 1, 2),
     t5_fill AS (
@@ -414,7 +414,7 @@ _T5 = _T4 + """,
         FROM t5_mean),
     t5 AS (
         SELECT day, region, """ + ", ".join(
-    f'round_even(round("{t}" * 100, 6), 0) / 100 AS "{t}"' for t in _TYPES) + """
+    f'round_even("{t}" * 100, 0) / 100 AS "{t}"' for t in _TYPES) + """
         FROM t5_fill)
 """
 

@@ -178,12 +178,12 @@ def pollution_by_region(stations: DataFrame, city_regions: DataFrame,
     city names fan a station out to every listed region (the reference's
     behaviour).  Means are unweighted means of station means.  ``fill`` is
     ``backward`` (what the reference's code ends up doing), ``forward``,
-    ``both`` or ``none``.  Rounding is half-even after snapping the scaled
-    mean to 6 decimals, so ties do not depend on summation order.
+    ``both`` or ``none``.  Means are summed exactly, so that the rounding
+    (F14) does not depend on summation order.
     """
     cities = city_regions.select(F.col("Name of City").alias("_city"), F.col("State"))
     j = joins.fanout_join(stations, cities, "city_refined", "_city")
-    region = agg.group_mean(j, ["day", "State"], list(pollutants)) \
+    region = agg.group_mean_exact(j, ["day", "State"], list(pollutants)) \
         .withColumnRenamed("State", "region")
     # one row per (day, region): a region's series is bounded by the number
     # of days, so a plain per-region window is the cheapest correct plan
@@ -195,7 +195,7 @@ def pollution_by_region(stations: DataFrame, city_regions: DataFrame,
         region = fills.fill_both(region, list(pollutants), "day", ["region"], method="window")
     if places is not None:
         for p in pollutants:
-            region = region.withColumn(p, numbers.round_half_even(p, places, snap=6))
+            region = region.withColumn(p, numbers.round_half_even(p, places))
     return region
 
 
