@@ -32,7 +32,7 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     else:
         out = (edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                .unionByName(least.select("u", F.col("m").alias("v"))))
-    return out.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    return out.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -47,7 +47,8 @@ def components(links: DataFrame) -> DataFrame:
     for _ in range(MAX_STEPS):
         if not state[0]:
             break
-        edges = handoff(_stars(_stars(edges, True), False), "links")
+        # a large star makes no more rows than it reads: repeats may wait for the small one
+        edges = handoff(_stars(_stars(edges, True), False).distinct(), "links")
         before, state = state, _state(edges)
         if state == before:
             break

@@ -12,7 +12,8 @@ MinHash signatures of eight bytes and a sketch of ``SKETCH`` further bytes.
   sizes and sketches allow the similarity.
 * Links are confirmed on full sets in rounds: each node's best candidate, then
   its next ones, at last every candidate pair whose ends are still in different
-  components.  Pairs inside a component can no longer change it.  So a group of thousands of near
+  components.  Pairs inside a component can no longer change it, and a round
+  starts from the components of the one before.  So a group of thousands of near
   copies costs a few confirmations for each member, not one for each pair.
 * Components come from star steps (:mod:`daybook.llm.components`).
 """
@@ -227,21 +228,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         wanted = F.broadcast(wanted)
     sets = handoff(docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
                    .mapInArrow(_sets(size), "node bigint, members binary").distinct(), "sets")
-    links, open_pairs = None, pairs
+    # the classes of one id with several texts hang together through their id
+    links = (full.join(classes, "digest").where("doc_id != node")
+             .groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
+             .where("a != b").select("a", "b"))
+    open_pairs = pairs
     for most in (*ROUNDS, None):
         chosen = open_pairs if most is None else handoff(_best(open_pairs, most), "chosen")
-        confirmed = handoff(_confirmed(chosen, sets, percent), "confirmed")
-        links = confirmed if links is None else links.unionByName(confirmed)
+        links = links.unionByName(_confirmed(chosen, sets, percent))
+        found = components(links)
         if most is None:
             break
-        open_pairs = handoff(_still_open(open_pairs, chosen, components(links)), "open-pairs")
+        open_pairs = handoff(_still_open(open_pairs, chosen, found), "open-pairs")
         if open_pairs.isEmpty():
             break
-    # the classes of one id with several texts hang together through their id
-    found = components(links.unionByName(
-        full.join(classes, "digest").where("doc_id != node")
-        .groupBy("doc_id").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-        .where("least != most").select(F.col("least").alias("a"), F.col("most").alias("b"))))
+        # a link from each node to its component says all that the links so far did
+        links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     of_class = handoff(classes.join(found, "node", "left")
                        .select("digest", F.coalesce("component", "node").alias("component_id")), "components")
     return (nodes.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
