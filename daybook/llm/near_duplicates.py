@@ -229,9 +229,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     sets = handoff(docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
                    .mapInArrow(_sets(size), "node bigint, members binary").distinct(), "sets")
     # the classes of one id with several texts hang together through their id
-    links = (full.join(classes, "digest").where("doc_id != node")
-             .groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-             .where("a != b").select("a", "b"))
+    several = (full.select("doc_id", F.xxhash64("digest").alias("h")).groupBy("doc_id")
+               .agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least != most").select("doc_id"))
+    links = (full.select("doc_id", "digest").join(several, "doc_id").join(classes, "digest")
+             .select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
     open_pairs = pairs
     for most in (*ROUNDS, None):
         chosen = open_pairs if most is None else handoff(_best(open_pairs, most), "chosen")

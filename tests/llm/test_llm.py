@@ -336,6 +336,15 @@ def test_near_duplicates_awkward(docs):
     assert near_duplicates.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_ids_with_several_texts(spark):
+    rows = [(3, "one two three"), (5, "one two three"), (5, "four five six"), (7, "four five six"),
+            (7, "seven eight nine"), (7, "seven eight nine"), (8, "seven eight nine"), (9, "ten eleven"), (9, "twelve")]
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), size=2).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {
+        (3, 3, True), (5, 3, False), (7, 3, False), (8, 3, False), (9, 9, True)}
+    assert len(got) == len(rows)
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     links = [(i, i + 1) for i in range(1, 60)] + [(100, x) for x in range(101, 160)] + [(5, 5)] + [
