@@ -3,10 +3,13 @@
 The tokens (words) of the documents are summed by cell (source, language,
 topic).  Raking scales the cells until their sums by source, by language and
 by topic meet the targets.  A cell's rate is its raked over its present weight,
-scaled so that half of the tokens have a rate of at least 1.  A document's
-sampling probability is its cell's rate, at most 1; a rate above 1 is how often
-a trainer should repeat it.  Whether a document is drawn depends on a hash of
-its id alone, so a rerun draws the same.
+scaled so that half of the tokens have a rate of at least 1.  The targets are
+met, up to the draws, in two ways: ``copies`` takes a document as often as its
+rate says (the whole part, and one more by a draw for the rest), and ``chosen``
+takes it at most once, by a draw under its rate over the greatest one.
+``sampled`` tells whether there is a copy at all; its rows alone don't meet the
+targets where rates are above 1.  Draws depend on a hash of the id alone, so a
+rerun draws the same.
 
 All in DataFrame functions.  Each round is three aggregates of the cell table
 joined back to it; every round is written in the shared folder.
@@ -88,13 +91,16 @@ def rake(table: DataFrame, given: Mapping[str, Mapping[str, float]] | None = Non
 def rates(raked: DataFrame) -> DataFrame:
     """The cell table with ``rate``: raked over present weight, 1 at the token-weighted quantile ``SCALED``.
 
-    Cells without tokens get a rate of 1.
+    ``once`` is the rate over the greatest one.  Cells without tokens get 1 in both.
     """
     ratio = F.col("weight") / F.col("tokens")
     one = handoff(raked.where("tokens > 0").agg(F.percentile(ratio, SCALED, F.col("tokens")).alias("q")),
                   "rate-of-one").scalar()
-    return raked.select(*DIMENSIONS, "tokens", "weight", F.when(
-        F.col("tokens") > 0, F.coalesce(ratio / F.when(one > 0, one), F.lit(0.0))).otherwise(1.0).alias("rate"))
+    most = handoff(raked.where("tokens > 0").agg(F.max(ratio).alias("m")), "greatest-ratio").scalar()
+
+    def over(whole: Column) -> Column:
+        return F.when(F.col("tokens") > 0, F.coalesce(ratio / F.when(whole > 0, whole), F.lit(0.0))).otherwise(1.0)
+    return raked.select(*DIMENSIONS, "tokens", "weight", over(one).alias("rate"), over(most).alias("once"))
 
 
 def draw(id_col: str) -> Column:
@@ -105,18 +111,22 @@ def draw(id_col: str) -> Column:
 
 def mix(docs: DataFrame, given: Mapping[str, Mapping[str, float]] | None = None, temper: float = TEMPER,
         rounds: int = ROUNDS) -> DataFrame:
-    """``docs`` with ``topic, n_tokens, rate, sampled`` (columns of these names are replaced).
+    """``docs`` with ``topic, n_tokens, rate, sampled, copies, chosen`` (columns of these names are replaced).
 
-    A document is sampled if its draw is under its rate.  Texts without words
-    have no weight; in a cell without tokens they are always sampled.  A null
+    A document is sampled if its draw is under its rate.  Its tokens meet the
+    targets (in expectation) counted ``copies`` times, and also among the
+    chosen documents, each taken once.  Texts without words
+    have no weight; in a cell without tokens they are always sampled, once, and chosen.  A null
     source or language is a value of its own.  Equal ids are drawn alike.
     """
-    names = ["topic", "n_tokens", "rate", "sampled"]
+    names = ["topic", "n_tokens", "rate", "sampled", "copies", "chosen"]
     docs = docs.drop(*names).withColumn("topic", topic(F.col("text"))).withColumn("n_tokens", n_tokens(F.col("text")))
     keys = [F.coalesce(F.col(d).cast("string"), F.lit("")) for d in DIMENSIONS]
     table = handoff(cells(docs.select(*[k.alias(d) for k, d in zip(keys, DIMENSIONS)], "n_tokens")), "cells")
     table = handoff(rates(rake(table, given, temper, rounds)), "rates")
-    table = table.select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], "rate")
+    table = table.select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], "rate",
+                         F.col("once").alias("_once"))
     on = [k == F.col(f"_{d}") for k, d in zip(keys, DIMENSIONS)]
-    return (docs.join(table, on, "left").drop(*[f"_{d}" for d in DIMENSIONS])
-            .withColumn("sampled", draw("doc_id") < F.col("rate")))
+    return (docs.join(table, on, "left").withColumn("sampled", draw("doc_id") < F.col("rate"))
+            .withColumn("copies", F.greatest(F.ceil(F.col("rate") - draw("doc_id")), F.lit(0)).cast("bigint"))
+            .withColumn("chosen", draw("doc_id") < F.col("_once")).drop("_once", *[f"_{d}" for d in DIMENSIONS]))

@@ -50,9 +50,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sampling rate and decision for every document."""
+    """Sampling rate and decisions for every document."""
     return mixing.mix(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")).select(
-        "doc_id", "source", "lang", "topic", "n_tokens", F.round("rate", 6).alias("rate"), "sampled")
+        "doc_id", "source", "lang", "topic", "n_tokens", F.round("rate", 6).alias("rate"), "sampled",
+        "copies", "chosen")
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,8 +38,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def sample_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn so that sources, languages and topics meet their target token shares."""
-    return mixing.mix(docs).where("sampled").select(*docs.columns)
+    """Documents drawn, each at most once, so that sources, languages and topics meet their target token shares."""
+    return mixing.mix(docs).where("chosen").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -277,6 +277,25 @@ def test_mixing_meets_given_targets(spark):
     assert max(r.t for r in share) / min(r.t for r in share) == pytest.approx(1, abs=1e-6)
 
 
+def test_mixing_rows_meet_the_targets(spark):
+    from daybook.llm import stages
+    rows = [(i, "w " * 100, "s0" if i % 3 else "s1", "en") for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+
+    def share(df, times=F.lit(1)):
+        sums = {r.source: r.t for r in df.groupBy("source").agg(F.sum(F.size(F.split("text", " ")) * times).alias("t")).collect()}
+        return sums["s0"] / sum(sums.values())
+    out = mixing.mix(docs, {"source": {"s0": 0.5, "s1": 0.5}})
+    assert share(out.where("chosen")) == pytest.approx(0.5, abs=0.02)
+    assert share(out, F.col("copies")) == pytest.approx(0.5, abs=0.02)
+    assert out.where("sampled != (copies > 0)").count() == 0
+    out = mixing.mix(docs, {"source": {"s0": 0.2, "s1": 0.8}})
+    assert share(out.where("chosen")) == pytest.approx(0.2, abs=0.02)
+    assert share(out, F.col("copies")) == pytest.approx(0.2, abs=0.02)
+    wanted = 2 ** mixing.TEMPER / (2 ** mixing.TEMPER + 1)
+    assert share(stages.sample_mixture(spark, docs, SF_SMALL)) == pytest.approx(wanted, abs=0.006)
+
+
 # --- near duplicates
 
 def brute_components(texts, size, percent=80):
