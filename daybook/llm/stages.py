@@ -19,14 +19,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, 0.8): its smallest id.
 
-    Rows that repeat an id with the same text are one document.  Rows with a
-    null id take no part and stay.
+    Rows that repeat an id with the same text are one document (their least
+    row).  Different texts under one id are documents of their own, compared
+    apart from each other; of equal ids in a group the text with the least hash
+    stays.  Rows with a null id take no part and stay.
     """
-    found = near_duplicates.near_duplicates(docs.select("doc_id", "text"), size=5)
-    gone = found.where("NOT kept").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.join(gone, "doc_id", "left_anti").select(*docs.columns).unionByName(
-        docs.where("doc_id IS NULL"))
+    keyed = docs.where("doc_id IS NOT NULL").withColumn("_key", F.xxhash64("doc_id", "text"))
+    found = near_duplicates.near_duplicates(keyed.select("_key", "text"), size=5, id_col="_key")
+    named = found.select("_key", "component_id").distinct().join(keyed.select("_key", "doc_id").distinct(), "_key")
+    stay = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("least")).select("least._key")
+    return (keyed.join(stay, "_key", "left_semi").groupBy("_key")
+            .agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*").unionByName(
+        docs.where("doc_id IS NULL")))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

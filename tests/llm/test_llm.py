@@ -364,6 +364,17 @@ def test_near_duplicates_ids_with_several_texts(spark):
     assert len(got) == len(rows)
 
 
+def test_near_duplicates_stage_keeps_each_text_of_an_id(spark):
+    from daybook.llm import stages
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(5, a, "s2"), (5, b, "s0"), (9, b, "s0"), (9, c, "s0"), (5, a, "s1"), (None, a, "s0"), (7, None, "s0"),
+            (7, "", "s0"), (2, c + " more", "s0")]
+    out = stages.drop_near_duplicates(spark, spark.createDataFrame(
+        rows, "doc_id bigint, text string, source string").repartition(3), SF_SMALL)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(
+        [(5, a, "s1"), (5, b, "s0"), (None, a, "s0"), (7, None, "s0"), (7, "", "s0"), (2, c + " more", "s0")], key=str)
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     links = [(i, i + 1) for i in range(1, 60)] + [(100, x) for x in range(101, 160)] + [(5, 5)] + [
