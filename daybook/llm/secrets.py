@@ -6,6 +6,11 @@ must be a DER private key whose nested lengths all add up, an OpenSSH private
 key container whose inner lengths do, or a signed token whose header and
 payload decode to JSON with an algorithm.  A random base64 or hex run is not
 reported by these kinds.
+
+Base64 may be wrapped: line breaks, also escaped ones (a backslash and n or
+r), with blanks and quote marks around them, are taken out before decoding.  The
+key's own lengths tell how many lines belong to it.  Spans are places in the
+original text.
 """
 
 from __future__ import annotations
@@ -31,10 +36,18 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])e[yw][A-Za-z0-9_-]{6,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z ]{0,40}PRIVATE KEY)-----([^-]*)-----END \1-----")
-DER64 = re.compile(r"(?<![A-Za-z0-9+/])M[A-Za-z0-9+/]{39,}={0,2}")
+PEM = re.compile(r"-----BEGIN ([A-Z ]{0,40}PRIVATE KEY)-----((?:[^-]|-(?!----))*)-----END \1-----")
+PEM_HEADER = re.compile(r"\s*[A-Za-z][A-Za-z0-9-]*:")
+DEK_INFO = re.compile(r"DEK-Info:\s*[A-Za-z0-9-]+,[0-9A-Fa-f]{16,32}\s*$")
+DER64 = re.compile(r"(?:(?<![A-Za-z0-9+/])|(?<=\\[nrt]))M[A-Za-z0-9+/]{15,}")
 DERHEX = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{38,}")
-SSH64 = re.compile(r"b3BlbnNzaC1rZXktdjEA[A-Za-z0-9+/]{40,}={0,2}")
+SSH64 = re.compile(r"b3BlbnNzaC1rZXktdjEA[A-Za-z0-9+/]*")
+LEAST64 = 40                                              # base64 characters of a key
+LINE64 = re.compile(r"[A-Za-z0-9+/]+")
+NEWLINE = re.compile(r"\\+[nr]|[\r\n]")
+#: Between two lines of wrapped base64: a line break, real or escaped, with blanks and marks of string literals.
+BREAK64 = re.compile(r"""[ \t"',]*(?:\\+[nr]|[\r\n])(?:\\+[nr]|[\s"'\\]|\+(?=[\s"']))*""")
+PAD64 = re.compile(r"={0,2}")
 SSH_MAGIC = b"openssh-key-v1\0"
 
 
@@ -116,6 +129,97 @@ def is_ssh_key(data: bytes | None) -> bool:
     return all(field() is not None for _ in range(keys + 1)) and at == len(data)
 
 
+def lines64(text: str, at: int) -> Iterator[tuple[int, int]]:
+    """Places of the lines of a wrapped base64 run from ``at`` on."""
+    line = LINE64.match(text, at)
+    while line:
+        yield line.span()
+        gap = BREAK64.match(text, line.end())
+        line = gap and LINE64.match(text, gap.end())
+
+
+def key64(text: str, at: int, size, confirm) -> int | None:
+    """The end of the wrapped base64 key at ``at``, or None.
+
+    ``size`` tells the bytes of the key from its first bytes (None: no key; too
+    many: more lines are needed).  The key must end where a line ends.
+    """
+    parts, n, wanted = [], 0, None
+    for start, end in lines64(text, at):
+        parts.append(text[start:end])
+        n += end - start
+        if wanted is None or n >= wanted:
+            run = "".join(parts)
+            whole = size(unbase64(run[:n // 4 * 4]))
+            if whole is None:
+                return None
+            wanted = -(-whole * 4 // 3)
+            if n == wanted and n >= LEAST64 and confirm(unbase64(run)):
+                return PAD64.match(text, end).end()
+            if n > wanted:
+                return None
+    return None
+
+
+def der_size(data: bytes) -> int | None:
+    """Bytes of the first element of a DER string, by its header."""
+    if len(data) < 6 or data[0] != 0x30:
+        return None
+    k = data[1] & 0x7F if data[1] & 0x80 else 0
+    if k > 4 or data[1] == 0x80:
+        return None
+    return 2 + k + (int.from_bytes(data[2:2 + k], "big") if k else data[1])
+
+
+def ssh_size(data: bytes) -> int | None:
+    """Bytes of an OpenSSH container, as far as its fields tell: at least one byte more where they are cut."""
+    at, keys = len(SSH_MAGIC), None
+    left = 3
+    while left or keys is None:
+        if at + 4 > len(data):
+            return max(at + 4, len(data) + 1)
+        n = int.from_bytes(data[at:at + 4], "big")
+        at += 4
+        if left:
+            at, left = at + n, left - 1
+        elif not 0 < n <= 16:
+            return None
+        else:
+            keys = left = n + 1
+    return at
+
+
+def pem_data(body: str) -> tuple[bytes | None, bool]:
+    """What a PEM block holds, and whether its header lines name a cipher (so it holds no plain key)."""
+    lines = NEWLINE.split(re.sub(r"\\*\r\n|\\+r\\+n", "\n", body))
+    headers = [i for i, x in enumerate(lines) if PEM_HEADER.match(x.lstrip(" \t\"'"))]
+    ciphered = any(DEK_INFO.search(lines[i].rstrip(" \t\"',+\\")) for i in headers)
+    if headers:
+        blank = [i for i, x in enumerate(lines) if i > headers[-1] and not x.strip(" \t\"',+\\")]
+        lines = lines[blank[0]:] if blank else lines[headers[-1] + 1:]
+    return unbase64("".join(re.sub(r"""[\s"',\\]+|(?<=["'\s])\+(?=\s*$)|^\s*\+(?=\s*["'])""", "", x)
+                            for x in lines)), ciphered
+
+
+def is_pem_key(body: str) -> bool:
+    """A key in DER or an OpenSSH key; with a cipher's header lines, whole cipher blocks."""
+    data, ciphered = pem_data(body)
+    if ciphered:
+        return bool(data) and len(data) >= 16 and len(data) % 8 == 0
+    return is_der_key(data) or is_ssh_key(data)
+
+
+def wrapped_keys(kind: str, start: re.Pattern, text: str, size, confirm) -> list[tuple[str, int, int, int]]:
+    """Spans of the base64 keys that begin where ``start`` matches."""
+    out = []
+    for m in start.finditer(text):
+        if not out or m.start() >= out[-1][2]:
+            end = key64(text, m.start(), size, confirm)
+            if end is not None:
+                out.append((kind, m.start(), end, m.start()))
+    return out
+
+
 def is_signed_token(token: str) -> bool:
     """Header and payload are JSON objects, and the header names an algorithm."""
     parts = token.split(".")
@@ -146,17 +250,12 @@ def find(text: str | None) -> list[tuple[str, int, int, int]]:
         out += [("signed_token", *m.span(), m.start()) for m in TOKEN.finditer(text)
                 if is_signed_token(m.group())]
     if "PRIVATE KEY-----" in text:
-        for m in PEM.finditer(text):
-            data = unbase64(re.sub(r"\s+", "", m.group(2)))
-            if is_der_key(data) or is_ssh_key(data):
-                out.append(("pem_key", *m.span(), m.start()))
-    out += [("der_key_base64", *m.span(), m.start()) for m in DER64.finditer(text)
-            if is_der_key(unbase64(m.group()))]
+        out += [("pem_key", *m.span(), m.start()) for m in PEM.finditer(text) if is_pem_key(m.group(2))]
+    out += wrapped_keys("der_key_base64", DER64, text, der_size, is_der_key)
     out += [("der_key_hex", *m.span(), m.start()) for m in DERHEX.finditer(text)
             if len(m.group()) % 2 == 0 and is_der_key(bytes.fromhex(m.group()))]
     if "b3BlbnNzaC1rZXktdjEA" in text:
-        out += [("ssh_key_base64", *m.span(), m.start()) for m in SSH64.finditer(text)
-                if is_ssh_key(unbase64(m.group()))]
+        out += wrapped_keys("ssh_key_base64", SSH64, text, ssh_size, is_ssh_key)
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 

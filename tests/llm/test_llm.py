@@ -186,6 +186,41 @@ def test_secret_structures():
     assert not secrets.find("M" + "A" * 60) and not secrets.find("eyJhbGciOi.aaaa.bbbb")
 
 
+def test_wrapped_and_escaped_secrets():
+    import base64
+    import json
+    key = der(0x30, b"".join(der(2, bytes([1]) * k) for k in (1, 60, 3, 60, 30, 30, 30, 30, 30)))
+    ec = der(0x30, der(2, b"\1") + der(4, b"k" * 32))
+    ssh = secrets.SSH_MAGIC + b"".join(len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"")) + \
+        (1).to_bytes(4, "big") + b"".join(len(x).to_bytes(4, "big") + x for x in (b"pub" * 9, b"priv" * 30))
+
+    def wrap(data, columns, newline="\n"):
+        return newline.join(re.findall(f".{{1,{columns}}}", base64.b64encode(data).decode()))
+
+    def kinds(text):
+        return [s[:3] for s in secrets.find(text)]
+    for columns in (*range(40, 52), 64, 70, 76):
+        for newline in ("\n", "\r\n", "\\n", "\\r\\n", "\n    ", '\\n"\n  "', '\\n" +\n  "'):
+            for kind, data in (("der_key_base64", key), ("der_key_base64", ec), ("ssh_key_base64", ssh)):
+                body = wrap(data, columns, newline)
+                for before, after in (("é ", "\nand more words"), ("x\\n", "\\nend"), ("é\n", "")):
+                    found = kinds(before + body + after)
+                    assert (kind, len(before), len(before + body)) in found, (kind, columns, newline)
+                    assert body not in secrets.redacted(before + body + after, secrets.find(before + body + after))
+            for name, data in (("RSA PRIVATE KEY", key), ("OPENSSH PRIVATE KEY", ssh)):
+                pem = newline.join([f"-----BEGIN {name}-----", wrap(data, columns, newline), f"-----END {name}-----"])
+                assert ("pem_key", 2, 2 + len(pem)) in kinds(f"é {pem} x"), (name, newline)
+    for newline in ("\n", "\r\n", "\\n"):
+        for data, ok in ((bytes(range(64)), True), (bytes(range(61)), False)):
+            pem = newline.join(["-----BEGIN RSA PRIVATE KEY-----", "Proc-Type: 4,ENCRYPTED",
+                                "DEK-Info: AES-128-CBC," + "0A" * 16, "", wrap(data, 64, newline),
+                                "-----END RSA PRIVATE KEY-----"])
+            assert (("pem_key", 0, len(pem)) in kinds(pem)) == ok
+    as_json = json.dumps({"k": "-----BEGIN PRIVATE KEY-----\n" + wrap(key, 64) + "\n-----END PRIVATE KEY-----\n"})
+    assert "MII" not in secrets.redacted(as_json, secrets.find(as_json))
+    assert not kinds(wrap(key[:-9], 64) + "\nwords that follow") and not kinds(wrap(b"0\x82\1\0" + b"x" * 400, 64))
+
+
 def test_secret_base_and_redaction(spark, docs, texts):
     assert [s[:3] for s in secrets.find('é PASSWORD = "abc" secret=token:abcdef AKIA' + "B" * 16)] == [
         ("access", 39, 59)]
