@@ -469,6 +469,23 @@ def test_chains_are_the_best():
         assert got >= max(best.values()) - k                  # the tree ranks by sums; overlaps are charged after
 
 
+def test_chains_of_passages_far_apart(spark):
+    for apart in (70, 200, 1500):
+        at = [*range(0, 300, 10), *range(300 + apart, 600 + apart, 10)]
+        got = substring_duplicates.chains(at, [v + 7 for v in at])
+        assert [[at[i] for i in c] for c in sorted(got)] == [at[:30], at[30:]]
+    rng = np.random.default_rng(11)
+
+    def words(n):
+        return [f"w{x}" for x in rng.integers(0, 1 << 30, n)]
+    one, two = words(300), words(300)
+    rows = [(0, one + words(200) + two), (1, one + words(150) + [w for i, w in enumerate(two) if i % 33]), (2, words(400))]
+    out = substring_duplicates.repeated_passages(
+        spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.match_doc_id) for r in out) == [(1, 0), (1, 0)]
+    assert sorted((r.match_start, r.match_end) for r in out) == [(0, 300), (501, 797)]  # past the last cut, 2 words
+
+
 # --- quality
 
 def naive_quality(text):
