@@ -486,6 +486,22 @@ def test_chains_of_passages_far_apart(spark):
     assert sorted((r.match_start, r.match_end) for r in out) == [(0, 300), (501, 797)]  # past the last cut, 2 words
 
 
+def test_passages_with_spread_edits(spark):
+    rng = np.random.default_rng(12)
+
+    def words(n):
+        return [f"w{x}" for x in rng.integers(0, 1 << 30, n)]
+    rows, planted = [], set()
+    for i in range(240):
+        passage, every = words(80), (5, 6, 7, 8, 10, 12)[i % 6]
+        edited = [f"e{rng.integers(1 << 30)}" if j % every == every - 1 else w for j, w in enumerate(passage)]
+        rows += [(2 * i, " ".join(words(60) + passage + words(30))), (2 * i + 1, " ".join(words(20) + edited + words(70)))]
+        planted.add((2 * i + 1, 2 * i))
+    got = {(r.doc_id, r.match_doc_id) for r in substring_duplicates.repeated_passages(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == planted
+
+
 # --- quality
 
 def naive_quality(text):
