@@ -502,6 +502,23 @@ def test_passages_with_spread_edits(spark):
     assert got == planted
 
 
+def test_passages_whose_parts_come_earlier(spark):
+    rng = np.random.default_rng(13)
+
+    def words(n):
+        return [f"w{x}" for x in rng.integers(0, 1 << 30, n)]
+    rows, planted = [], set()
+    for i in range(100):
+        passage = words(50 + i % 11)
+        rows += [(10 * i, words(30) + passage[:38] + words(40)), (10 * i + 1, words(20) + passage[12:] + words(9)),
+                 (10 * i + 2, words(50) + passage + words(20)), (10 * i + 3, passage + words(60))]
+        planted.add((10 * i + 3, 10 * i + 2, 0, len(passage)))
+    got = {(r.doc_id, r.match_doc_id, r.start, r.end) for r in substring_duplicates.repeated_passages(
+        spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")).collect()
+        if r.doc_id % 10 == 3 and r.match_doc_id % 10 == 2}
+    assert got == planted
+
+
 # --- quality
 
 def naive_quality(text):
