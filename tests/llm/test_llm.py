@@ -567,6 +567,24 @@ def test_quality(spark, docs, texts):
 
 # --- neighbours
 
+def test_quality_counts_grow_with_the_corpus(spark, docs, monkeypatch):
+    labels = spark.range(250_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    assert quality.trusted_ids(labels).count() == 250_000
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 40_000, 200))) for i in range(300)] + [(0, "w1 w2"), (None, "w1")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").unionByName(docs.select("doc_id", "text"))
+    monkeypatch.setattr(quality, "GRAMS_PER_BUCKET", 1)
+    buckets = quality.bucket_number(table)
+    n = sum(max(2 * len((r.text or "").split()) - 1, 0) for r in table.collect())
+    assert n / 2 < buckets / 2 < n <= buckets and quality.bucket_number(table) > quality.BUCKETS
+    good = spark.createDataFrame([(i,) for i in range(0, 300, 3)], "doc_id bigint")
+    joined = quality.rate(table, good).collect()
+    monkeypatch.setattr(quality, "BUCKETS", buckets)          # the same number as a constant of the plan
+    constant = quality.rate(table, good).collect()
+    assert len(joined) == len(constant) == table.count()
+    assert collections.Counter(joined) == collections.Counter(constant)
+
+
 def test_neighbours(spark):
     vecs = {i: np.array(v, dtype=np.float64) for i, v in duckdb.sql(
         f"SELECT vec_id, embedding FROM '{SF_SMALL}/embeddings.parquet'").fetchall()}
