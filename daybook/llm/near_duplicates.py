@@ -10,6 +10,12 @@ MinHash signatures of eight bytes and a sketch of ``SKETCH`` further bytes.
   longest common prefix.  So the depth adapts: in a sparse region neighbours
   share a short prefix, in a crowded one a long prefix.  A candidate goes on if
   sizes and sketches allow the similarity.
+* Crowded regions: where more nodes share a tree's whole signature than have
+  been compared, every node is compared with all that share it, as far as they
+  are still in different components: first with the node of the region that has
+  most links, then pair by pair in blocks of ``BLOCK`` nodes a side.  So only
+  the signatures limit what is found: a pair at similarity 0.8 shares one of
+  ``TREES`` whole signatures with a probability of 0.988, however many others do.
 * Links are confirmed on full sets in rounds: each node's best candidate, then
   its next ones, at last every candidate pair whose ends are still in different
   components.  Pairs inside a component can no longer change it, and a round
@@ -38,6 +44,7 @@ SKETCH_LEAST = 38         # of SKETCH equal bytes; at similarity 0.8 fewer come
 NEIGHBOURS = 8
 #: Pairs of a node confirmed in each round; the last round takes all that are left.
 ROUNDS = (1, 4)
+BLOCK = 256               # nodes on either side of a block of pairs in a crowded region
 MAX_WORDS = 500_000
 MAX_BROADCAST_IDS = 1_000_000
 
@@ -166,6 +173,63 @@ def _neighbours(percent: int, reach: int):
     return pairs
 
 
+def _crowded(forest: DataFrame, labels: DataFrame) -> DataFrame:
+    """The nodes of the regions (tree, whole signature) that lie in more than one component."""
+    found = labels.select("node", F.col("component").alias("_c"))
+    nodes = (forest.join(found, "node", "left").withColumn("label", F.coalesce("_c", "node")).drop("_c"))
+    regions = (nodes.groupBy("tree", "key").agg(F.count("*").alias("size"), F.min("label").alias("_lo"),
+                                                F.max("label").alias("_hi"))
+               .where("_lo != _hi").select("tree", "key", "size"))
+    return nodes.join(regions, ["tree", "key"])
+
+
+def _fitting(percent: int):
+    """Pairs (node, n, sketch of either side) whose sizes and sketches allow the similarity."""
+    def fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 4096):
+            a, b, n, m = (part.column(i).to_numpy() for i in range(4))
+            x, y = (np.frombuffer(b"".join(part.column(i).to_pylist()), np.uint8).reshape(part.num_rows, -1)
+                    for i in (4, 5))
+            same = (x == y).sum(axis=1)
+            fit = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (same >= SKETCH_LEAST)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(a, b)[fit]), pa.array(np.maximum(a, b)[fit]),
+                 pa.array(same[fit].astype(np.int32))], names=["a", "b", "equal"])
+    return fitting
+
+
+def _fit(pairs: DataFrame, percent: int) -> DataFrame:
+    return (pairs.select("a", "b", "n", "m", "x", "y").mapInArrow(_fitting(percent), "a bigint, b bigint, equal int")
+            .groupBy("a", "b").agg(F.max("equal").alias("equal")))
+
+
+def _hub_pairs(crowded: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each node of a crowded region with the region's most linked node, if in another component."""
+    degree = (links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
+              .groupBy("node").agg(F.count("*").alias("degree")))
+    ranked = crowded.join(degree, "node", "left").groupBy("tree", "key").agg(F.max(F.struct(
+        F.coalesce("degree", F.lit(0)).alias("degree"), "node", "label", "n", "sketch")).alias("hub"))
+    return _fit(crowded.join(ranked, ["tree", "key"]).where("label != hub.label").select(
+        F.col("hub.node").alias("a"), F.col("node").alias("b"), F.col("hub.n").alias("n"), F.col("n").alias("m"),
+        F.col("hub.sketch").alias("x"), F.col("sketch").alias("y")), percent)
+
+
+def _region_pairs(crowded: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a crowded region in different components, in blocks."""
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = crowded.withColumn("_own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
+        "_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("tree", "key", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"),
+                         "_own", "node", "label", "n", "sketch")
+    a, b = dealt.alias("p"), dealt.alias("q")
+    on = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("tree", "key", "_i", "_j")]
+    side = ((F.col("p._own") == F.col("p._i")) & (F.col("q._own") == F.col("q._j"))
+            & ((F.col("p._i") != F.col("p._j")) | (F.col("p.node") < F.col("q.node"))))
+    return _fit(a.join(b, on).where(side & (F.col("p.label") != F.col("q.label"))).select(
+        F.col("p.node").alias("a"), F.col("q.node").alias("b"), F.col("p.n").alias("n"), F.col("q.n").alias("m"),
+        F.col("p.sketch").alias("x"), F.col("q.sketch").alias("y")), percent)
+
+
 def _confirm(percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -223,28 +287,49 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     pairs = handoff(forest.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
                     .mapInArrow(_neighbours(percent, NEIGHBOURS), "a bigint, b bigint, equal int")
                     .groupBy("a", "b").agg(F.max("equal").alias("equal")), "candidates")
-    wanted = handoff(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted")
-    if wanted.count() <= MAX_BROADCAST_IDS:                   # 8 bytes each; beyond, a shuffled join
-        wanted = F.broadcast(wanted)
-    sets = handoff(docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
-                   .mapInArrow(_sets(size), "node bigint, members binary").distinct(), "sets")
+
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        wanted = handoff(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted")
+        if wanted.count() <= MAX_BROADCAST_IDS:               # 8 bytes each; beyond, a shuffled join
+            wanted = F.broadcast(wanted)
+        return handoff(docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
+                       .mapInArrow(_sets(size), "node bigint, members binary").distinct(), "sets")
+
+    sets = sets_of(pairs)
     # the classes of one id with several texts hang together through their id
     several = (full.select("doc_id", F.xxhash64("digest").alias("h")).groupBy("doc_id")
                .agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least != most").select("doc_id"))
     links = (full.select("doc_id", "digest").join(several, "doc_id").join(classes, "digest")
              .select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
-    open_pairs = pairs
+    open_pairs, confirmed = pairs, []
     for most in (*ROUNDS, None):
         chosen = open_pairs if most is None else handoff(_best(open_pairs, most), "chosen")
-        links = links.unionByName(_confirmed(chosen, sets, percent))
+        confirmed.append(handoff(_confirmed(chosen, sets, percent), "confirmed"))
+        links = links.unionByName(confirmed[-1])
         found = components(links)
+        # a link from each node to its component says all that the links so far did
+        links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         if most is None:
             break
         open_pairs = handoff(_still_open(open_pairs, chosen, found), "open-pairs")
         if open_pairs.isEmpty():
             break
-        # a link from each node to its component says all that the links so far did
-        links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    # crowded regions: what the neighbours in sort order have not compared
+    for hubs in (True, False):
+        crowded = handoff(_crowded(forest, found), "crowded")
+        if crowded.isEmpty():
+            break
+        linked = confirmed[0]
+        for more in confirmed[1:]:
+            linked = linked.unionByName(more)
+        more = handoff(_hub_pairs(crowded, linked, percent) if hubs else _region_pairs(crowded, percent), "more-pairs")
+        more = handoff(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "new-pairs")
+        if more.isEmpty():
+            continue
+        confirmed.append(handoff(_confirmed(more, sets_of(more), percent), "confirmed"))
+        if not confirmed[-1].isEmpty():
+            found = components(links.unionByName(confirmed[-1]))
+            links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     of_class = handoff(classes.join(found, "node", "left")
                        .select("digest", F.coalesce("component", "node").alias("component_id")), "components")
     return (nodes.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")

@@ -381,6 +381,22 @@ def test_near_duplicates(spark, texts, size):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_near_duplicates_around_one_base(spark):
+    rng = np.random.default_rng(14)
+    base = [f"b{i}" for i in range(300)]
+    rows = []
+    for i in range(1000):                                     # each at 0.82 of the base, under 0.8 of most others
+        words = list(base)
+        for at in rng.choice(149, 15, replace=False) * 2 + 1:
+            words[at] = f"e{rng.integers(1 << 30)}"
+        rows.append((i if i < 500 else i + 1, " ".join(words)))
+    rows.append((500, " ".join(base)))
+    sets = {d: {tuple(p) for p in zip(t.split(), t.split()[1:])} for d, t in rows}
+    assert all(len(sets[500] & s) * 100 >= 80 * len(sets[500] | s) for s in sets.values())   # one true component
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), size=2).collect()
+    assert len(got) == 1001 and len({r.component_id for r in got}) <= 30    # 0.995 of the pairs share a signature
+
+
 def test_near_duplicates_awkward(docs):
     got = near_duplicates.near_duplicates(docs, size=2).collect()
     assert len(got) == len(AWKWARD)
