@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import (mixing, near_duplicates, neighbours, packing, quality, secrets,
+from daybook.llm import (chunk_bpe, mixing, near_duplicates, neighbours, packing, quality, secrets,
                          substring_duplicates, token_counts, toxicity, url_filters)
 from daybook.sources.readers import read_table
 
@@ -83,6 +83,14 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
 
 
+def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids and of the decoded text of every document."""
+    encoded = chunk_bpe.encode(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    return chunk_bpe.decode(encoded, tokenizer_path()).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_url_filters": op2_url_filters,
@@ -94,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_duplicates": op8_substring_duplicates,
     "op9_quality_rules": op9_quality_rules,
     "op10_neighbours": op10_neighbours,
+    "op13_bpe_codec": op13_bpe_codec,
 }
 
 ORACLE: dict[str, str] = {}

@@ -65,6 +65,14 @@ class WordBpe:
             return b"".join(map(self._piece, LATIN_PIECES.findall(chunk.lower())))
         return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
 
+    def pieces_by_id(self) -> list[str]:
+        """Every id's piece; only for a file without a decoder, where the library
+        joins the pieces of a text with spaces."""
+        if self.tokenizer.decoder is not None:
+            raise ValueError("the file has a decoder of its own")
+        n = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
+        return [self.tokenizer.id_to_token(i) or "" for i in range(n)]
+
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids of a whole text."""
         chunks = text.replace("\n", " ").split(" ")
