@@ -47,9 +47,9 @@ BITS, ROW_BITS = 1 << 27, 32768
 HOT_PARTS, HOT_LEAST = 4096, 64
 FLUSH = 400_000
 
+#: Rows whose ids and decoded texts are held at a time.
+SLICE = 64
 SEPARATOR = re.compile(rb"[ \n]")
-IDS = pa.binary()
-SEGMENT = pa.struct([("seq", pa.int32()), ("key", pa.binary()), ("ids", IDS)])
 INSIDE = pa.struct([("key", pa.binary()), ("inside", pa.binary())])
 
 
@@ -213,44 +213,88 @@ class _Cutter:
         return out
 
 
+def _pack(data: bytes) -> bytes:
+    import zstandard
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def _unpack(data: bytes) -> bytes:
+    import zstandard
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _narrow(ids: bytes) -> bytes:
+    """Ids for shuffles and hand-offs: 16 bits each where all fit, compressed."""
+    wide = np.frombuffer(ids, "<u4")
+    if len(wide) and wide.max() > 0xFFFF:
+        return b"4" + _pack(ids)
+    return b"2" + _pack(wide.astype("<u2").tobytes())
+
+
+def _wide(data: bytes) -> bytes:
+    ids = _unpack(data[1:])
+    return ids if data[:1] == b"4" else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
+
+
+def _result(bpe, ids: pa.Array, found: list[bytes]) -> pa.RecordBatch:
+    """Output rows: ids, their number, and the decoded text."""
+    pieces = bpe.pieces_by_id()
+    numbers = [np.frombuffer(x, "<u4").tolist() for x in found]
+    return pa.RecordBatch.from_arrays(
+        [ids, pa.array(found, pa.binary()), pa.array([len(x) for x in numbers], pa.int64()),
+         pa.array([" ".join(map(pieces.__getitem__, x)) for x in numbers], pa.string())],
+        names=["id", "ids", "n_tokens", "decoded"])
+
+
+_RESULT = "id bigint, ids binary, n_tokens bigint, decoded string"
+
+
 def _whole(path: str, sent):
-    """Texts without a chunk of the lexicon: their ids."""
+    """Texts without a chunk of the lexicon, encoded and decoded."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = _Cutter(path, _Shared(*sent.value))
-        for part in slices(batches):
+        for part in slices(batches, SLICE):
             ids, out = [], []
             for i, data in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
                 found = cutter.references(data) if data else []
                 if all(kind == "hot" for *_, kind in found):
                     ids.append(i)
                     out.append(b"".join(x for _, x in cutter.segments(data or b"", found)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, IDS)], names=["id", "ids"])
+            yield _result(cutter.bpe, pa.array(ids, pa.int64()), out)
     return encode
 
 
 def _parts(path: str, sent):
-    """The other texts: their segments, and the insides met first in this slice."""
+    """The other texts: keys of their shared chunks in order, the ids of all else
+    with the number of ids before each key, and the insides met first in this slice."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = _Cutter(path, _Shared(*sent.value))
         for part in slices(batches):
-            ids, segments, insides, met = [], [], [], set()
+            ids, keys, before, own, insides, met = [], [], [], [], [], set()
             for i, data in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
                 references = cutter.references(data) if data else []
                 if all(kind == "hot" for *_, kind in references):
                     continue
-                found = cutter.segments(data, references)
-                new = []
-                for key, inside in found:
-                    if key is not None and key not in met:
+                stretches, places, names, new, n = [], [], [], [], 0
+                for key, x in cutter.segments(data, references):
+                    if key is None:
+                        stretches.append(x)
+                        n += len(x) // 4
+                        continue
+                    names.append(key)
+                    places.append(n)
+                    if key not in met:
                         met.add(key)
-                        new.append({"key": key, "inside": inside})
+                        new.append({"key": key, "inside": _pack(x)})
                 ids.append(i)
+                keys.append(names)
+                before.append(places)
+                own.append(_narrow(b"".join(stretches)))
                 insides.append(new)
-                segments.append([{"seq": n, "key": key, "ids": x if key is None else None}
-                                 for n, (key, x) in enumerate(found)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(segments, pa.list_(SEGMENT)),
-                 pa.array(insides, pa.list_(INSIDE))], names=["id", "segments", "insides"])
+                [pa.array(ids, pa.int64()), pa.array(keys, pa.list_(pa.binary())),
+                 pa.array(before, pa.list_(pa.int32())), pa.array(own, pa.binary()),
+                 pa.array(insides, pa.list_(INSIDE))], names=["id", "keys", "before", "own", "insides"])
     return cut
 
 
@@ -259,26 +303,35 @@ def _lexicon(path: str):
         from daybook.llm.wordbpe import encoder
         bpe = encoder(path)
         for part in slices(batches, 4096):
-            ids = [bpe.encode(x.decode()) for x in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, IDS)], names=["key", "ids"])
+            ids = [_narrow(bpe.encode(_unpack(x).decode())) for x in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["key", "ids"])
     return encode
 
 
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
-        out = []
-        for segments, found in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
-            ids = {x["seq"]: x["ids"] for x in found}
-            out.append(b"".join(s["ids"] if s["key"] is None else ids[s["seq"]] for s in segments))
-        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, IDS)], names=["id", "ids"])
-
-
-def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-           bits: int = BITS) -> DataFrame:
-    """``id_col, ids, n_tokens``: the ids of every text as little-endian unsigned
-    32-bit integers, without special tokens of the library's own.
-
-    ``tokenizer`` is the path of a word-level BPE file; ids must be integers.
+def _assemble(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from daybook.llm.wordbpe import encoder
+        bpe = encoder(path)
+        for part in slices(batches, SLICE):
+            out = []
+            for before, own, found in zip(*(part.column(n).to_pylist() for n in (1, 2, 3))):
+                own, last, stretches = _wide(own), 0, []
+                for at, x in zip(before, sorted(found, key=lambda x: x["seq"])):
+                    stretches += [own[4 * last:4 * at], _wide(x["ids"])]
+                    last = at
+                out.append(b"".join([*stretches, own[4 * last:]]))
+            yield _result(bpe, part.column(0), out)
+    return run
+
+
+def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
+                  bits: int = BITS) -> DataFrame:
+    """``id_col, ids, n_tokens, decoded``: the ids of every text as little-endian
+    unsigned 32-bit integers, without special tokens of the library's own, and
+    the text that the library decodes them to, special tokens kept.
+
+    ``tokenizer`` is the path of a word-level BPE file without a decoder; ids of
+    documents must be integers.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
@@ -295,32 +348,15 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         ({r["row"]: bytes(r["bits"]) for r in rows.collect()}, hot, bits))
     parts = handoff(
         docs.mapInArrow(_parts(tokenizer, sent),
-                        "id bigint, segments array<struct<seq:int,key:binary,ids:binary>>, "
+                        "id bigint, keys array<binary>, before array<int>, own binary, "
                         "insides array<struct<key:binary,inside:binary>>")
         .withColumn("row", F.monotonically_increasing_id()), "chunk-parts")
     lexicon = (parts.select(F.explode("insides").alias("x")).select("x.key", "x.inside")
                .groupBy("key").agg(F.first("inside").alias("inside"))
                .mapInArrow(_lexicon(tokenizer), "key binary, ids binary"))
-    found = (parts.select("row", F.explode("segments").alias("s")).where(F.col("s.key").isNotNull())
-             .select("row", "s.seq", "s.key").join(lexicon, "key")
+    found = (parts.select("row", F.posexplode("keys").alias("seq", "key")).join(lexicon, "key")
              .groupBy("row").agg(F.collect_list(F.struct("seq", "ids")).alias("found")))
-    joined = (parts.select("row", "id", "segments").join(found, "row")
-              .select("id", "segments", "found").mapInArrow(_assemble, "id bigint, ids binary"))
-    encoded = docs.mapInArrow(_whole(tokenizer, sent), "id bigint, ids binary").unionByName(joined)
-    return encoded.select(F.col("id").alias(id_col), "ids",
-                          F.floor(F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"))
-
-
-def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
-    """``encoded`` with the text of its ids, special tokens kept, as ``decoded``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from daybook.llm.wordbpe import encoder
-        tokens = encoder(tokenizer).pieces_by_id()
-        for part in slices(batches):
-            at = part.schema.get_field_index("ids")
-            texts = [" ".join(map(tokens.__getitem__, np.frombuffer(x or b"", "<u4").tolist()))
-                     for x in part.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())],
-                                             names=[*part.schema.names, "decoded"])
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
-    return encoded.mapInArrow(run, f"{fields}, decoded string")
+    joined = (parts.select("row", "id", "before", "own").join(found, "row")
+              .select("id", "before", "own", "found").mapInArrow(_assemble(tokenizer), _RESULT))
+    whole = docs.mapInArrow(_whole(tokenizer, sent), _RESULT)
+    return whole.unionByName(joined).withColumnRenamed("id", id_col)

@@ -85,10 +85,9 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
-    encoded = chunk_bpe.encode(read_table(spark, sf_dir, "documents"), tokenizer_path())
-    return chunk_bpe.decode(encoded, tokenizer_path()).select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    coded = chunk_bpe.encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -49,6 +49,7 @@ class WordBpe:
         self.table = _byte_characters()
         self.chunks: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {}
+        self.by_id: list[str] | None = None
 
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
@@ -70,8 +71,10 @@ class WordBpe:
         joins the pieces of a text with spaces."""
         if self.tokenizer.decoder is not None:
             raise ValueError("the file has a decoder of its own")
-        n = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
-        return [self.tokenizer.id_to_token(i) or "" for i in range(n)]
+        if self.by_id is None:
+            n = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
+            self.by_id = [self.tokenizer.id_to_token(i) or "" for i in range(n)]
+        return self.by_id
 
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids of a whole text."""

@@ -59,10 +59,9 @@ def test_shared_chunks_and_joins(spark, tok):
               (307, "<|startoftext|>" * 200), (308, "あ" * 5000 + " " + own)]
     docs = spark.createDataFrame([(i, t, "clash", 1) for i, t in texts],
                                  "doc_id bigint, text string, ids string, `key` int").repartition(5)
-    check(chunk_bpe.decode(chunk_bpe.encode(docs, tokenizer_path()), tokenizer_path()), texts, tok)
+    check(chunk_bpe.encode_decode(docs, tokenizer_path()), texts, tok)
     # a bitmap so small that every chunk seems shared gives the same
-    small = chunk_bpe.encode(docs, tokenizer_path(), bits=chunk_bpe.ROW_BITS)
-    check(chunk_bpe.decode(small, tokenizer_path()), texts, tok)
+    check(chunk_bpe.encode_decode(docs, tokenizer_path(), bits=chunk_bpe.ROW_BITS), texts, tok)
 
 
 def test_every_distinct_chunk_is_encoded_once(spark):
@@ -100,7 +99,7 @@ def test_border_that_disagrees_is_given_up(tok):
 
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
-    df = chunk_bpe.decode(chunk_bpe.encode(docs, tokenizer_path()), tokenizer_path())
+    df = chunk_bpe.encode_decode(docs, tokenizer_path())
     assert df.columns == ["doc_id", "ids", "n_tokens", "decoded"] and df.collect() == []
 
 
