@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import (chunk_bpe, mixing, near_duplicates, neighbours, packing, quality, secrets,
+from daybook.llm import (chunk_bpe, lexical_search, mixing, near_duplicates, neighbours, packing, quality, secrets,
                          substring_duplicates, token_counts, toxicity, url_filters)
 from daybook.sources.readers import read_table
 
@@ -83,6 +83,11 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
     coded = chunk_bpe.encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_path())
@@ -101,7 +106,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_duplicates": op8_substring_duplicates,
     "op9_quality_rules": op9_quality_rules,
     "op10_neighbours": op10_neighbours,
+    "op12_lexical_search": op12_lexical_search,
     "op13_bpe_codec": op13_bpe_codec,
 }
 
-ORACLE: dict[str, str] = {}
+_TERMS = (r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"""
+          r""" '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')""")
+
+ORACLE: dict[str, str] = {
+    "op12_lexical_search": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents WHERE text IS NOT NULL),
+     n AS (SELECT count(*)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS total FROM d WHERE len(terms) > 0),
+     tf AS (SELECT r, doc_id, term, count(*)::BIGINT AS tf, any_value(n)::BIGINT AS n
+            FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d) GROUP BY r, doc_id, term),
+     w AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+           FROM tf, n GROUP BY term),
+     i AS (SELECT q, item_id, term, count(*)::BIGINT AS times
+           FROM (SELECT row_number() OVER () AS q, item_id, unnest(terms) AS term
+                 FROM (SELECT item_id, {_TERMS} AS terms FROM (SELECT DISTINCT item_id, text FROM benchmark)))
+           GROUP BY q, item_id, term),
+     s AS (SELECT q, item_id, r, doc_id,
+                  sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // total))))::BIGINT AS score
+           FROM i JOIN w USING (term) JOIN tf USING (term), n GROUP BY q, item_id, r, doc_id)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+      FROM s WHERE score > 0) WHERE rank <= 20""",
+}
