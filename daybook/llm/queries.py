@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import (chunk_bpe, lexical_search, mixing, near_duplicates, neighbours, packing, quality, secrets,
-                         substring_duplicates, token_counts, toxicity, url_filters)
+                         substring_duplicates, token_counts, toxicity, url_filters, whitening)
 from daybook.sources.readers import read_table
 
 
@@ -83,6 +83,11 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 16 whitened components of every vector."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best documents of every benchmark item."""
     return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_duplicates": op8_substring_duplicates,
     "op9_quality_rules": op9_quality_rules,
     "op10_neighbours": op10_neighbours,
+    "op11_whitening": op11_whitening,
     "op12_lexical_search": op12_lexical_search,
     "op13_bpe_codec": op13_bpe_codec,
 }
