@@ -42,8 +42,9 @@ from pyspark.sql import functions as F
 
 from daybook.llm.common import handoff, slices
 
+#: Bounds of a segment: places take 16 bits, and a row stays at a few MB.
 SEGMENT_DOCS = 4096
-SEGMENT_POSTINGS = 1_000_000
+SEGMENT_POSTINGS = 250_000
 #: Terms of one block of items; a broadcast of at most so many strings.
 BLOCK_TERMS = 200_000
 MAX_TERM = 256        # bytes; longer terms are kept by their hash
@@ -89,8 +90,8 @@ def _segments(sent):
 
         def row(n_docs, n_terms, ids, lengths, postings) -> pa.RecordBatch:
             names = sorted(postings)
-            at = [np.array(postings[t][0], np.int32) for t in names]
-            tf = [np.array(postings[t][1], np.int64) for t in names]
+            at = [np.array(postings[t][0], np.uint16) for t in names]
+            tf = [np.array(postings[t][1], np.int32) for t in names]
             ends = np.cumsum([len(x) for x in at], dtype=np.int64).tolist()
             return pa.RecordBatch.from_arrays(
                 [pa.array([n_docs], pa.int64()), pa.array([n_terms], pa.int64()), _list(ids, pa.int64()),
@@ -148,9 +149,11 @@ def statistics(table: DataFrame) -> tuple[int, int, dict[bytes, int]]:
 
 # --------------------------------------------------------------------------- index
 
-_INDEX = ("doc_ids array<bigint>, terms array<binary>, ends array<int>, places binary, impacts binary, "
-          "top array<bigint>, pair_a array<int>, pair_b array<int>, pair_top array<bigint>, "
-          "pair_ends array<int>, pair_places binary, pair_impacts binary")
+#: ``shares`` are impacts without the term's weight; pair_at_a and pair_at_b are
+#: places in the two terms' postings.
+_INDEX = ("doc_ids array<bigint>, terms array<binary>, weights array<bigint>, ends array<int>, places binary, "
+          "shares binary, top array<bigint>, pair_a array<int>, pair_b array<int>, pair_top array<bigint>, "
+          "pair_ends array<int>, pair_at_a binary, pair_at_b binary")
 
 
 def item_pairs(items: list[Counter], weights: dict[bytes, int]) -> dict[bytes, list[bytes]]:
@@ -171,48 +174,52 @@ def _impacts(sent):
         for batch in slices(batches, 1):
             row = batch.to_pylist()[0]
             m = np.array([75 + (25 * x * n) // total for x in row["lengths"]], np.int64)
-            at = np.frombuffer(row["places"], np.int32)
-            tf = np.frombuffer(row["tfs"], np.int64)
+            at = np.frombuffer(row["places"], np.uint16)
+            tf = np.frombuffer(row["tfs"], np.int32).astype(np.int64)
             names = row["terms"]
             starts = [0, *row["ends"]]
-            impacts = 1_000_000_000 * tf // (1000 * tf + 12 * m[at])
-            for k, t in enumerate(names):
-                impacts[starts[k]:starts[k + 1]] *= weights[t]
-            top = [int(impacts[starts[k]:starts[k + 1]].max()) for k in range(len(names))]
+            shares = 1_000_000_000 * tf // (1000 * tf + 12 * m[at])
+            weight_of = [weights[t] for t in names]
+            top = [w * int(shares[a:b].max()) for w, a, b in zip(weight_of, starts, starts[1:])]
             number = {t: k for k, t in enumerate(names)}
-            dense = np.zeros(len(m), np.int64)
-            pair_a, pair_b, pair_top, pair_ends, places, joint = [], [], [], [], [], []
+            place_in_a = np.full(len(m), -1, np.int64)
+            pair_a, pair_b, pair_top, pair_ends, at_a, at_b = [], [], [], [], [], []
             end = 0
             for a, bs in pairs.items():
                 ka = number.get(a)
                 if ka is None:
                     continue
                 own = slice(starts[ka], starts[ka + 1])
-                dense[at[own]] = impacts[own]
+                place_in_a[at[own]] = np.arange(own.stop - own.start)
                 for b in bs:
                     kb = number.get(b)
                     if kb is None:
                         continue
                     other = slice(starts[kb], starts[kb + 1])
-                    there = dense[at[other]]
-                    both = there > 0
-                    sums = np.stack((there[both], impacts[other][both]))
+                    there = place_in_a[at[other]]
+                    in_b = np.flatnonzero(there >= 0)
+                    in_a = there[in_b]
+                    joint = weight_of[ka] * shares[own][in_a] + weight_of[kb] * shares[other][in_b]
+                    most = int(joint.max(initial=0))
+                    if most >= top[ka] + top[kb]:
+                        continue                      # tells nothing that the terms don't
                     pair_a.append(ka)
                     pair_b.append(kb)
-                    pair_top.append(int(sums.sum(0).max(initial=0)))
-                    places.append(at[other][both].tobytes())
-                    joint.append(sums.tobytes())
-                    end += int(both.sum())
+                    pair_top.append(most)
+                    at_a.append(in_a.astype(np.uint16).tobytes())
+                    at_b.append(in_b.astype(np.uint16).tobytes())
+                    end += len(in_b)
                     pair_ends.append(end)
-                dense[at[own]] = 0
+                place_in_a[at[own]] = -1
             yield pa.RecordBatch.from_arrays(
-                [_list(row["doc_ids"], pa.int64()), _list(names, pa.binary()), _list(row["ends"], pa.int32()),
-                 pa.array([row["places"]], pa.binary()), pa.array([impacts.tobytes()], pa.binary()),
+                [_list(row["doc_ids"], pa.int64()), _list(names, pa.binary()), _list(weight_of, pa.int64()),
+                 _list(row["ends"], pa.int32()), pa.array([row["places"]], pa.binary()),
+                 pa.array([shares.astype(np.int32).tobytes()], pa.binary()),
                  _list(top, pa.int64()), _list(pair_a, pa.int32()), _list(pair_b, pa.int32()),
                  _list(pair_top, pa.int64()), _list(pair_ends, pa.int32()),
-                 pa.array([b"".join(places)], pa.binary()), pa.array([b"".join(joint)], pa.binary())],
-                names=["doc_ids", "terms", "ends", "places", "impacts", "top", "pair_a", "pair_b",
-                       "pair_top", "pair_ends", "pair_places", "pair_impacts"])
+                 pa.array([b"".join(at_a)], pa.binary()), pa.array([b"".join(at_b)], pa.binary())],
+                names=["doc_ids", "terms", "weights", "ends", "places", "shares", "top", "pair_a", "pair_b",
+                       "pair_top", "pair_ends", "pair_at_a", "pair_at_b"])
     return build
 
 
@@ -226,22 +233,25 @@ class Segment:
         self.null = np.array([i is None for i in row["doc_ids"]], bool)
         self.number = {t: k for k, t in enumerate(row["terms"])}
         self.starts, self.top = [0, *row["ends"]], row["top"]
-        self.places = np.frombuffer(row["places"], np.int32)
-        self.impacts = np.frombuffer(row["impacts"], np.int64)
+        self.places = np.frombuffer(row["places"], np.uint16)
+        self.impacts = np.frombuffer(row["shares"], np.int32) * np.repeat(
+            np.array(row["weights"], np.int64), np.diff(self.starts))
         self.pairs = {ab: k for k, ab in enumerate(zip(row["pair_a"], row["pair_b"]))}
         self.pair_top, self.pair_starts = row["pair_top"], [0, *row["pair_ends"]]
-        self.pair_places = np.frombuffer(row["pair_places"], np.int32)
-        self.pair_impacts = np.frombuffer(row["pair_impacts"], np.int64)
+        self.pair_at = [np.frombuffer(row[name], np.uint16) for name in ("pair_at_a", "pair_at_b")]
         self.scores = np.zeros(len(self.ids), np.int64)
 
     def term(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         own = slice(self.starts[k], self.starts[k + 1])
         return self.places[own], self.impacts[own]
 
-    def pair(self, p: int) -> tuple[np.ndarray, np.ndarray]:
-        """Documents that hold both terms; their two impacts."""
-        low, high = self.pair_starts[p], self.pair_starts[p + 1]
-        return self.pair_places[low:high], self.pair_impacts[2 * low:2 * high].reshape(2, -1)
+    def pair(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Documents that hold both terms; the impacts of either."""
+        p = self.pairs[a, b]
+        own = slice(self.pair_starts[p], self.pair_starts[p + 1])
+        (at, one), (_, two) = self.term(a), self.term(b)
+        in_a, in_b = self.pair_at[0][own], self.pair_at[1][own]
+        return at[in_a], one[in_a], two[in_b]
 
 
 def units(segment: Segment, item: list[tuple[bytes, int]]) -> list[tuple[int, tuple]]:
@@ -287,16 +297,16 @@ def _add(segment: Segment, unit: tuple, alive: np.ndarray, scores: np.ndarray) -
 def _add_pair(segment: Segment, unit: tuple, alive: np.ndarray, scores: np.ndarray) -> None:
     """The same for a pair: the intersection list first, then documents with one term only."""
     (a, qa), (b, qb) = unit
-    at, impacts = segment.pair(segment.pairs[a, b])
+    at, one, two = segment.pair(a, b)
     rest = np.ones(len(alive), bool)
     if len(at):
         where = np.searchsorted(at, alive)
         where[where == len(at)] = 0
         hit = at[where] == alive
-        scores[hit] += qa * impacts[0, where[hit]] + qb * impacts[1, where[hit]]
+        scores[hit] += qa * one[where[hit]] + qb * two[where[hit]]
         rest = ~hit
-    one, more = alive[rest], scores[rest]
-    _add(segment, unit, one, more)
+    some, more = alive[rest], scores[rest]
+    _add(segment, unit, some, more)
     scores[rest] = more
 
 
