@@ -21,15 +21,17 @@ documents are processed in parallel and no row is shuffled by document.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, IntegerType, MapType, StringType, StructField,
+from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, MapType, StringType, StructField,
                                StructType)
 
 from daybook.functions.numbers import grouped_digits, grouped_digits_reject
 from daybook.operators.joins import bounded_broadcast, small_derived_side
+from daybook.sources.sinks import handoff, write_parquet
 
 
 # --------------------------------------------------------------------------- P10
@@ -91,18 +93,20 @@ class _Slot:
     width: int      # cells joined into the group
     token: int      # 1-based token inside the group; 0 = the whole cell, not split
     names: int      # token names of the group
+    flat: int = 0   # 1-based token among all tokens of a regular row (_regular_rows)
 
 
 def _layout_slots(lay: Layout, measures: Sequence[str]) -> tuple[dict, int]:
     """Per measure, the list of slots summed into it; and the end of the used cells."""
     where: dict[str, _Slot] = {}
     pos = lay.region_cell + 1
-    used_end = pos
+    used_end, flat = pos, 0
     for grp, width in zip(lay.groups, lay.cells_per_group()):
         if grp is not None:
             whole = len(grp) == 1 and width == 1
             for k, name in enumerate(grp):
-                where[name] = _Slot(pos, width, 0 if whole else k + 1, len(grp))
+                where[name] = _Slot(pos, width, 0 if whole else k + 1, len(grp), flat + k + 1)
+            flat += len(grp)
             used_end = pos + width
         pos += width
     sums = dict(lay.sums)
@@ -113,18 +117,45 @@ def _layout_slots(lay: Layout, measures: Sequence[str]) -> tuple[dict, int]:
     return slots, used_end
 
 
-_SLOT_FIELDS = ("start", "width", "token", "names")
+_SLOT = StructType([StructField(f, IntegerType(), False) for f in ("start", "width", "token", "names", "flat")])
+#: Between two cells and between two numbers of one cell, in the pattern of a row.
+_CELL, _BLANK = "|", " "
+MAX_PATTERNS = 64
+
+
+def _regular_rows(lay: Layout) -> tuple[int, int, list[str]]:
+    """First cell and number of cells from the first used group to the last, and what
+    is left of these cells, joined with ``|``, without digits and commas in a regular
+    row: every group holds as many numbers as names.  Where a group of several cells
+    breaks is open, so there may be several patterns; none where a cell in between is
+    ignored or there would be too many."""
+    groups = list(zip(lay.groups, lay.cells_per_group()))
+    first = lay.region_cell + 1
+    while groups and groups[0][0] is None:
+        first += groups.pop(0)[1]
+    while groups and groups[-1][0] is None:
+        groups.pop()
+    patterns = [""] if groups and all(g is not None for g, _ in groups) else []
+    for k, (names, width) in enumerate(groups if patterns else ()):
+        breaks = [set(c) for c in combinations(range(len(names) - 1), width - 1)]
+        inside = ["".join(_CELL if i in at else _BLANK for i in range(len(names) - 1)) for at in breaks]
+        patterns = [p + (_CELL if k else "") + x for p in patterns for x in inside]
+        if len(patterns) > MAX_PATTERNS:
+            patterns = []
+            break
+    return first, sum(w for _, w in groups), patterns
 
 
 def layout_table(spark, layouts: Sequence[Layout],
                  measures: Sequence[str]) -> tuple[DataFrame, list[int]]:
-    """The rule table: one row per layout with the integers that place every
+    """The rule table: one row per layout with an array of slots that place every
     measure term (first cell, cell count, token index, token count), the
     region cell, and the row-drop and rename rules.
 
     Built on the driver from the layout list, so its size is the number of
     layouts (a code-sized bound); returned with the number of term slots of
-    each measure (the most terms any layout sums into it).
+    each measure (the most terms any layout sums into it).  A slot of no width
+    stands where a layout has fewer terms.
     """
     plans = [(lay, *_layout_slots(lay, measures)) for lay in layouts]
     n_slots = [max((len(slots[m]) for _, slots, _ in plans), default=0) for m in measures]
@@ -132,68 +163,109 @@ def layout_table(spark, layouts: Sequence[Layout],
               StructField("_region_cell", IntegerType(), False),
               StructField("_strip_digits", BooleanType(), False),
               StructField("_drop_end", IntegerType(), False),
-              StructField("_renames", MapType(StringType(), StringType()), False)]
-    for i in range(len(measures)):
-        for j in range(n_slots[i]):
-            fields += [StructField(f"_m{i}_{j}_{f}", IntegerType(), False) for f in _SLOT_FIELDS]
+              StructField("_renames", MapType(StringType(), StringType()), False),
+              StructField("_slots", ArrayType(_SLOT, False), False),
+              StructField("_first", IntegerType(), False), StructField("_width", IntegerType(), False),
+              StructField("_patterns", ArrayType(StringType(), False), False)]
     rows = []
     for lay, slots, used_end in plans:
-        row = [lay.name, lay.region_cell, lay.strip_region_digits,
-               used_end if lay.drop_null_rows else 0, dict(lay.renames)]
-        for i, m in enumerate(measures):
-            for j in range(n_slots[i]):
-                slot = slots[m][j] if j < len(slots[m]) else _Slot(0, 0, 0, 0)
-                row += [getattr(slot, f) for f in _SLOT_FIELDS]
-        rows.append(tuple(row))
+        placed = [slots[m][j] if j < len(slots[m]) else _Slot(0, 0, 0, 0)
+                  for i, m in enumerate(measures) for j in range(n_slots[i])]
+        rows.append((lay.name, lay.region_cell, lay.strip_region_digits,
+                     used_end if lay.drop_null_rows else 0, dict(lay.renames),
+                     [(p.start, p.width, p.token, p.names, p.flat) for p in placed], *_regular_rows(lay)))
     return spark.createDataFrame(rows, StructType(fields)), n_slots
 
 
+def _slot_values(cells: Column) -> Column:
+    """``_slots`` -> an array of ``(value, bad)``: one expression for all slots,
+    whatever their number, so the generated code stays small."""
+    def group(s):
+        joined = F.array_join(F.slice(cells, s["start"] + 1, s["width"]), " ", _NULL_MARK)
+        there = (s["width"] > 0) & (F.size(cells) >= s["start"] + s["width"]) & (F.instr(joined, _NULL_MARK) == 0)
+        return F.struct(F.when(there, F.when(s["token"] == 0, F.array(joined)).otherwise(F.split(joined, " ")))
+                        .alias("parts"), F.greatest(s["token"], F.lit(1)).alias("token"),
+                        F.when(s["token"] > 0, s["names"]).alias("names"))
+
+    def chosen(g):
+        return F.struct(F.try_element_at(g["parts"], g["token"]).alias("text"),
+                        F.coalesce(F.size(g["parts"]) > g["names"], F.lit(False)).alias("many"))
+
+    def parsed(t):
+        bad = t["many"] | F.coalesce(grouped_digits_reject(t["text"]), F.lit(False))
+        return F.struct(grouped_digits(t["text"]).alias("value"), bad.alias("bad"))
+    return F.transform(F.transform(F.transform("_slots", group), chosen), parsed)
+
+
 def normalize_rows(rows: DataFrame, layouts: Sequence[Layout], measures: Sequence[str],
                    layout_col: str = "layout", cells_col: str = "cells",
-                   keep: Sequence[str] = ()) -> DataFrame:
+                   keep: Sequence[str] = (), rejected: bool = False) -> DataFrame:
     """Apply each row's layout: region text plus cleaned ``measures``.
 
     The rule table (:func:`layout_table`) is broadcast-joined on the layout
-    id -- its size is the number of layouts, known on the driver -- and every
-    row then runs the same compact expression per measure term: join the
-    term's cells with blanks (null if any is null), split on blanks, take the
-    token, clean it with F6, add the terms.  Expressions do not grow with the
-    number of layouts and stay inside whole-stage codegen.
+    id -- its size is the number of layouts, known on the driver.  A *regular*
+    row (only digits, commas and the layout's own separators in its cells) is
+    split once into all its numbers, and each slot takes its place among them.
+    Every other row runs one expression over the array of its layout's slots:
+    join the slot's cells with blanks (null if any is null), split on blanks,
+    take the token, clean it with F6.  Both give the same values (a test
+    compares them); a measure is the sum of its slots.  The expressions don't
+    grow with the number of layouts.
 
     Output: ``keep``, ``region``, every measure (bigint) and ``rejects``
     (measure tokens that were not numbers, plus tokens taken from a group
-    holding more numbers than names).  Rows whose layout is unknown are
+    holding more numbers than names).  ``rejected=True`` adds ``rejected``, an
+    array of ``(measure, cell, text)`` with the original text of each of them
+    and the place of its first cell.  Rows whose layout is unknown are
     dropped; layouts with ``drop_null_rows`` drop rows with a null used cell.
     """
     rules, n_slots = layout_table(rows.sparkSession, layouts, measures)
     j = rows.withColumnRenamed(layout_col, "layout").join(F.broadcast(rules), "layout")
     cells = F.col(cells_col)
 
-    measure_cols, rejects = [], F.lit(0)
-    for i, m in enumerate(measures):
-        total = F.lit(0).cast("bigint")
-        for s in range(n_slots[i]):
-            start, width, token, names = (F.col(f"_m{i}_{s}_{f}") for f in _SLOT_FIELDS)
-            joined = F.array_join(F.slice(cells, start + 1, width), " ", _NULL_MARK)
-            complete = (F.size(cells) >= start + width) & (F.instr(joined, _NULL_MARK) == 0)
-            group = F.when(complete, joined)
-            parts = F.split(group, " ")
-            text = F.when(token == 0, group).otherwise(F.try_element_at(parts, token))
-            present = width > 0
-            total = total + F.when(present, grouped_digits(text)).otherwise(F.lit(0))
-            bad = present & (grouped_digits_reject(text)
-                             | ((token > 0) & F.coalesce(F.size(parts) > names, F.lit(False))))
-            rejects = rejects + F.when(bad, 1).otherwise(0)
-        measure_cols.append(total.alias(m))
-
     region = F.try_element_at(cells, F.col("_region_cell") + 1)
     region = F.when(F.col("_strip_digits"), F.regexp_replace(region, r"\d+", "")).otherwise(region)
     region = F.coalesce(F.try_element_at(F.col("_renames"), region), region)
     used = F.array_join(F.slice(cells, 1, F.col("_drop_end")), " ", _NULL_MARK)
     drop = (F.col("_drop_end") > 0) & ((F.size(cells) < F.col("_drop_end"))
                                         | (F.instr(used, _NULL_MARK) > 0))
-    return j.where(~drop).select(*keep, region.alias("region"), *measure_cols,
-                                 rejects.alias("rejects"))
+    joined = F.array_join(F.slice(cells, F.col("_first") + 1, F.col("_width")), _CELL, _NULL_MARK)
+    regular = F.array_contains("_patterns", F.translate("_joined", "0123456789,", ""))
+    j = (j.where(~drop).withColumn("_joined", F.coalesce(joined, F.lit(_NULL_MARK)))
+         .select("*", regular.alias("_regular")))
+    read = j.select(*keep, region.alias("region"), "_slots", "_regular",
+                    F.translate("_joined", _CELL + ",", _BLANK).alias("_numbers"),
+                    F.when(~F.col("_regular"), _slot_values(cells)).alias("_read"),
+                    *([cells.alias("_cells")] if rejected else []))
+    read = read.withColumn("_numbers", F.when(F.col("_regular"), F.split("_numbers", _BLANK)))
+
+    measure_cols, names, at, overflow = [], [], 0, F.lit(0)
+    for m, n in zip(measures, n_slots):
+        total = F.lit(0).cast("bigint")
+        for k in range(at, at + n):
+            token = F.get("_numbers", F.col("_slots")[k]["flat"] - 1)
+            number = token.try_cast("bigint")
+            total = total + F.coalesce(F.when(F.col("_regular"), number).otherwise(F.col("_read")[k]["value"]),
+                                       F.lit(0))
+            overflow = overflow + F.when(number.isNull() & (token != ""), 1).otherwise(0)
+        measure_cols.append(total.alias(m))
+        names += [m] * n
+        at += n
+    # a regular row has no other reject than a number beyond 64 bits
+    marked = F.size(F.filter("_read", lambda r: r["bad"]))
+    rejects = F.when(F.col("_regular"), overflow).otherwise(marked)
+    out = [*keep, "region", *measure_cols, rejects.cast("int").alias("rejects")]
+    if rejected:
+        named = F.array(*[F.lit(m) for m in names])
+        token = lambda slot: F.get("_numbers", slot["flat"] - 1)
+        bad = lambda slot, i: F.when(F.col("_regular"), token(slot).try_cast("bigint").isNull()
+                                     & (token(slot) != "")).otherwise(F.get("_read", i)["bad"])
+        found = F.transform("_slots", lambda slot, i: F.struct(
+            F.get(named, i).alias("measure"), slot["start"].alias("cell"),
+            F.when(bad(slot, i), F.array_join(F.slice("_cells", slot["start"] + 1, slot["width"]), " "))
+            .alias("text")))
+        out.append(F.filter(found, lambda x: x["text"].isNotNull()).alias("rejected"))
+    return read.select(*out)
 
 
 # --------------------------------------------------------------------------- dispatch rules
@@ -247,13 +319,53 @@ class TrimRules:
     default_skip: int = 1
 
 
+#: Narrow facts of a cell row: a mark for each position that isn't null, and a
+#: mark for each that holds the anchor text (null when none does).
+FILLED, ANCHORED = "_filled", "_anchored"
+
+
+def cell_store(cells: DataFrame, anchor_text: str = "", path: str | None = None,
+               doc_col: str = "doc_index") -> DataFrame:
+    """The cell rows written once, with their narrow facts beside them.
+
+    What a document's trimming needs (its tables, its anchor row, its empty
+    columns) follows from the facts alone, so later steps read the few bytes of
+    the facts of every row and the cells just once, and the cells are never
+    shuffled: rows of a huge document stay in as many files as they came from.
+
+    Without ``path`` the store is a hand-off in the shared checkpoint folder.
+    With one it is a lasting table, clustered by (document, table, row) in
+    ranges of rows: a document's rows are in few files, a huge document's in
+    several, and the files' own statistics skip other documents.
+    """
+    def marks(test):
+        return F.array_join(F.transform("cells", lambda c: F.when(test(c), "1").otherwise("0")), "")
+    filled = F.coalesce(marks(lambda c: c.isNotNull()), F.lit(""))
+    anchored = F.when(F.array_contains("cells", anchor_text), marks(lambda c: c == F.lit(anchor_text)))
+    store = cells.drop(FILLED, ANCHORED).withColumns({FILLED: filled, ANCHORED: anchored})
+    store = store.withMetadata(ANCHORED, {"anchor_text": anchor_text})
+    if path is None:
+        return handoff(store, "cells")
+    order = [doc_col, "table_index", "row_index"]
+    write_parquet(store.repartitionByRange(*order).sortWithinPartitions(*order), path)
+    return cells.sparkSession.read.parquet(path)
+
+
+def is_cell_store(cells: DataFrame, anchor_text: str) -> bool:
+    """Whether ``cells`` carries the facts for this anchor text."""
+    return FILLED in cells.columns and any(
+        f.name == ANCHORED and f.metadata.get("anchor_text") == anchor_text for f in cells.schema.fields)
+
+
 def document_bodies(cells: DataFrame, trim: TrimRules, doc_col: str = "doc_index",
                     max_docs: int = 1_000_000) -> DataFrame:
     """Pick each document's body (P14, P15, P18) and drop its empty columns (P10).
 
     The body of a document is a suffix of one of its tables, so every
-    per-document fact follows from one aggregate over the exploded cells,
-    keyed by (document, table, cell position):
+    per-document fact follows from the narrow facts of :func:`cell_store`
+    (``cells`` is written as one, unless it is one), aggregated first by
+    (document, table, marks) -- a table has few different patterns of marks --
+    and then by position:
 
     * the number of tables of the document,
     * the last row holding the anchor text in the anchor cell,
@@ -263,32 +375,34 @@ def document_bodies(cells: DataFrame, trim: TrimRules, doc_col: str = "doc_index
     The aggregate is tiny (documents x tables x columns); it is computed once,
     written to the shared checkpoint folder and broadcast after a size check,
     so the cell rows are never shuffled by document, however large one
-    document is.  Adds ``rel_row``
+    document is, and are read once.  Adds ``rel_row``
     (0-based row inside the body); ``cells`` keeps only non-empty positions.
     """
+    if not is_cell_store(cells, trim.anchor_text):
+        cells = cell_store(cells, trim.anchor_text, doc_col=doc_col)
     doc = F.col(doc_col)
     anchor_cell = position_case(doc, trim.anchor, None).cast("int")
-    exploded = cells.select(doc_col, "table_index", "row_index",
-                            F.posexplode_outer("cells").alias("_pos", "_cell"))
-    is_anchor = (F.col("_pos") == anchor_cell) & (F.col("_cell") == F.lit(trim.anchor_text))
-    single_skip = trim.single_table_skip
-    per_pos = (exploded.groupBy(doc_col, "table_index", "_pos").agg(
-        F.max(F.when(F.col("_cell").isNotNull(), F.col("row_index"))).alias("_last_value"),
-        F.max(F.when(is_anchor, F.col("row_index"))).alias("_anchor_multi"),
-        F.max(F.when(is_anchor & (F.col("row_index") >= single_skip), F.col("row_index")))
-        .alias("_anchor_single")))
+    patterns = (cells.groupBy(doc_col, "table_index", FILLED, ANCHORED)
+                .agg(F.max("row_index").alias("_last")))
+    marks = F.when(F.length(FILLED) > 0, F.split(FILLED, ""))
+    hit = F.substring(ANCHORED, anchor_cell + 1, F.lit(1)) == "1"
+    per_pos = (patterns.select(doc_col, "table_index", "_last", F.when(hit, F.col("_last")).alias("_hit"),
+                               F.posexplode_outer(marks).alias("_pos", "_mark"))
+               .groupBy(doc_col, "table_index", "_pos")
+               .agg(F.max(F.when(F.col("_mark") == "1", F.col("_last"))).alias("_last_value"),
+                    F.max("_hit").alias("_anchor")))
     per_table = per_pos.groupBy(doc_col, "table_index").agg(
-        F.max("_anchor_multi").alias("_anchor_multi"),
-        F.max("_anchor_single").alias("_anchor_single"),
+        F.max("_anchor").alias("_anchor"),
         F.collect_list(F.struct("_pos", "_last_value")).alias("_positions"))
     tables_per_doc = per_table.groupBy(doc_col).agg(F.count(F.lit(1)).alias("_n_tables"))
     t = per_table.join(tables_per_doc, doc_col)
+    single_skip = trim.single_table_skip
     single = F.col("_n_tables") == 1
     body_table = position_case(doc, trim.body_table, trim.default_body_table)
     t = t.where(F.when(single, F.lit(True)).otherwise(F.col("table_index") == body_table))
     offset = F.when(single, F.lit(single_skip)).otherwise(F.lit(0))
-    anchor_row = F.when(single, F.col("_anchor_single") - single_skip) \
-        .otherwise(F.col("_anchor_multi"))
+    # in a single table an anchor among the skipped rows doesn't count
+    anchor_row = F.when(F.col("_anchor") >= offset, F.col("_anchor") - offset)
     skip = position_case(doc, trim.skip, None).cast("int")
     start = (F.when(skip.isNotNull(), skip)
              .when(anchor_cell.isNotNull(), F.coalesce(anchor_row, F.lit(0)))
@@ -302,7 +416,7 @@ def document_bodies(cells: DataFrame, trim: TrimRules, doc_col: str = "doc_index
     stats = t.select(doc_col, "table_index", "_start_raw",
                      F.when(whole, F.lit(None)).otherwise(keep).alias("_keep"))
     stats = small_derived_side(stats, max_docs)
-    body = (cells.join(stats, [doc_col, "table_index"])
+    body = (cells.drop(FILLED, ANCHORED).join(stats, [doc_col, "table_index"])
             .where(F.col("row_index") >= F.col("_start_raw")))
     kept = F.when(F.col("_keep").isNull(), F.col("cells")).otherwise(
         F.filter("cells", lambda x, i: F.array_contains(F.col("_keep"), i)))
@@ -312,20 +426,25 @@ def document_bodies(cells: DataFrame, trim: TrimRules, doc_col: str = "doc_index
 
 
 def apply_row_patches(rows: DataFrame, layouts: Sequence[Layout], doc_col: str = "doc_index",
-                      layout_col: str = "layout", cells_col: str = "cells") -> DataFrame:
+                      layout_col: str = "layout", cells_col: str = "cells",
+                      dispatch: Sequence[tuple] = ()) -> DataFrame:
     """Per-layout positional row copies and drops inside a document.
 
     A copy ``(dst, src)`` gives row ``dst`` the cells of row ``src`` after the
     region cell; a drop removes a body row.  Only layouts that declare
     patches pay for the lookup: the source rows (one per document of the
     layout) are broadcast after a size check, and the body rows stay in place.
+    With ``dispatch``, the source rows' documents are also filtered by position,
+    a condition that reaches the scan.
     """
     patched = [lay for lay in layouts if lay.row_copies or lay.row_drops]
     out = rows
     for lay in patched:
         in_layout = F.col(layout_col) == lay.name
+        possible = [(cond, True) for cond, name in dispatch if name == lay.name]
         for dst, src in lay.row_copies:
-            src_rows = (out.where(in_layout & (F.col("rel_row") == src))
+            found = out.where(position_case(F.col(doc_col), possible, False)) if possible else out
+            src_rows = (found.where(in_layout & (F.col("rel_row") == src))
                         .select(F.col(doc_col).alias("_doc"), F.col(cells_col).alias("_src_cells")))
             out = out.join(bounded_broadcast(src_rows), (F.col(doc_col) == F.col("_doc"))
                            & in_layout & (F.col("rel_row") == dst), "left")
@@ -341,22 +460,26 @@ def apply_row_patches(rows: DataFrame, layouts: Sequence[Layout], doc_col: str =
 
 def normalize_reports(cells: DataFrame, layouts: Sequence[Layout], dispatch: Sequence[tuple],
                       trim: TrimRules, measures: Sequence[str], header_marker: str | None = None,
-                      doc_col: str = "doc_index") -> DataFrame:
-    """Extracted report cells -> one row per report row with cleaned measures.
+                      doc_col: str = "doc_index", rejected: bool = False) -> DataFrame:
+    """Extracted report cells (or a :func:`cell_store` of them) -> one row per report
+    row with cleaned measures.
 
     ``dispatch``: ordered ``(condition, layout name)`` rules on the document
     position.  Steps: trim (body table, skipped rows, anchor), drop columns
     empty in the whole document, row patches, header-row removal (P11), then
     the layout's cell groups.  Output: ``day`` (from the file name, S7),
-    ``doc_index``, ``rel_row``, ``region``, measures, ``rejects``.
+    ``doc_index``, ``rel_row``, ``region``, measures, ``rejects``; with
+    ``rejected=True`` also ``file_name``, ``row_index`` and the rejected cells
+    (see :func:`normalize_rows` and :func:`rejected_cells`).
     """
     body = document_bodies(cells, trim, doc_col)
     body = body.withColumn("layout", position_case(F.col(doc_col), dispatch, None))
-    body = apply_row_patches(body, layouts, doc_col)
+    body = apply_row_patches(body, layouts, doc_col, dispatch=dispatch)
     if header_marker is not None:
         body = body.where(~F.coalesce(F.array_contains("cells", header_marker), F.lit(False)))
     body = body.withColumn("day", F.try_to_date(F.substring("file_name", 1, 10), "yyyy-MM-dd"))
-    return normalize_rows(body, layouts, measures, keep=["day", doc_col, "rel_row"])
+    keep = ["day", doc_col, "rel_row"] + (["file_name", "row_index"] if rejected else [])
+    return normalize_rows(body, layouts, measures, keep=keep, rejected=rejected)
 
 
 def rejected_documents(cells: DataFrame, dispatch: Sequence[tuple], trim: TrimRules,
@@ -387,3 +510,15 @@ def rejected_rows(normalized: DataFrame) -> DataFrame:
     user see and fix them.  It is a filter over the same rows, no extra pass.
     """
     return normalized.where(F.col("rejects") > 0)
+
+
+def rejected_cells(normalized: DataFrame, keep: Sequence[str] = ("file_name", "doc_index", "row_index", "region")
+                   ) -> DataFrame:
+    """One row per cell that counted as 0 though it held text (D6), with the
+    measure it was read for, the place of its (group's first) cell in the row
+    without empty columns, and the original text.
+
+    ``normalized`` comes from :func:`normalize_reports` with ``rejected=True``.
+    """
+    return (normalized.where(F.size("rejected") > 0)
+            .select(*keep, F.explode("rejected").alias("_r")).select(*keep, "_r.measure", "_r.cell", "_r.text"))

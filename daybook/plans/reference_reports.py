@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.operators.layouts import normalize_reports, position_case, rejected_documents
+from daybook.operators.layouts import normalize_reports, position_case, rejected_cells, rejected_documents
 from daybook.plans import stages
 from daybook.plans.report_rules import (REFERENCE_DISPATCH, REFERENCE_LAYOUTS, REFERENCE_MEASURES,
                                         REFERENCE_TRIM)
@@ -156,6 +156,13 @@ def q57_rejected_documents(spark: SparkSession, sf: str) -> DataFrame:
     return rejected_documents(reference_cells(spark, sf), REFERENCE_DISPATCH, REFERENCE_TRIM)
 
 
+def q58_rejected_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """§2.12, F6 rejects: every unreadable cell of q38 with its original text and place."""
+    rows = normalize_reports(reference_cells(spark, sf), REFERENCE_LAYOUTS, REFERENCE_DISPATCH, REFERENCE_TRIM,
+                             REFERENCE_MEASURES, header_marker=stages.HEADER_MARKER, rejected=True)
+    return rejected_cells(rows)
+
+
 # --------------------------------------------------------------------------- SQL
 
 _LINES = """
@@ -241,6 +248,17 @@ REFERENCE_ORACLE = {
             WHERE NOT (day = DATE '2021-04-02' AND dose_1 = 0)
               AND NOT (coalesce(region, '') = 'Dadra & Nagar' AND dose_1 = 0))
         SELECT strftime(day, '%Y-%m-%d') AS day, region, """ + _SUMS + " FROM merged GROUP BY 1, 2",
+    "q58_rejected_cells": "WITH " + _ROWS + """,
+        cells AS (
+            SELECT strftime(DATE '2021-01-01' + doc, '%Y-%m-%d') || '.csv' AS file_name, doc AS doc_index,
+                   r AS row_index, region, unnest(CASE WHEN lay = 2 THEN ['dose_1', 'total_doses'] ELSE ['dose_1'] END)
+                   AS measure, CAST(CASE lay WHEN 1 THEN 4 WHEN 3 THEN 1 ELSE 2 END AS INTEGER) AS cell,
+                   'n.a.' || CASE WHEN lay IN (3, 7, 8, 11, 13, 14, 15, 17) THEN ' ' || format('{:,}', d2) ELSE '' END
+                   || CASE WHEN lay IN (8, 11, 13, 14) THEN ' ' || t1 ELSE '' END
+                   || CASE WHEN lay IN (11, 13, 14) THEN ' ' || t2 ELSE '' END
+                   || CASE WHEN lay = 13 THEN ' ' || k1 ELSE '' END AS text
+            FROM laid WHERE bad AND (lay NOT IN (15, 16) OR (region IS NOT NULL AND total IS NOT NULL)))
+        SELECT * FROM cells""",
     # a document holds its line items, 13 front rows and, if it has several tables, a row of another one
     "q57_rejected_documents": "WITH " + _LINES + """
         SELECT doc AS doc_index, CASE WHEN doc IS NULL THEN 'no layout' ELSE 'no body table' END AS reason,

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from daybook.plans.oracle import ORACLE
 from daybook.plans.queries import OPERATOR_QUERIES
 from daybook.plans.reference_reports import (REFERENCE_ORACLE, q38_reference_layouts,
-                                             q39_reference_vaccination, q57_rejected_documents)
+                                             q39_reference_vaccination, q57_rejected_documents,
+                                             q58_rejected_cells)
 from daybook.plans.shapes import SHAPE_QUERIES
 from daybook.sources.sinks import render_dates
 
@@ -28,7 +29,7 @@ def _deliverable(fn: Callable[[SparkSession, str], DataFrame]):
 
 
 REFERENCE_QUERIES = {f.__name__: f for f in (q38_reference_layouts, q39_reference_vaccination,
-                                             q57_rejected_documents)}
+                                             q57_rejected_documents, q58_rejected_cells)}
 ALL_QUERIES = {k: _deliverable(v) for k, v in
                sorted({**OPERATOR_QUERIES, **SHAPE_QUERIES, **REFERENCE_QUERIES}.items())}
 ALL_ORACLE = {k: v for k, v in {**ORACLE, **REFERENCE_ORACLE}.items() if k in ALL_QUERIES}

@@ -20,7 +20,8 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook import schemas
-from daybook.operators.layouts import normalize_reports, rejected_documents, rejected_rows
+from daybook.operators.layouts import (cell_store, normalize_reports, rejected_cells,
+                                       rejected_documents, rejected_rows)
 from daybook.plans import questions, stages
 from daybook.plans.report_rules import (REFERENCE_DISPATCH, REFERENCE_LAYOUTS,
                                         REFERENCE_MEASURES, REFERENCE_TRIM)
@@ -42,10 +43,10 @@ def run(spark: SparkSession, cases: str, codes: str, reports: str, air: str, cit
     """Build every stage and question; write the deliverables when ``out`` is given."""
     t1 = stages.case_table(readers.read_json_records(spark, cases),
                            readers.read_csv(spark, codes, schemas.REGION_CODES))
-    cells = spark.read.parquet(reports)
-    report_rows = normalize_reports(cells, REFERENCE_LAYOUTS,
-                                    REFERENCE_DISPATCH, REFERENCE_TRIM, REFERENCE_MEASURES,
-                                    header_marker=stages.HEADER_MARKER)
+    cells = cell_store(spark.read.parquet(reports), REFERENCE_TRIM.anchor_text)
+    read = normalize_reports(cells, REFERENCE_LAYOUTS, REFERENCE_DISPATCH, REFERENCE_TRIM,
+                             REFERENCE_MEASURES, header_marker=stages.HEADER_MARKER, rejected=True)
+    report_rows = read.drop("file_name", "row_index", "rejected")
     t2 = stages.vaccination_by_region(report_rows)
     rejects = rejected_rows(report_rows)
     t3 = stages.cases_with_vaccination(t1, t2)
@@ -69,12 +70,13 @@ def run(spark: SparkSession, cases: str, codes: str, reports: str, air: str, cit
         "region_extremes": questions.region_extremes(t1),
         "region_ranking": questions.region_totals(t1),
         "rejected_report_rows": rejects,
+        "rejected_report_cells": rejected_cells(read),
         "rejected_documents": rejected_documents(cells, REFERENCE_DISPATCH, REFERENCE_TRIM),
     }
     if out:
         sinks.write_csv(t2, f"{out}/vaccination_region", sep="|")
         sinks.write_csv(rejects, f"{out}/rejected_report_rows")
-        for name in ("rejected_documents", "cases_vaccination_region", "pollution_region", "combined_region",
+        for name in ("rejected_documents", "rejected_report_cells", "cases_vaccination_region", "pollution_region", "combined_region",
                      "country_day", "country_closes_day"):
             sinks.write_csv(result[name], f"{out}/{name}")
     return result

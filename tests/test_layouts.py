@@ -215,3 +215,70 @@ def test_any_layout_recovers_the_numbers(spark, case):
         by_name = dict(zip(names, vals))
         assert [out[r][m] for m in M] == [by_name.get(m, 0) for m in M]
         assert out[r]["rejects"] == 0 and out[r]["region"] == "Region"
+
+
+CELL = st.one_of(st.none(), st.sampled_from(["", "nan", "n.a.", "1 2", "3,000 4", " 5", "6 ", "12.5", "1  2",
+                                             "99999999999999999999", "7 8 9", "-3", "1 2 3 4"]),
+                 st.integers(0, 10 ** 7).map(lambda n: f"{n:,}"))
+
+
+@settings(max_examples=20, deadline=None)
+@given(data=st.lists(st.tuples(st.sampled_from(REFERENCE_LAYOUTS), st.lists(CELL, min_size=0, max_size=12)),
+                     min_size=1, max_size=40))
+def test_regular_rows_read_as_all_others(spark, data):
+    """Rows split once into their numbers give what the general expression gives."""
+    from daybook.operators import layouts as lib
+    df = spark.createDataFrame([(i, lay.name, ["1", "Goa", *cells]) for i, (lay, cells) in enumerate(data)],
+                               "r int, layout string, cells array<string>")
+    fast = rows(normalize_rows(df, REFERENCE_LAYOUTS, M, keep=["r"], rejected=True))
+    kept = lib._regular_rows
+    lib._regular_rows = lambda lay: (0, 0, [])
+    try:
+        assert rows(normalize_rows(df, REFERENCE_LAYOUTS, M, keep=["r"], rejected=True)) == fast
+    finally:
+        lib._regular_rows = kept
+
+
+def test_patterns_of_regular_rows():
+    from daybook.operators.layouts import _regular_rows
+    by_name = {lay.name: _regular_rows(lay) for lay in REFERENCE_LAYOUTS}
+    assert by_name["L01"] == (4, 3, ["||"])
+    assert by_name["L08"] == (2, 3, ["  ||"])
+    assert sorted(by_name["L11"][2]) == sorted(["|  ||", " | ||", "  |||"])
+    assert _regular_rows(Layout("X", groups=(("a",), None, ("b",)))) == (2, 3, [])
+    assert _regular_rows(Layout("X", groups=(None,)))[2] == []
+    assert all(patterns for _, _, patterns in by_name.values())
+
+
+def test_rejected_cells_hold_the_original_text(spark):
+    from daybook.operators.layouts import rejected_cells
+    f = "2022-03-01.pdf"
+    cells = [(f, 340, 1, 1, ["1", "Goa", "1,5x", "2", "3", "4", "5", "6"]),
+             (f, 340, 1, 2, ["2", "Kerala", "1", "2", "99999999999999999999", "4", "5", None]),
+             (f, 340, 1, 3, ["3", "Punjab", "1", "2", "3", "4", "5", "6"]), (f, 340, 0, 0, ["t"])]
+    df = spark.createDataFrame(cells, REPORT_CELLS)
+    out = normalize_reports(df, REFERENCE_LAYOUTS, REFERENCE_DISPATCH, REFERENCE_TRIM, M, rejected=True)
+    assert rows(rejected_cells(out), "row_index", "region", "measure", "cell", "text") == [
+        (1, "Goa", "dose_1", 2, "1,5x"), (2, "Kerala", "15_18_years_dose_1", 4, "99999999999999999999")]
+
+
+def test_cell_store_on_a_path_is_read_like_the_cells(spark, tmp_path):
+    from daybook.operators.layouts import cell_store, is_cell_store
+    f = "2021-03-01.pdf"
+    cells = [(f, 400 + d, t, r, ["x", "A & N Islands" if r == 30 else f"R{r}", None, str(r), str(t)])
+             for d in range(3) for t in range(2) for r in range(60)] + [(f, 500, 0, 0, None), (None, None, 0, 0, ["a"])]
+    df = spark.createDataFrame(cells, REPORT_CELLS).repartition(5)
+    store = cell_store(df, REFERENCE_TRIM.anchor_text, str(tmp_path / "cells"))
+    assert is_cell_store(store, REFERENCE_TRIM.anchor_text) and not is_cell_store(store, "another")
+    run = lambda c: rows(normalize_reports(c, REFERENCE_LAYOUTS, REFERENCE_DISPATCH, REFERENCE_TRIM, M))
+    assert run(store) == run(df) and len(run(df)) == 3 * 30
+
+
+def test_cells_are_read_once(spark):
+    """The statistics read narrow facts only; the cells column is in one scan."""
+    f = "2021-03-01.pdf"
+    df = spark.createDataFrame([(f, 420, 1, r, ["x", "A & N Islands", str(r)]) for r in range(9)], REPORT_CELLS)
+    lay = [lay for lay in REFERENCE_LAYOUTS if not lay.row_copies]
+    out = normalize_reports(df, lay, [(cond, n) for cond, n in REFERENCE_DISPATCH if n != "L07"], REFERENCE_TRIM, M)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("cells:array<string>") == 1

@@ -206,9 +206,14 @@ def test_run_whole_pipeline_from_files(spark, inputs):
     assert t2["Andaman and Nicobar Islands"]["total_doses"] == 10
     assert sorted(os.listdir(out)) == ["cases_vaccination_region", "combined_region",
                                        "country_closes_day", "country_day", "pollution_region",
-                                       "rejected_report_rows", "vaccination_region"]
+                                       "rejected_documents", "rejected_report_cells",
+                                       "rejected_report_rows",
+                                       "vaccination_region"]
     rejected = res["rejected_report_rows"].collect()
     assert [(r["region"], r["dose_1"], r["rejects"]) for r in rejected] == [("Goa", 0, 1)]
+    unread = res["rejected_report_cells"].collect()
+    assert [(r["file_name"], r["doc_index"], r["row_index"], r["region"], r["measure"], r["cell"], r["text"])
+            for r in unread] == [(f, 420, 3, "Goa", "dose_1", 2, "12.5")]
     t9 = res["country_closes_day"].collect()
     assert [r["dose_1"] for r in t9] == [1000]
 
