@@ -17,6 +17,11 @@ phases instead:
 Rows that are still null inside their bucket take the carried value.  The
 result equals the single-window fill; only the bucket table (keys x buckets)
 is ordered as a whole.
+
+Months are buckets of dates whose series have a bounded number of rows a day.
+For any other order column, or where one month of one key may hold most of the
+table, buckets are ranges of about equal numbers of rows
+(:mod:`daybook.operators.scans`): no key and no stretch of time is one task.
 """
 
 from __future__ import annotations
@@ -28,26 +33,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from daybook.functions.dates import month_bucket
+from daybook.operators import scans
 
 FORWARD = "forward"
 BACKWARD = "backward"
 
 
-def _default_bucket(df: DataFrame, order_col: str) -> Column:
-    dtype = df.schema[order_col].dataType
-    if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
-        return month_bucket(order_col)
-    raise ValueError(f"give a bucket expression for non-date order column {order_col!r}")
+def _has_months(df: DataFrame, order_col: str) -> bool:
+    return isinstance(df.schema[order_col].dataType, (DateType, TimestampType, TimestampNTZType))
 
 
 def fill_gaps(df: DataFrame, cols: Sequence[str], order_col: str,
               keys: Sequence[str] = (), direction: str = FORWARD,
               bucket: Column | None = None, method: str = "two_phase",
-              materialize: bool = False) -> DataFrame:
+              materialize: bool = False, ties: Sequence[str] = ()) -> DataFrame:
     """Fill nulls of ``cols`` from the previous (forward) or next (backward)
     non-null value in ``order_col`` order, within ``keys``.
 
-    ``bucket`` must be non-decreasing in ``order_col`` (default: month).
+    ``bucket`` must be non-decreasing in ``order_col`` (default: the month of a
+    date or timestamp, else ranges as in ``method="scan"``).
+    ``method="scan"`` cuts the order into ranges of about equal numbers of
+    rows, so a key that holds most rows of one month is split as well; it
+    samples the input first.  ``ties`` are columns that order rows with equal
+    ``order_col``.
     ``method="window"`` uses one window per key instead -- one shuffle, no
     join -- and is meant for tables whose groups are bounded by their grain
     (one row per day and region, say); it needs ``keys``, because without
@@ -65,28 +73,31 @@ def fill_gaps(df: DataFrame, cols: Sequence[str], order_col: str,
         if not keys:
             raise ValueError("method='window' needs keys; use the two-phase fill")
         if direction == FORWARD:
-            w = Window.partitionBy(*keys).orderBy(order_col) \
+            w = Window.partitionBy(*keys).orderBy(order_col, *ties) \
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow)
             fill = lambda c: F.last(c, ignorenulls=True).over(w)
         else:
-            w = Window.partitionBy(*keys).orderBy(order_col) \
+            w = Window.partitionBy(*keys).orderBy(order_col, *ties) \
                 .rowsBetween(Window.currentRow, Window.unboundedFollowing)
             fill = lambda c: F.first(c, ignorenulls=True).over(w)
         return df.select(*[fill(f.name).alias(f.name) if f.name in cols else F.col(f.name)
                            for f in df.schema.fields])
-    if method != "two_phase":
+    if method not in ("two_phase", "scan"):
         raise ValueError(method)
-    bucket = _default_bucket(df, order_col) if bucket is None else bucket
+    from daybook.sources.sinks import handoff
+    if bucket is None and (method == "scan" or not _has_months(df, order_col)):
+        source = handoff(df, "fill-input") if materialize else df
+        base = source.withColumn("_bucket", scans.range_of(
+            F.col(order_col), scans.range_cuts(source, order_col, scans.ranges_for(source))))
+    else:
+        base = df.withColumn("_bucket", month_bucket(order_col) if bucket is None else bucket)
+        base = handoff(base, "fill-input") if materialize else base
     part = keys + ["_bucket"]
-    base = df.withColumn("_bucket", bucket)
-    if materialize:
-        from daybook.sources.sinks import handoff
-        base = handoff(base, "fill-input")
 
-    whole = Window.partitionBy(*part).orderBy(order_col) \
+    whole = Window.partitionBy(*part).orderBy(order_col, *ties) \
         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     if direction == FORWARD:
-        frame = Window.partitionBy(*part).orderBy(order_col) \
+        frame = Window.partitionBy(*part).orderBy(order_col, *ties) \
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         local = [F.last(c, ignorenulls=True).over(frame).alias(f"_in_{c}") for c in cols]
         edge = [F.last(c, ignorenulls=True).over(whole).alias(f"_edge_{c}") for c in cols]
@@ -95,7 +106,7 @@ def fill_gaps(df: DataFrame, cols: Sequence[str], order_col: str,
         carry = [F.last(f"_edge_{c}", ignorenulls=True).over(carry_frame).alias(f"_carry_{c}")
                  for c in cols]
     else:
-        frame = Window.partitionBy(*part).orderBy(order_col) \
+        frame = Window.partitionBy(*part).orderBy(order_col, *ties) \
             .rowsBetween(Window.currentRow, Window.unboundedFollowing)
         local = [F.first(c, ignorenulls=True).over(frame).alias(f"_in_{c}") for c in cols]
         edge = [F.first(c, ignorenulls=True).over(whole).alias(f"_edge_{c}") for c in cols]
@@ -126,15 +137,15 @@ def fill_gaps(df: DataFrame, cols: Sequence[str], order_col: str,
 
 
 def fill_forward(df, cols, order_col, keys=(), bucket=None, method="two_phase",
-                 materialize=False) -> DataFrame:
+                 materialize=False, ties=()) -> DataFrame:
     """Carry the last seen value forward."""
-    return fill_gaps(df, cols, order_col, keys, FORWARD, bucket, method, materialize)
+    return fill_gaps(df, cols, order_col, keys, FORWARD, bucket, method, materialize, ties)
 
 
 def fill_backward(df, cols, order_col, keys=(), bucket=None, method="two_phase",
-                  materialize=False) -> DataFrame:
+                  materialize=False, ties=()) -> DataFrame:
     """Carry the next seen value backward."""
-    return fill_gaps(df, cols, order_col, keys, BACKWARD, bucket, method, materialize)
+    return fill_gaps(df, cols, order_col, keys, BACKWARD, bucket, method, materialize, ties)
 
 
 def fill_both(df, cols, order_col, keys=(), bucket=None, method="two_phase") -> DataFrame:

@@ -494,6 +494,22 @@ ORACLE.update({
                CAST(dense_rank() OVER (ORDER BY strftime(l_shipdate, '%Y-%m-%d')) - 1 AS INTEGER) AS doc_index
         FROM lineitem
     """,
+    "q59_fill_hot_key": """
+        SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_discount,
+               last_value(CASE WHEN l_discount > 0.02 THEN NULL ELSE l_extendedprice END IGNORE NULLS) OVER (
+                   PARTITION BY l_returnflag
+                   ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_discount
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS price
+        FROM lineitem
+    """,
+    "q60_fill_text_key": """
+        SELECT c_custkey, c_name, first_value(CASE WHEN c_acctbal > 4000 THEN c_acctbal END IGNORE NULLS) OVER (
+                   ORDER BY c_name, c_custkey ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS c_acctbal
+        FROM customer
+    """,
+    "q61_global_rank": """
+        SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS position FROM orders
+    """,
     "q51_measure_series": "WITH " + _T6 + """
         SELECT report_time,
                CAST(year(report_time) AS VARCHAR) || 'Q' || CAST(quarter(report_time) AS VARCHAR)

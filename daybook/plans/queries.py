@@ -370,6 +370,29 @@ def q37_document_position(spark: SparkSession, sf: str) -> DataFrame:
     return with_document_position(li)
 
 
+def q59_fill_hot_key(spark: SparkSession, sf: str) -> DataFrame:
+    """W2 by a number: prices carried forward per return flag (one of three holds half of
+    the rows) in the order of order key and line, cut into ranges of rows."""
+    ties = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount"]
+    li = table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", *ties, F.when(
+        F.col("l_discount") > 0.02, F.lit(None)).otherwise(F.col("l_extendedprice")).alias("price"))
+    return fills.fill_forward(li, ["price"], "l_orderkey", ["l_returnflag"], method="scan", ties=ties)
+
+
+def q60_fill_text_key(spark: SparkSession, sf: str) -> DataFrame:
+    """W3 by a text, without a key: the next known balance in the order of names."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", F.when(
+        F.col("c_acctbal") > 4000, F.col("c_acctbal")).alias("c_acctbal"))
+    return fills.fill_backward(c, ["c_acctbal"], "c_name", ties=["c_custkey"])
+
+
+def q61_global_rank(spark: SparkSession, sf: str) -> DataFrame:
+    """Position of every order by value, greatest order key last among equals."""
+    from daybook.operators.scans import with_global_rank
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return with_global_rank(o, "o_totalprice", "position", ties=["o_orderkey"]).select("o_orderkey", "position")
+
+
 OPERATOR_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items())
     if name.startswith("q") and name[1:3].isdigit() and callable(fn)

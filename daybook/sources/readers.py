@@ -6,10 +6,12 @@ same types on every run, and column pruning / filter pushdown stay possible.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook import schemas
+from daybook.operators.scans import with_global_rank
+from daybook.sources.sinks import handoff
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,11 +54,13 @@ def with_document_position(df: DataFrame, file_col: str = "file_name",
     """Position of each row's file in the sorted list of file names, from 0.
 
     The positions are numbered on the distinct file names (a table as long as
-    the file list) and joined back; a null name has a null position.
+    the file list, written once) by ranges of names, so no task holds them all,
+    and joined back; a null name has a null position.
     """
     files = df.select(F.col(file_col).alias("_file")).where(F.col("_file").isNotNull()).distinct()
-    numbered = files.select("_file", (F.row_number().over(Window.orderBy("_file")) - 1).alias(name))
-    return df.drop(name).join(numbered, F.col(file_col) == F.col("_file"), "left").drop("_file")
+    numbered = with_global_rank(handoff(files, "file-names"), "_file", name)
+    return df.drop(name).join(numbered.withColumn(name, F.col(name).cast("int")),
+                              F.col(file_col) == F.col("_file"), "left").drop("_file")
 
 
 def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
