@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from daybook.functions.dates import month_bucket
+from daybook.functions.exact import exact_mean
 from daybook.operators import scans
 
 FORWARD = "forward"
@@ -155,7 +156,7 @@ def fill_both(df, cols, order_col, keys=(), bucket=None, method="two_phase") ->
 
 
 def impute_group_mean(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
-                      method: str = "join") -> DataFrame:
+                      method: str = "join", exact: bool = False) -> DataFrame:
     """J4 + A4 + F13: replace nulls by the mean of the column within the key.
 
     ``method="join"`` (default): means are a partial hash aggregate joined
@@ -167,6 +168,8 @@ def impute_group_mean(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
     one shuffle; for tables whose groups are bounded by their grain (one row
     per day and region).
 
+    ``exact`` (with ``join``): means whose bits don't depend on the order of rows.
+
     Rows with a null key get no fill, as in the reference's join.
     """
     keys = list(keys)
@@ -180,7 +183,8 @@ def impute_group_mean(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
             if f.name in cols else F.col(f.name) for f in df.schema.fields])
     if method != "join":
         raise ValueError(method)
-    means = df.groupBy(*keys).agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols])
+    mean = exact_mean if exact else F.avg
+    means = df.groupBy(*keys).agg(*[mean(c).alias(f"_mean_{c}") for c in cols])
     joined = df.join(means, keys, "left")
     return joined.select(*[
         F.coalesce(F.col(f.name), F.col(f"_mean_{f.name}")).alias(f.name) if f.name in cols

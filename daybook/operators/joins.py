@@ -13,23 +13,87 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-#: Default row bound for lookup tables we are willing to ship to every task.
+#: Default bounds, in rows and in bytes, for lookup tables we are willing to ship to every task.
 BROADCAST_MAX_ROWS = 100_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+#: A key with this share of the rows is hot, and how many keys a sketch follows.
+HOT_SHARE = 0.01
+TRACKED_KEYS = 10_000
 
 
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows.
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: 8 for a number or a day, the length of a text, the length
+    of the JSON text of anything nested."""
+    def of(f) -> Column:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        if isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 8
+        return F.lit(8)
+    return reduce(lambda a, b: a + b, [of(f) for f in df.schema.fields], F.lit(8))
 
-    Runs ``limit(max_rows + 1).count()``, which stops reading once the bound
+
+def is_bounded(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows of together at most ``max_bytes``.
+
+    Looks at ``limit(max_rows + 1)`` rows, which stops reading once the bound
     is exceeded, so it is cheap whether or not the table is small.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    rows, size = df.select(row_bytes(df).alias("b")).limit(max_rows + 1).agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("b"), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
+
+
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+    """Keys that hold about ``share`` of the rows or more: at most ``1 / share`` values.
+
+    One pass with a mergeable sketch of the most frequent keys; a key it takes
+    for hot by mistake only costs a little more work.
+    """
+    n, top = df.select(F.col(key).alias("k")).agg(
+        F.count("k"), F.expr(f"approx_top_k(k, {int(1 / share)}, {TRACKED_KEYS})")).first()
+    return [] if not n else [r["item"] for r in top if r["item"] is not None and r["count"] >= share * n]
+
+
+def skew_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "left",
+              share: float = HOT_SHARE, salts: int | None = None) -> DataFrame:
+    """Shuffled equi-join (``left`` or ``inner``) in which no hot key of ``facts`` is one task.
+
+    The rows of hot keys are dealt over ``salts`` parts (default: the session's
+    shuffle partitions) by their content and their task; the dimension rows of
+    these keys, and of no others, are repeated for every part.  Facts without a
+    key match nothing and are dealt as well.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(how)
+    salts = salts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(facts, fact_key, share)
+    k = F.col(f"`{fact_key}`")
+    dealt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]) + F.spark_partition_id(), F.lit(salts))
+    is_hot = (k.isin(*hot) if hot else F.lit(False)) | k.isNull()
+    left = facts.withColumn("_salt", F.when(is_hot, dealt).otherwise(F.lit(0)).cast("int"))
+    parts = F.array(F.lit(0))
+    if hot:
+        parts = F.when(F.col(f"`{dim_key}`").isin(*hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(parts)
+    right = dim.withColumn("_dim_salt", F.explode(parts))
+    return (left.join(right, (left[fact_key] == right[dim_key]) & (F.col("_salt") == F.col("_dim_salt")), how)
+            .drop("_salt", "_dim_salt"))
+
+
+def ambiguous_keys(dim: DataFrame, key: str, value: str) -> DataFrame:
+    """Keys listed with more than one value (decision D5: each of them is joined), with
+    the values in order: ``key, n_values, values``."""
+    return (dim.where(F.col(key).isNotNull()).select(key, value).distinct().groupBy(key)
+            .agg(F.count(F.lit(1)).alias("n_values"), F.array_sort(F.collect_list(value)).alias("values"))
+            .where(F.col("n_values") > 1))
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                       bound_from: DataFrame | None = None) -> DataFrame:
-    """Broadcast-hint ``df`` if it has at most ``max_rows`` rows, else return it as is.
+    """Broadcast-hint ``df`` if it is within the bounds (rows and bytes), else return it as is.
 
     ``bound_from`` may name a table with at least as many rows as ``df`` (its
     input before de-duplication, say) whose count is cheaper to check.
@@ -81,7 +145,7 @@ def fanout_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
       values as there are facts (a few hot partitions).  Instead: an inner
       join broadcasting the facts, plus the facts without a match, found by
       an anti join against the matched keys (at most as many as the facts);
-    * both large: a shuffled left join (AQE splits skewed fact partitions).
+    * both large: a shuffled left join that deals out hot keys (:func:`skew_join`).
     """
     if is_bounded(dim, max_rows):
         return facts.join(F.broadcast(dim), F.col(fact_key) == dim[dim_key], "left")
@@ -92,7 +156,7 @@ def fanout_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                                "left_anti")
         return matched.select(*facts.columns, *dim.columns).unionByName(
             unmatched, allowMissingColumns=True)
-    return facts.join(dim, F.col(fact_key) == dim[dim_key], "left")
+    return skew_join(facts, dim, fact_key, dim_key)
 
 
 def join_keys_renamed(left: DataFrame, right: DataFrame, left_key: str, right_key: str,

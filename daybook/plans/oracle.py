@@ -510,6 +510,43 @@ ORACLE.update({
     "q61_global_rank": """
         SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS position FROM orders
     """,
+    "q62_rejected_records": """
+        SELECT 'orders' AS source, CASE WHEN o_orderkey % 97 = 0 OR o_orderkey % 89 <> 0 THEN 'malformed'
+                 ELSE 'no value' END AS reason,
+               CASE WHEN o_orderkey % 97 = 0 THEN '{"value":{"k":' || o_orderkey
+                    WHEN o_orderkey % 89 = 0 THEN '{"other":' || o_orderkey || '},'
+                    ELSE '{"value":{"k":"n' || o_orderkey || '"}},' END AS text
+        FROM orders WHERE o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 OR o_orderkey % 83 = 0
+        UNION ALL
+        SELECT 'customers', 'malformed',
+               CASE WHEN c_custkey % 50 = 0 THEN c_custkey || '|' || c_name || '|1|extra'
+                    WHEN c_custkey % 77 = 0 THEN 'x' || c_custkey || '|' || c_name || '|1'
+                    ELSE CAST(c_custkey AS VARCHAR) END
+        FROM customer WHERE c_custkey % 50 = 0 OR c_custkey % 77 = 0 OR c_custkey % 61 = 0
+    """,
+    "q63_catalog_series": "WITH " + _T8 + """ SELECT * FROM t8 WHERE year("Date") BETWEEN 1995 AND 1996""",
+    "q64_table_summary": " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS n_rows, count({c}) AS non_null,
+                   {f"avg({c})" if t in ("bigint", "double") else "CAST(NULL AS DOUBLE)"} AS mean,
+                   {f"stddev_samp({c})" if t in ("bigint", "double") else "CAST(NULL AS DOUBLE)"} AS stddev,
+                   CAST({f"min({c})" if t in ("bigint", "double") else "NULL"} AS DOUBLE) AS min_number,
+                   CAST({f"max({c})" if t in ("bigint", "double") else "NULL"} AS DOUBLE) AS max_number,
+                   CAST({"NULL" if t in ("bigint", "double") else f"min({c})"} AS VARCHAR) AS min_text,
+                   CAST({"NULL" if t in ("bigint", "double") else f"max({c})"} AS VARCHAR) AS max_text
+            FROM orders"""
+        for c, t in (("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+                     ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string"))),
+    "q65_skew_join": """
+        WITH li AS (SELECT l_orderkey, l_linenumber,
+                           CASE WHEN l_orderkey % 3 = 0 THEN 1 WHEN l_orderkey % 17 <> 0 THEN l_suppkey END AS suppkey
+                    FROM lineitem)
+        SELECT l_orderkey, l_linenumber, suppkey, s_name FROM li LEFT JOIN supplier ON suppkey = s_suppkey
+    """,
+    "q66_ambiguous_names": """
+        SELECT right(c_name, 3) AS name, count(DISTINCT c_nationkey) AS n_values,
+               array_to_string(list_sort(list(DISTINCT c_nationkey)), ',') AS nations
+        FROM customer GROUP BY 1 HAVING count(DISTINCT c_nationkey) > 1
+    """,
     "q51_measure_series": "WITH " + _T6 + """
         SELECT report_time,
                CAST(year(report_time) AS VARCHAR) || 'Q' || CAST(quarter(report_time) AS VARCHAR)
@@ -548,7 +585,7 @@ DATE_COLUMNS = {
     "q44_pollution_region": ["day"], "q45_combined_region": ["report_time"],
     "q46_country_day": ["report_time"], "q47_closes_day": ["Date"],
     "q48_country_closes": ["report_time"], "q51_measure_series": ["report_time"],
-    "q52_doses_cases": ["report_time"],
+    "q52_doses_cases": ["report_time"], "q63_catalog_series": ["Date"],
 }
 
 

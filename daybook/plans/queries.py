@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from daybook.functions import dates, numbers, text
 from daybook.operators import aggregates as agg
@@ -129,10 +130,10 @@ def q10_filter_project(spark: SparkSession, sf: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- pivots, fills
 
-def station_day_means(spark: SparkSession, sf: str) -> DataFrame:
+def station_day_means(spark: SparkSession, sf: str, exact: bool = False) -> DataFrame:
     """Readings pivoted to one mean column per pollutant by (station, day)."""
     r = tables.station_readings(spark, sf).withColumn("day", dates.day_of("timestamp"))
-    return agg.pivot_mean(r, ["station_id", "day"], "pollutant", "value", EVENT_TYPES)
+    return agg.pivot_mean(r, ["station_id", "day"], "pollutant", "value", EVENT_TYPES, exact=exact)
 
 
 def q11_pivot_mean(spark: SparkSession, sf: str) -> DataFrame:
@@ -141,9 +142,10 @@ def q11_pivot_mean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q12_mean_of_means(spark: SparkSession, sf: str) -> DataFrame:
-    """A2: station means averaged again per (day, station group), unweighted."""
-    p = station_day_means(spark, sf).withColumn("station_group", F.pmod("station_id", F.lit(7)))
-    return agg.group_mean(p, ["day", "station_group"], EVENT_TYPES)
+    """A2: station means averaged again per (day, station group), unweighted; the same bits
+    whatever the order of rows."""
+    p = station_day_means(spark, sf, exact=True).withColumn("station_group", F.pmod("station_id", F.lit(7)))
+    return agg.group_mean(p, ["day", "station_group"], EVENT_TYPES, exact=True)
 
 
 def q13_station_label(spark: SparkSession, sf: str) -> DataFrame:
@@ -192,8 +194,9 @@ def q17_round(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q18_impute_mean(spark: SparkSession, sf: str) -> DataFrame:
-    """Missing means replaced by the station's mean."""
-    return fills.impute_group_mean(station_day_means(spark, sf), ["station_id"], EVENT_TYPES)
+    """Missing means replaced by the station's mean, exactly summed."""
+    return fills.impute_group_mean(station_day_means(spark, sf, exact=True), ["station_id"], EVENT_TYPES,
+                                   exact=True)
 
 
 def q19_mixed_rollup(spark: SparkSession, sf: str) -> DataFrame:
@@ -393,6 +396,75 @@ def q61_global_rank(spark: SparkSession, sf: str) -> DataFrame:
     return with_global_rank(o, "o_totalprice", "position", ties=["o_orderkey"]).select("o_orderkey", "position")
 
 
+def q62_rejected_records(spark: SparkSession, sf: str) -> DataFrame:
+    """S1-S5 rejects: an order dump (JSON lines between wrapper lines) and a customer list
+    (``|``-separated), some records of which are broken; every broken one with its text."""
+    from daybook.session import scratch_path
+    from daybook.sources import readers
+    key = F.col("o_orderkey").cast("string")
+    whole = F.concat(F.lit('{"value":{"k":'), key, F.lit(',"s":"'), "o_orderstatus", F.lit('"}},'))
+    line = (F.when(F.col("o_orderkey") % 97 == 0, F.concat(F.lit('{"value":{"k":'), key))
+            .when(F.col("o_orderkey") % 89 == 0, F.concat(F.lit('{"other":'), key, F.lit("},")))
+            .when(F.col("o_orderkey") % 83 == 0, F.concat(F.lit('{"value":{"k":"n'), key, F.lit('"}},')))
+            .otherwise(whole))
+    dump = scratch_path(spark, "orders-json")
+    table(spark, sf, "orders").select(F.explode(F.array(
+        F.when(F.col("o_orderkey") == 1, F.lit('{"rows": [')).otherwise(F.lit("")), line,
+        F.when(F.col("o_orderkey") == 1, F.lit("]}")).otherwise(F.lit("")))).alias("value")).write.text(dump)
+    record = StructType([StructField("k", LongType()), StructField("s", StringType())])
+    json = readers.rejected_json_records(spark, dump, record).select(F.lit("orders").alias("source"), "reason", "text")
+    key = F.col("c_custkey").cast("string")
+    line = (F.when(F.col("c_custkey") % 50 == 0, F.concat_ws("|", key, "c_name", F.lit("1"), F.lit("extra")))
+            .when(F.col("c_custkey") % 77 == 0, F.concat_ws("|", F.concat(F.lit("x"), key), "c_name", F.lit("1")))
+            .when(F.col("c_custkey") % 61 == 0, key)
+            .otherwise(F.concat_ws("|", key, "c_name", F.lit(""))))
+    listed = scratch_path(spark, "customers-csv")
+    table(spark, sf, "customer").select(line.alias("value")).write.text(listed)
+    fields = StructType([StructField("k", LongType()), StructField("name", StringType()), StructField("n", LongType())])
+    csv = readers.rejected_csv_records(spark, listed, fields, sep="|", header=False).select(
+        F.lit("customers").alias("source"), F.lit("malformed").alias("reason"), "text")
+    return json.unionByName(csv)
+
+
+def q63_catalog_series(spark: SparkSession, sf: str) -> DataFrame:
+    """Five close series saved as partitioned tables of a database, read back by
+    SQL text; the condition on the partition column leaves the other years unread."""
+    from daybook.plans.stages import CLOSE_SERIES, closes_by_day
+    from daybook.session import scratch_path
+    from daybook.sources import readers, sinks
+    path = scratch_path(spark, "closes-tables")
+    suffix = path.rsplit("-", 1)[1]
+    found = {}
+    for name, df in zip(CLOSE_SERIES, tables.closes_series(spark, sf)):
+        full = f"daybook_{suffix}.{name}"
+        sinks.save_table(df.withColumn("year", F.substring("Date", 8, 4).cast("int")), full, f"{path}/{name}", "year")
+        found[name] = readers.read_catalog_sql(spark, full, ("Date", "Close"), "year BETWEEN 1995 AND 1996")
+    return closes_by_day(found)
+
+
+def q64_table_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact figures of every column of the orders in one pass (the sketches
+    beside them are tested against exact counts)."""
+    return agg.table_summary(table(spark, sf, "orders"), sketches=False)
+
+
+def q65_skew_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items joined on a key of which one value holds a third of all rows and
+    some rows none; hot keys are dealt over many tasks."""
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 3 == 0, F.lit(1)).when(
+            F.col("l_orderkey") % 17 != 0, F.col("l_suppkey")).alias("suppkey"))
+    s = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    return joins.skew_join(li, s, "suppkey", "s_suppkey").select("l_orderkey", "l_linenumber", "suppkey", "s_name")
+
+
+def q66_ambiguous_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Segments of customers' names listed under more than one nation."""
+    c = table(spark, sf, "customer").select(F.substring("c_name", -3, 3).alias("name"), F.col("c_nationkey"))
+    found = joins.ambiguous_keys(c, "name", "c_nationkey")
+    return found.select("name", "n_values", F.array_join(F.col("values").cast("array<string>"), ",").alias("nations"))
+
+
 OPERATOR_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items())
     if name.startswith("q") and name[1:3].isdigit() and callable(fn)

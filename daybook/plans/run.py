@@ -18,8 +18,10 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daybook import schemas
+from daybook.operators import joins
 from daybook.operators.layouts import (cell_store, normalize_reports, rejected_cells,
                                        rejected_documents, rejected_rows)
 from daybook.plans import questions, stages
@@ -28,6 +30,11 @@ from daybook.plans.report_rules import (REFERENCE_DISPATCH, REFERENCE_LAYOUTS,
 from daybook.sources import readers, sinks
 
 
+#: Stages kept by day, with their day column.
+BY_DAY = {"vaccination_region": "day", "cases_vaccination_region": "report_time", "pollution_region": "day",
+          "combined_region": "report_time", "country_day": "report_time", "country_closes_day": "report_time"}
+
+
 def read_closes(spark: SparkSession, specs: dict[str, str]) -> dict[str, DataFrame]:
     out = {}
     for name, src in specs.items():
@@ -39,10 +46,15 @@ def read_closes(spark: SparkSession, specs: dict[str, str]) -> dict[str, DataFra
 
 
 def run(spark: SparkSession, cases: str, codes: str, reports: str, air: str, cities: str,
-        closes: dict[str, str], out: str | None = None) -> dict[str, DataFrame]:
-    """Build every stage and question; write the deliverables when ``out`` is given."""
-    t1 = stages.case_table(readers.read_json_records(spark, cases),
-                           readers.read_csv(spark, codes, schemas.REGION_CODES))
+        closes: dict[str, str], out: str | None = None, by_day: bool = False) -> dict[str, DataFrame]:
+    """Build every stage and question; write the deliverables when ``out`` is given.
+
+    ``by_day`` also keeps T2, T3, T5, T6, T7 and T9 as tables partitioned by day
+    under ``out/by_day``: a later run rewrites only the days whose rows changed.
+    """
+    records = readers.read_json_records(spark, cases)
+    city_list = readers.read_csv(spark, cities, schemas.CITY_REGION)
+    t1 = stages.case_table(records, readers.read_csv(spark, codes, schemas.REGION_CODES))
     cells = cell_store(spark.read.parquet(reports), REFERENCE_TRIM.anchor_text)
     read = normalize_reports(cells, REFERENCE_LAYOUTS, REFERENCE_DISPATCH, REFERENCE_TRIM,
                              REFERENCE_MEASURES, header_marker=stages.HEADER_MARKER, rejected=True)
@@ -51,7 +63,7 @@ def run(spark: SparkSession, cases: str, codes: str, reports: str, air: str, cit
     rejects = rejected_rows(report_rows)
     t3 = stages.cases_with_vaccination(t1, t2)
     t4 = stages.station_day(readers.read_csv(spark, air, schemas.AIR_QUALITY))
-    t5 = stages.pollution_by_region(t4, readers.read_csv(spark, cities, schemas.CITY_REGION))
+    t5 = stages.pollution_by_region(t4, city_list)
     t6 = stages.combined_region(t3, t5)
     if out:
         t6 = stages.materialize(spark, t6, "combined_region")
@@ -72,13 +84,20 @@ def run(spark: SparkSession, cases: str, codes: str, reports: str, air: str, cit
         "rejected_report_rows": rejects,
         "rejected_report_cells": rejected_cells(read),
         "rejected_documents": rejected_documents(cells, REFERENCE_DISPATCH, REFERENCE_TRIM),
+        "rejected_case_records": readers.rejected_json_records(spark, cases),
+        "rejected_case_days": stages.rejected_cases(records),
+        "ambiguous_cities": joins.ambiguous_keys(city_list, "Name of City", "State").select(
+            F.col("Name of City").alias("city"), "n_values", F.array_join("values", "; ").alias("regions")),
     }
     if out:
         sinks.write_csv(t2, f"{out}/vaccination_region", sep="|")
         sinks.write_csv(rejects, f"{out}/rejected_report_rows")
-        for name in ("rejected_documents", "rejected_report_cells", "cases_vaccination_region", "pollution_region", "combined_region",
+        for name in ("rejected_documents", "rejected_report_cells", "rejected_case_records",
+                     "rejected_case_days", "ambiguous_cities", "cases_vaccination_region", "pollution_region", "combined_region",
                      "country_day", "country_closes_day"):
             sinks.write_csv(result[name], f"{out}/{name}")
+        for name, day in BY_DAY.items() if by_day else ():
+            sinks.write_days(result[name], f"{out}/by_day/{name}", day)
     return result
 
 
@@ -87,12 +106,13 @@ def main(argv: list[str] | None = None) -> None:
     for flag in ("cases", "codes", "reports", "air", "cities", "out"):
         ap.add_argument(f"--{flag}", required=flag != "out")
     ap.add_argument("--closes", nargs="+", required=True, metavar="NAME=PATH")
+    ap.add_argument("--by-day", action="store_true", help="also keep day-partitioned tables")
     args = ap.parse_args(argv)
     from daybook.session import build_session
     spark = build_session(app="daybook-run")
     closes = dict(item.split("=", 1) for item in args.closes)
     res = run(spark, args.cases, args.codes, args.reports, args.air, args.cities, closes,
-              args.out)
+              args.out, args.by_day)
     res["region_extremes"].show(truncate=False)
 
 

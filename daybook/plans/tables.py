@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.functions.exact import exact_mean
 from daybook.operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast
 from daybook.sources.readers import read_table
 
@@ -106,6 +107,6 @@ def closes_series(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     out = []
     for name, cond in specs:
         out.append(o.where(cond).groupBy(F.to_date("o_orderdate").alias("d"))
-                   .agg(F.avg("o_totalprice").cast("string").alias("Close"))
+                   .agg(exact_mean("o_totalprice").cast("string").alias("Close"))
                    .select(F.date_format("d", "dd MMM yyyy").alias("Date"), "Close"))
     return out

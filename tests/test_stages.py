@@ -204,11 +204,10 @@ def test_run_whole_pipeline_from_files(spark, inputs):
     t2 = {r["region"]: r for r in res["vaccination_region"].collect()}
     assert t2["Kerala"]["dose_1"] == 1000 and t2["Kerala"]["precaution_dose"] == 11
     assert t2["Andaman and Nicobar Islands"]["total_doses"] == 10
-    assert sorted(os.listdir(out)) == ["cases_vaccination_region", "combined_region",
-                                       "country_closes_day", "country_day", "pollution_region",
-                                       "rejected_documents", "rejected_report_cells",
-                                       "rejected_report_rows",
-                                       "vaccination_region"]
+    assert sorted(os.listdir(out)) == [
+        "ambiguous_cities", "cases_vaccination_region", "combined_region", "country_closes_day", "country_day",
+        "pollution_region", "rejected_case_days", "rejected_case_records", "rejected_documents",
+        "rejected_report_cells", "rejected_report_rows", "vaccination_region"]
     rejected = res["rejected_report_rows"].collect()
     assert [(r["region"], r["dose_1"], r["rejects"]) for r in rejected] == [("Goa", 0, 1)]
     unread = res["rejected_report_cells"].collect()
