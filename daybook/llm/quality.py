@@ -1,15 +1,20 @@
 """Quality rules: base counts, and how much more a text resembles a trusted corpus.
 
-Words and pairs of words are hashed to buckets, whose number grows with the
-corpus (``BUCKETS`` at least), and counted in all trusted documents and in all documents.  A bucket's weight is the smoothed
-log-likelihood ratio of the two multinomials; a document's score is the mean
-weight of its n-grams, and every document at or above ``THRESHOLD`` passes.
+Words and pairs of words are hashed to ``BUCKETS`` buckets, the same number for
+every table, and counted in all trusted documents and in all documents.  A
+bucket's weight is the smoothed log-likelihood ratio of the two multinomials; a
+document's score is the mean weight of its n-grams, and every document at or
+above ``THRESHOLD`` passes.
 
 All in DataFrame functions: the counts are one explode and one aggregate with
-partial sums.  The weights of ``BUCKETS`` buckets are a constant of the scoring
-pass, which has no shuffle; a greater table is joined to the n-grams, the
-frequent ones salted, and the scores join back by the hash of the text.  Weights
-are whole numbers of ``UNIT``, so both ways give the same scores.
+partial sums (a row a bucket and task at most); the weights, a whole number of
+``UNIT`` for each bucket, are a constant of the scoring pass, which has no
+shuffle.  N-grams that share a bucket share a weight: with more different
+n-grams than buckets a weight is the ratio of all of them together.
+
+A null or empty text has no words, fails the base rules and scores 0.  Repeated
+or null ids keep a row each; an empty table gives an empty result, and without
+trusted documents every weight is 0.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,15 +25,10 @@ from pyspark.sql import functions as F
 from daybook.llm.common import SPACE, handoff
 from daybook.llm.near_duplicates import MAX_BROADCAST_IDS
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 18
 SMOOTHING = 5.0
 THRESHOLD = -0.1
-#: Words and pairs of the corpus for each bucket, at most.
-GRAMS_PER_BUCKET = 16
 UNIT = 1e-4
-#: A bucket with more than this share of all n-grams is dealt over SALTS tasks.
-FREQUENT = 1 / 4096
-SALTS = 64
 SYMBOLS = "#*$%&|<>"
 
 
@@ -42,10 +42,10 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"[ \t-\r]+"), lambda w: w != "")
 
 
-def ngrams(w: Column, buckets: int = BUCKETS) -> Column:
+def ngrams(w: Column) -> Column:
     """Buckets of the words and of the pairs of neighbouring words."""
     def bucket(*parts: Column) -> Column:
-        return F.pmod(F.xxhash64(*parts), F.lit(buckets).cast("bigint"))
+        return F.pmod(F.xxhash64(*parts), F.lit(BUCKETS).cast("bigint"))
     pairs = F.when(F.size(w) > 1, F.transform(
         F.sequence(F.lit(0), F.size(w) - 2), lambda i: bucket(F.get(w, i), F.get(w, i + 1))))
     return F.concat(F.transform(w, lambda x: bucket(x)), F.coalesce(pairs, F.array().cast("array<bigint>")))
@@ -80,17 +80,8 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
             .agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id"))
 
 
-def bucket_number(docs: DataFrame) -> int:
-    """``BUCKETS``, doubled until there is one for every ``GRAMS_PER_BUCKET`` n-grams of the corpus."""
-    n = docs.agg(F.sum(F.greatest(2 * F.size(words(F.col("text"))).cast("bigint") - 1, F.lit(0)))).first()[0] or 0
-    buckets = BUCKETS
-    while buckets * GRAMS_PER_BUCKET < n:
-        buckets *= 2
-    return buckets
-
-
-def weights(docs: DataFrame, trusted: DataFrame, buckets: int) -> tuple[DataFrame, int]:
-    """``bucket, raw, w``: the log-likelihood ratio of every bucket that occurs, in units; and the sum of ``raw``.
+def weights(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``bucket, w``: the log-likelihood ratio of every bucket that occurs, in units.
 
     The raw counts are scaled to the trusted corpus before smoothing, so a
     bucket that hardly occurs weighs nothing.  Without trusted documents all
@@ -103,14 +94,14 @@ def weights(docs: DataFrame, trusted: DataFrame, buckets: int) -> tuple[DataFram
                .select("text", "_trusted")
                .unionByName(docs.where("doc_id IS NULL").select("text", F.lit(None).cast("int").alias("_trusted"))))
     counts = (flagged.select(F.coalesce("_trusted", F.lit(0)).alias("t"),
-                             F.explode(let(words(F.col("text")), lambda w: ngrams(w, buckets))).alias("bucket"))
+                             F.explode(let(words(F.col("text")), ngrams)).alias("bucket"))
               .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("t").alias("target")))
     counts = handoff(counts, "ngram-counts")
     total = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
     scale = F.lit((total["target"] or 0) / (total["raw"] or 1))
     weight = F.when(F.lit(bool(total["target"])), F.log(
         (F.col("target") + SMOOTHING) / (F.col("raw") * scale + SMOOTHING))).otherwise(F.lit(0.0))
-    return counts.select("bucket", "raw", F.round(weight / UNIT).cast("bigint").alias("w")), total["raw"] or 0
+    return counts.select("bucket", F.round(weight / UNIT).cast("bigint").alias("w"))
 
 
 def constant(table: DataFrame) -> Column:
@@ -119,25 +110,6 @@ def constant(table: DataFrame) -> Column:
     return F.split(F.lit(",".join(str(of.get(i, 0)) for i in range(BUCKETS))), ",").cast("array<bigint>")
 
 
-def text_key() -> list[Column]:
-    """Two hashes of a text."""
-    return [F.xxhash64("text").alias("_k"), F.xxhash64(F.lit(1), F.col("text")).alias("_l")]
-
-
-def joined_scores(docs: DataFrame, table: DataFrame, n_grams: int, buckets: int) -> DataFrame:
-    """``_k, _l, _mean``: the mean weight of each text with words (copies of a text weigh alike)."""
-    hot = table.where(F.col("raw") > FREQUENT * n_grams).select("bucket", F.lit(SALTS).alias("_salts"))
-    hot = F.broadcast(handoff(hot, "frequent"))               # less than 1 / FREQUENT rows
-    salted = (table.join(hot, "bucket", "left").select("bucket", "w", F.explode(
-        F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("_salt")))
-    grams = docs.select(*text_key(), F.explode(let(words(F.col("text")), lambda w: ngrams(w, buckets))).alias("bucket"))
-    grams = (grams.groupBy("_k", "_l", "bucket").agg(F.count("*").alias("n")).join(hot, "bucket", "left")
-             .withColumn("_salt", F.pmod(F.xxhash64("_k", "_l"), F.coalesce("_salts", F.lit(1))).cast("int"))
-             .drop("_salts"))
-    return (grams.join(salted, ["bucket", "_salt"]).groupBy("_k", "_l")
-            .agg((F.sum(F.col("w") * F.col("n")) * UNIT / F.sum("n")).alias("_mean")))
-
-
 def rate(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` (``doc_id, text``) with counts, ``score``, ``base_failed`` and ``kept``.
 
@@ -145,16 +117,14 @@ def rate(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> D
     fails the base rules; its score is 0.  Repeated ids keep a row each.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    buckets = bucket_number(docs)
-    table, n_grams = weights(docs, trusted, buckets)
-    small = constant(table) if buckets == BUCKETS else None
+    small = constant(weights(docs, trusted))
     text = F.coalesce("text", F.lit(""))
     length = F.length(text)
     repeats = let(F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACE, "")) > 0),
                   lambda x: F.size(x) - F.size(F.array_distinct(x)))
 
     def per_words(w: Column) -> Column:
-        mean = F.lit(0.0) if small is None else F.when(F.size(w) > 0, let(ngrams(w, buckets), lambda g: F.aggregate(
+        mean = F.when(F.size(w) > 0, let(ngrams(w), lambda g: F.aggregate(
             g, F.lit(0).cast("bigint"), lambda a, b: a + F.get(small, b.cast("int")))) * UNIT / (2 * F.size(w) - 1)
         ).otherwise(0.0)
         return F.struct(F.size(w).cast("bigint").alias("n_words"),
@@ -162,15 +132,11 @@ def rate(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> D
                         mean.alias("score"))
 
     rows = docs.select(
-        "doc_id", *(text_key() if small is None else []), let(words(F.col("text")), per_words).alias("of"),
+        "doc_id", let(words(F.col("text")), per_words).alias("of"),
         F.length(F.translate(text, SPACE, "")).cast("bigint").alias("word_chars"),
         (length - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
         repeats.cast("bigint").alias("n_dup_lines"))
     failed = (F.col("of.n_words") < 10) | (100 * F.col("of.n_repeat_words") > 20 * F.col("of.n_words"))
-    score = F.col("of.score")
-    if small is None:
-        rows = rows.join(joined_scores(docs, table, n_grams, buckets), ["_k", "_l"], "left")
-        score = F.coalesce("_mean", F.lit(0.0)).alias("score")
     return (rows.select("doc_id", "of.n_words", "word_chars", "n_symbols", "n_dup_lines", "of.n_repeat_words",
-                        failed.alias("base_failed"), score)
+                        failed.alias("base_failed"), "of.score")
             .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)))

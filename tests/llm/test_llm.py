@@ -583,22 +583,24 @@ def test_quality(spark, docs, texts):
 
 # --- neighbours
 
-def test_quality_counts_grow_with_the_corpus(spark, docs, monkeypatch):
+def test_quality_model_of_a_document_does_not_depend_on_the_table(spark, docs):
+    """Every table has the same buckets; all trusted documents count, however many."""
     labels = spark.range(250_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
     assert quality.trusted_ids(labels).count() == 250_000
-    rng = np.random.default_rng(9)
-    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 40_000, 200))) for i in range(300)] + [(0, "w1 w2"), (None, "w1")]
-    table = spark.createDataFrame(rows, "doc_id bigint, text string").unionByName(docs.select("doc_id", "text"))
-    monkeypatch.setattr(quality, "GRAMS_PER_BUCKET", 1)
-    buckets = quality.bucket_number(table)
-    n = sum(max(2 * len((r.text or "").split()) - 1, 0) for r in table.collect())
-    assert n / 2 < buckets / 2 < n <= buckets and quality.bucket_number(table) > quality.BUCKETS
-    good = spark.createDataFrame([(i,) for i in range(0, 300, 3)], "doc_id bigint")
-    joined = quality.rate(table, good).collect()
-    monkeypatch.setattr(quality, "BUCKETS", buckets)          # the same number as a constant of the plan
-    constant = quality.rate(table, good).collect()
-    assert len(joined) == len(constant) == table.count()
-    assert collections.Counter(joined) == collections.Counter(constant)
+    rows = [(i, f"good words stand here {i % 7} and so on and on it goes") for i in range(40)]
+    rows += [(100 + i, f"bad junk came along {i % 7} click buy now here cheap cheap") for i in range(40)]
+    small = spark.createDataFrame(rows, "doc_id bigint, text string")
+    trusted = spark.createDataFrame([(i,) for i in range(40)], "doc_id bigint")
+    table = quality.weights(small, trusted)
+    assert 0 < table.count() < quality.BUCKETS and table.agg(F.max("bucket")).first()[0] < quality.BUCKETS
+    scores = {r.doc_id: r for r in quality.rate(small.withColumn("score", F.lit("clash")), trusted).collect()}
+    assert all(scores[i].score > 0 and scores[i].kept for i in range(40))
+    assert all(scores[100 + i].score < 0 and not scores[100 + i].kept for i in range(40))
+    # twice the corpus: the same ratios but for the smoothing, the same verdicts
+    twice = {r.doc_id: r for r in quality.rate(small.unionByName(small), trusted).collect()}
+    assert {i: r.kept for i, r in twice.items()} == {i: r.kept for i, r in scores.items()}
+    assert quality.rate(small.limit(0), trusted).collect() == []
+    assert all(r.score == 0 for r in quality.rate(docs, trusted.limit(0)).collect())
 
 
 def test_neighbours(spark):
