@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.exact import exact_mean
 from daybook.operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast
 from daybook.sources.readers import read_table
 
@@ -95,7 +94,8 @@ def station_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def closes_series(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Five daily "index close" series: mean order value per day for each
     order status and for urgent orders, with ``Date`` rendered ``dd MMM yyyy``
-    like the index exports."""
+    like the index exports.  Values are sums of cents over counts, so that a
+    close has the same bits in every run."""
     o = table(spark, sf_dir, "orders")
     specs = [
         ("close_nifty_50", F.col("o_orderstatus") == "F"),
@@ -107,6 +107,7 @@ def closes_series(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     out = []
     for name, cond in specs:
         out.append(o.where(cond).groupBy(F.to_date("o_orderdate").alias("d"))
-                   .agg(exact_mean("o_totalprice").cast("string").alias("Close"))
+                   .agg((F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
+                         / F.count("o_totalprice")).cast("string").alias("Close"))
                    .select(F.date_format("d", "dd MMM yyyy").alias("Date"), "Close"))
     return out
