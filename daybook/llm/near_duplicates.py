@@ -6,21 +6,22 @@ MinHash signatures of eight bytes and a sketch of ``SKETCH`` further bytes.
 
 * Forest: for each tree, all nodes are sorted by signature (range partitions:
   also a region of equal signatures is spread over tasks).  A node's candidates
-  are its ``NEIGHBOURS`` neighbours on either side, that is those with the
-  longest common prefix.  So the depth adapts: in a sparse region neighbours
-  share a short prefix, in a crowded one a long prefix.  A candidate goes on if
-  sizes and sketches allow the similarity.
-* Crowded regions: where more nodes share a tree's whole signature than have
-  been compared, every node is compared with all that share it, as far as they
-  are still in different components: first with the node of the region that has
-  most links, then pair by pair in blocks of ``BLOCK`` nodes a side.  So only
-  the signatures limit what is found: a pair at similarity 0.8 shares one of
-  ``TREES`` whole signatures with a probability of 0.988, however many others do.
-* Links are confirmed on full sets in rounds: each node's best candidate, then
-  its next ones, at last every candidate pair whose ends are still in different
-  components.  Pairs inside a component can no longer change it, and a round
-  starts from the components of the one before.  So a group of thousands of near
-  copies costs a few confirmations for each member, not one for each pair.
+  are its neighbours in the order, that is those with the longest common
+  prefix.  So the depth adapts: in a sparse region neighbours share a short
+  prefix, in a crowded one a long prefix.  A candidate goes on if sizes and
+  sketches allow the similarity.
+* Round one takes only the next neighbour in each tree, and of these the
+  likeliest for each node, and confirms them on full sets.  Round two sorts the
+  nodes again, each with its component so far, and takes the ``NEIGHBOURS`` on
+  either side that belong to another component.  The rows of either round grow
+  with the nodes: a group of thousands of near copies has become one component,
+  and its pairs are skipped inside the sorted scan.
+* Crowded regions: where nodes that share a tree's whole signature are still in
+  different components, every node is compared with all of them: first with the
+  node of the region that has most links, then pair by pair in blocks of
+  ``BLOCK`` nodes a side.  So only the signatures limit what is found: a pair at
+  similarity 0.8 shares one of ``TREES`` whole signatures with a probability of
+  0.988, however many others do.
 * Components come from star steps (:mod:`daybook.llm.components`).
 """
 
@@ -42,34 +43,48 @@ DEPTH = 8                 # bytes of a tree's signature: a 64-bit sort key
 SKETCH = 64
 SKETCH_LEAST = 38         # of SKETCH equal bytes; at similarity 0.8 fewer come in one of 25,000 pairs
 NEIGHBOURS = 8
-#: Pairs of a node confirmed in each round; the last round takes all that are left.
-ROUNDS = (1, 4)
 BLOCK = 256               # nodes on either side of a block of pairs in a crowded region
-MAX_WORDS = 500_000
 MAX_BROADCAST_IDS = 1_000_000
+#: Bytes of the words whose hashes a task remembers, 64 or so more for each of them.
+MAX_REMEMBERED = 4 << 20
 
-_WORDS: dict[bytes, int] = {}
+
+class Words:
+    """Hashes of words, remembered in a bounded number of bytes while a task runs."""
+
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
+        self.size = 0
+
+    def hashes(self, text: str | None) -> np.ndarray:
+        """64-bit hashes of the words (runs without ASCII white space, A-Z lower-cased)."""
+        import xxhash
+        if not text:
+            return np.zeros(0, np.uint64)
+        words = text.encode().lower().split()
+        found = list(map(self.known.get, words))
+        if None in found:
+            for i, h in enumerate(found):
+                if h is None:
+                    found[i] = h = xxhash.xxh64_intdigest(words[i])
+                    if self.size > MAX_REMEMBERED:
+                        self.known, self.size = {}, 0
+                    self.known[words[i]] = h
+                    self.size += len(words[i]) + 16
+        return np.array(found, dtype=np.uint64)
+
+
+_MEMORY = Words()
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    """64-bit hashes of the words (runs without ASCII white space, A-Z lower-cased)."""
-    import xxhash
-    if not text:
-        return np.zeros(0, np.uint64)
-    words = text.encode().lower().split()
-    if len(_WORDS) > MAX_WORDS:
-        _WORDS.clear()
-    found = list(map(_WORDS.get, words))
-    if None in found:
-        for i, h in enumerate(found):
-            if h is None:
-                found[i] = _WORDS[words[i]] = xxhash.xxh64_intdigest(words[i])
-    return np.array(found, dtype=np.uint64)
-
-
-def shingles(text: str | None, size: int = 2) -> np.ndarray:
+    """:meth:`Words.hashes` with one memory for the process."""
+    return _MEMORY.hashes(text)
+
+
+def shingles(text: str | None, size: int = 2, memory: Words | None = None) -> np.ndarray:
     """Sorted distinct shingle hashes; with fewer words the whole sequence is one."""
-    words = word_hashes(text)
+    words = (memory or _MEMORY).hashes(text)
     if not len(words):
         return words
     own = min(size, len(words))
@@ -100,10 +115,11 @@ def signature(values: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarra
 def _nodes(size: int):
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mul, add = _constants(TREES * DEPTH + SKETCH)
-        for part in slices(batches):
+        memory = Words()
+        for part in slices(batches, 128):
             n, digest, sig = [], [], []
             for text in part.column(1).to_pylist():
-                own = shingles(text, size)
+                own = shingles(text, size, memory)
                 n.append(len(own))
                 if len(own):
                     digest.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
@@ -119,46 +135,63 @@ def _nodes(size: int):
 
 def _sets(size: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            own = [shingles(t, size).tobytes() for t in part.column(1).to_pylist()]
+        memory = Words()
+        for part in slices(batches, 128):
+            own = [shingles(t, size, memory).tobytes() for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.binary())],
                                              names=["node", "members"])
     return sets
 
 
+def _tree_keys(sig: np.ndarray) -> np.ndarray:
+    """Sort keys of the trees, a column each, of signatures (a row each)."""
+    n = len(sig)
+    keys = np.ascontiguousarray(sig[:, :TREES * DEPTH].reshape(n, TREES, DEPTH)).view(">u8")
+    return (keys.reshape(n, TREES).astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+
+
 def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each tree and node: tree, sort key, node, size, sketch."""
+    """A row for each tree and node: tree, sort key, node, label, size, sketch."""
     for part in slices(batches):
-        n = part.num_rows
-        sig = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint8).reshape(n, -1)
-        keys = np.ascontiguousarray(sig[:, :TREES * DEPTH].reshape(n, TREES, DEPTH)).view(">u8")
-        keys = (keys.reshape(n, TREES).astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+        sig = np.frombuffer(b"".join(part.column(3).to_pylist()), np.uint8).reshape(part.num_rows, -1)
+        keys = _tree_keys(sig)
         sketch = [s.tobytes() for s in sig[:, TREES * DEPTH:]]
         for tree in range(TREES):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, tree, np.int32)), pa.array(keys[:, tree].copy()), part.column(0),
-                 part.column(1), pa.array(sketch, pa.binary())],
-                names=["tree", "key", "node", "n", "sketch"])
+                [pa.array(np.full(len(sig), tree, np.int32)), pa.array(keys[:, tree].copy()), part.column(0),
+                 part.column(1), part.column(2), pa.array(sketch, pa.binary())],
+                names=["tree", "key", "node", "label", "n", "sketch"])
+
+
+def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tree, sort key, node and label: the forest without what comparing needs."""
+    for part in slices(batches):
+        keys = _tree_keys(np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint8).reshape(part.num_rows, -1))
+        for tree in range(TREES):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(part.num_rows, tree, np.int32)), pa.array(keys[:, tree].copy()), part.column(0),
+                 part.column(1)], names=["tree", "key", "node", "label"])
 
 
 def _neighbours(percent: int, reach: int):
-    """Candidate pairs among neighbours in sort order, with their equal sketch bytes."""
+    """Candidate pairs among neighbours in sort order that are in different components,
+    with their equal sketch bytes."""
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
-        for part in slices(batches, 50_000):
-            own = [part.column(0).to_numpy(), part.column(2).to_numpy(), part.column(3).to_numpy(),
-                   np.frombuffer(b"".join(part.column(4).to_pylist()), np.uint8).reshape(part.num_rows, -1)]
+        for part in slices(batches, 20_000):
+            own = [*(part.column(i).to_numpy() for i in (0, 2, 3, 4)),
+                   np.frombuffer(b"".join(part.column(5).to_pylist()), np.uint8).reshape(part.num_rows, -1)]
             before = 0
             if last is not None:
                 before = len(last[0])
                 own = [np.concatenate(x) for x in zip(last, own)]
-            tree, node, n, sketch = own
+            tree, node, label, n, sketch = own
             a, b, equal = [], [], []
             for step in range(1, min(reach, len(node) - 1) + 1):
                 i = np.arange(max(0, before - step), len(node) - step)   # pairs that end in this slice
                 j = i + step
                 low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-                fit = (tree[i] == tree[j]) & (100 * low >= percent * high) & (node[i] != node[j])
+                fit = (tree[i] == tree[j]) & (100 * low >= percent * high) & (label[i] != label[j])
                 i, j = i[fit], j[fit]
                 same = (sketch[i] == sketch[j]).sum(axis=1)
                 fit = same >= SKETCH_LEAST
@@ -173,14 +206,28 @@ def _neighbours(percent: int, reach: int):
     return pairs
 
 
-def _crowded(forest: DataFrame, labels: DataFrame) -> DataFrame:
-    """The nodes of the regions (tree, whole signature) that lie in more than one component."""
+def _labelled(heads: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``node, label, n, sig``: every node with its component so far (itself at first)."""
+    if labels is None:
+        return heads.select("node", F.col("node").alias("label"), "n", "sig")
     found = labels.select("node", F.col("component").alias("_c"))
-    nodes = (forest.join(found, "node", "left").withColumn("label", F.coalesce("_c", "node")).drop("_c"))
-    regions = (nodes.groupBy("tree", "key").agg(F.count("*").alias("size"), F.min("label").alias("_lo"),
-                                                F.max("label").alias("_hi"))
-               .where("_lo != _hi").select("tree", "key", "size"))
-    return nodes.join(regions, ["tree", "key"])
+    return heads.join(found, "node", "left").select("node", F.coalesce("_c", "node").alias("label"), "n", "sig")
+
+
+def _crowded(heads: DataFrame, labels: DataFrame) -> DataFrame:
+    """The nodes of the regions (tree, whole signature) that lie in more than one component.
+
+    Regions are found on narrow rows; only their nodes get their sketches again.
+    """
+    nodes = handoff(_labelled(heads, labels), "labelled")
+    places = nodes.select("node", "label", "sig").mapInArrow(_regions, "tree int, key bigint, node bigint, label bigint")
+    regions = handoff(places.groupBy("tree", "key").agg(
+        F.count("*").alias("size"), F.min("label").alias("_lo"), F.max("label").alias("_hi"))
+        .where("_lo != _hi").select("tree", "key", "size"), "regions")
+    found = places.select("tree", "key", "node").join(regions, ["tree", "key"])
+    sketch = F.substring("sig", TREES * DEPTH + 1, SKETCH).alias("sketch")
+    return found.join(nodes.select("node", "label", "n", sketch), "node").select(
+        "tree", "key", "node", "label", "n", "sketch", "size")
 
 
 def _fitting(percent: int):
@@ -255,16 +302,6 @@ def _best(pairs: DataFrame, most: int) -> DataFrame:
     return pairs.withColumn("_place", place).where(F.col("_place") <= most).select("a", "b")
 
 
-def _still_open(pairs: DataFrame, done: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs not yet looked at whose nodes are in different components."""
-    def label(side: str) -> DataFrame:
-        return labels.select(F.col("node").alias(side), F.col("component").alias(f"{side}_label"))
-
-    return (pairs.join(done, ["a", "b"], "left_anti")
-            .join(label("a"), "a", "left").join(label("b"), "b", "left")
-            .where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b", "equal"))
-
-
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
@@ -281,12 +318,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     full = nodes.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = handoff(full.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")),
                       "classes")
-    heads = (full.join(classes, [full["digest"] == classes["digest"], F.col("doc_id") == F.col("node")])
-             .groupBy("node", "n_shingles", "sig").agg(F.lit(1)).select("node", "n_shingles", "sig"))
-    forest = heads.mapInArrow(_trees, "tree int, key bigint, node bigint, n bigint, sketch binary")
-    pairs = handoff(forest.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
-                    .mapInArrow(_neighbours(percent, NEIGHBOURS), "a bigint, b bigint, equal int")
-                    .groupBy("a", "b").agg(F.max("equal").alias("equal")), "candidates")
+    heads = handoff(full.join(classes, [full["digest"] == classes["digest"], F.col("doc_id") == F.col("node")])
+                    .groupBy("node", "n_shingles", "sig").agg(F.lit(1))
+                    .select("node", F.col("n_shingles").alias("n"), "sig"), "heads")
+
+    def candidates(labels: DataFrame | None, reach: int) -> DataFrame:
+        forest = _labelled(heads, labels).mapInArrow(
+            _trees, "tree int, key bigint, node bigint, label bigint, n bigint, sketch binary")
+        return (forest.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
+                .mapInArrow(_neighbours(percent, reach), "a bigint, b bigint, equal int")
+                .groupBy("a", "b").agg(F.max("equal").alias("equal")))
 
     def sets_of(pairs: DataFrame) -> DataFrame:
         wanted = handoff(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted")
@@ -295,35 +336,33 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         return handoff(docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
                        .mapInArrow(_sets(size), "node bigint, members binary").distinct(), "sets")
 
-    sets = sets_of(pairs)
     # the classes of one id with several texts hang together through their id
     several = (full.select("doc_id", F.xxhash64("digest").alias("h")).groupBy("doc_id")
                .agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least != most").select("doc_id"))
     links = (full.select("doc_id", "digest").join(several, "doc_id").join(classes, "digest")
              .select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
-    open_pairs, confirmed = pairs, []
-    for most in (*ROUNDS, None):
-        chosen = open_pairs if most is None else handoff(_best(open_pairs, most), "chosen")
-        confirmed.append(handoff(_confirmed(chosen, sets, percent), "confirmed"))
-        links = links.unionByName(confirmed[-1])
-        found = components(links)
+    tried, confirmed, found = None, [], None
+    for reach in (1, NEIGHBOURS):
+        chosen = candidates(found, reach)
+        chosen = handoff(_best(chosen, 1) if tried is None else chosen.join(tried, ["a", "b"], "left_anti")
+                         .select("a", "b"), "chosen")
+        confirmed.append(handoff(_confirmed(chosen, sets_of(chosen), percent), "confirmed"))
+        tried = chosen if tried is None else tried.unionByName(chosen)
+        if found is not None and confirmed[-1].isEmpty():
+            continue
+        found = components(links.unionByName(confirmed[-1]))
         # a link from each node to its component says all that the links so far did
         links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        if most is None:
-            break
-        open_pairs = handoff(_still_open(open_pairs, chosen, found), "open-pairs")
-        if open_pairs.isEmpty():
-            break
     # crowded regions: what the neighbours in sort order have not compared
     for hubs in (True, False):
-        crowded = handoff(_crowded(forest, found), "crowded")
+        crowded = handoff(_crowded(heads, found), "crowded")
         if crowded.isEmpty():
             break
         linked = confirmed[0]
         for more in confirmed[1:]:
             linked = linked.unionByName(more)
         more = handoff(_hub_pairs(crowded, linked, percent) if hubs else _region_pairs(crowded, percent), "more-pairs")
-        more = handoff(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "new-pairs")
+        more = handoff(more.join(tried, ["a", "b"], "left_anti"), "new-pairs")
         if more.isEmpty():
             continue
         confirmed.append(handoff(_confirmed(more, sets_of(more), percent), "confirmed"))

@@ -426,7 +426,9 @@ def test_near_duplicates_stage_keeps_each_text_of_an_id(spark):
         [(5, a, "s1"), (5, b, "s0"), (None, a, "s0"), (7, None, "s0"), (7, "", "s0"), (2, c + " more", "s0")], key=str)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [0, components.LOCAL_LINKS])
+def test_components(spark, monkeypatch, local):
+    monkeypatch.setattr(components, "LOCAL_LINKS", local)
     rng = np.random.default_rng(3)
     links = [(i, i + 1) for i in range(1, 60)] + [(100, x) for x in range(101, 160)] + [(5, 5)] + [
         (int(a), int(b)) for a, b in rng.integers(1000, 1200, (150, 2))]
