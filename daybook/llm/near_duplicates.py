@@ -17,11 +17,17 @@ MinHash signatures of eight bytes and a sketch of ``SKETCH`` further bytes.
   with the nodes: a group of thousands of near copies has become one component,
   and its pairs are skipped inside the sorted scan.
 * Crowded regions: where nodes that share a tree's whole signature are still in
-  different components, every node is compared with all of them: first with the
-  node of the region that has most links, then pair by pair in blocks of
-  ``BLOCK`` nodes a side.  So only the signatures limit what is found: a pair at
-  similarity 0.8 shares one of ``TREES`` whole signatures with a probability of
-  0.988, however many others do.
+  different components, the signature is extended.  First every node is
+  compared with the node of the region that has most links.  Then the region's
+  nodes are sorted again, in ``ORDERS`` orders, by eight further bytes each, and
+  the ``NEIGHBOURS`` on either side in another component are candidates: they
+  share the tree's signature and the longest prefix of the further bytes, so
+  the depth follows the region's crowding.  All of this grows with the nodes.
+  A pair at similarity 0.8 shares one of ``TREES`` whole signatures with a
+  probability of 0.988.  In a region whose members are near 0.7 to each other
+  a node meets a given partner at 0.8 or more with a probability that falls
+  from about 1 for thousands of members as the region grows; one link to the
+  partner's component is enough.
 * Components come from star steps (:mod:`daybook.llm.components`).
 """
 
@@ -43,7 +49,7 @@ DEPTH = 8                 # bytes of a tree's signature: a 64-bit sort key
 SKETCH = 64
 SKETCH_LEAST = 38         # of SKETCH equal bytes; at similarity 0.8 fewer come in one of 25,000 pairs
 NEIGHBOURS = 8
-BLOCK = 256               # nodes on either side of a block of pairs in a crowded region
+ORDERS = 4                # further sort orders of a crowded region, eight bytes each
 MAX_BROADCAST_IDS = 1_000_000
 #: Bytes of the words whose hashes a task remembers, 64 or so more for each of them.
 MAX_REMEMBERED = 4 << 20
@@ -173,25 +179,27 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  part.column(1)], names=["tree", "key", "node", "label"])
 
 
-def _neighbours(percent: int, reach: int):
+def _neighbours(percent: int, reach: int, regions: bool = False):
     """Candidate pairs among neighbours in sort order that are in different components,
-    with their equal sketch bytes."""
+    with their equal sketch bytes; ``regions``: of the same whole signature only."""
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for part in slices(batches, 20_000):
-            own = [*(part.column(i).to_numpy() for i in (0, 2, 3, 4)),
+            own = [*(part.column(i).to_numpy() for i in (0, 1, 2, 3, 4)),
                    np.frombuffer(b"".join(part.column(5).to_pylist()), np.uint8).reshape(part.num_rows, -1)]
             before = 0
             if last is not None:
                 before = len(last[0])
                 own = [np.concatenate(x) for x in zip(last, own)]
-            tree, node, label, n, sketch = own
+            tree, key, node, label, n, sketch = own
             a, b, equal = [], [], []
             for step in range(1, min(reach, len(node) - 1) + 1):
                 i = np.arange(max(0, before - step), len(node) - step)   # pairs that end in this slice
                 j = i + step
                 low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
                 fit = (tree[i] == tree[j]) & (100 * low >= percent * high) & (label[i] != label[j])
+                if regions:
+                    fit &= key[i] == key[j]
                 i, j = i[fit], j[fit]
                 same = (sketch[i] == sketch[j]).sum(axis=1)
                 fit = same >= SKETCH_LEAST
@@ -261,20 +269,30 @@ def _hub_pairs(crowded: DataFrame, links: DataFrame, percent: int) -> DataFrame:
         F.col("hub.sketch").alias("x"), F.col("sketch").alias("y")), percent)
 
 
-def _region_pairs(crowded: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a crowded region in different components, in blocks."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = crowded.withColumn("_own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
-        "_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("tree", "key", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"),
-                         "_own", "node", "label", "n", "sketch")
-    a, b = dealt.alias("p"), dealt.alias("q")
-    on = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("tree", "key", "_i", "_j")]
-    side = ((F.col("p._own") == F.col("p._i")) & (F.col("q._own") == F.col("q._j"))
-            & ((F.col("p._i") != F.col("p._j")) | (F.col("p.node") < F.col("q.node"))))
-    return _fit(a.join(b, on).where(side & (F.col("p.label") != F.col("q.label"))).select(
-        F.col("p.node").alias("a"), F.col("q.node").alias("b"), F.col("p.n").alias("n"), F.col("q.n").alias("m"),
-        F.col("p.sketch").alias("x"), F.col("q.sketch").alias("y")), percent)
+def _deeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes of crowded regions in each further order: region, order, its eight bytes."""
+    for part in slices(batches, 4096):
+        n = part.num_rows
+        sketch = np.frombuffer(b"".join(part.column(5).to_pylist()), np.uint8).reshape(n, -1)
+        keys = np.ascontiguousarray(sketch[:, :8 * ORDERS].reshape(n, ORDERS, 8)).view(">u8").reshape(n, ORDERS)
+        keys = (keys.astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+        tree = part.column(0).to_numpy()
+        for order in range(ORDERS):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tree * ORDERS + order, pa.int32()), part.column(1), part.column(2), part.column(3),
+                 part.column(4), part.column(5), pa.array(keys[:, order].copy())],
+                names=["tree", "key", "node", "label", "n", "sketch", "deeper"])
+
+
+def _deeper_pairs(crowded: DataFrame, percent: int) -> DataFrame:
+    """Candidates of crowded regions: neighbours by region and further bytes."""
+    rows = crowded.select("tree", "key", "node", "label", "n", "sketch").mapInArrow(
+        _deeper, "tree int, key bigint, node bigint, label bigint, n bigint, sketch binary, deeper bigint")
+    order = ["tree", "key", "deeper", "node"]
+    return (rows.repartitionByRange(*order).sortWithinPartitions(*order)
+            .select("tree", "key", "node", "label", "n", "sketch")
+            .mapInArrow(_neighbours(percent, NEIGHBOURS, regions=True), "a bigint, b bigint, equal int")
+            .groupBy("a", "b").agg(F.max("equal").alias("equal")))
 
 
 def _confirm(percent: int):
@@ -361,7 +379,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         linked = confirmed[0]
         for more in confirmed[1:]:
             linked = linked.unionByName(more)
-        more = handoff(_hub_pairs(crowded, linked, percent) if hubs else _region_pairs(crowded, percent), "more-pairs")
+        more = handoff(_hub_pairs(crowded, linked, percent) if hubs else _deeper_pairs(crowded, percent), "more-pairs")
         more = handoff(more.join(tried, ["a", "b"], "left_anti"), "new-pairs")
         if more.isEmpty():
             continue
