@@ -380,7 +380,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         for more in confirmed[1:]:
             linked = linked.unionByName(more)
         more = handoff(_hub_pairs(crowded, linked, percent) if hubs else _deeper_pairs(crowded, percent), "more-pairs")
-        more = handoff(more.join(tried, ["a", "b"], "left_anti"), "new-pairs")
         if more.isEmpty():
             continue
         confirmed.append(handoff(_confirmed(more, sets_of(more), percent), "confirmed"))
