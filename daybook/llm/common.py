@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,6 +22,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(at, rows)
 
 
+#: What drops the caches that a module keeps in a worker process between tasks.
+CACHES: list[Callable[[], None]] = []
+
+
+def forget() -> None:
+    """Drop what earlier stages left in this worker process: called where a task of
+    another kind begins, since workers are reused."""
+    for drop in CACHES:
+        drop()
+    pa.default_memory_pool().release_unused()
+
+
 def tasks_for(df: DataFrame) -> int:
     """Shuffle partitions of the session (the cluster's choice)."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import handoff, slices
+from daybook.llm.common import forget, handoff, slices
 from daybook.llm.components import components
 
 TREES = 24
@@ -120,6 +120,7 @@ def signature(values: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarra
 
 def _nodes(size: int):
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         mul, add = _constants(TREES * DEPTH + SKETCH)
         memory = Words()
         for part in slices(batches, 128):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import slices
+from daybook.llm.common import forget, slices
 
 BITS = 17
 DIM = 8
@@ -182,6 +182,7 @@ class Scorer:
 
 def _score(sent):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         scorer = Scorer(sent.value)
         for part in slices(batches):
             logits = np.array([scorer.logit(t) for t in part.column("text").to_pylist()])

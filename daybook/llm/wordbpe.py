@@ -15,6 +15,8 @@ import os
 import re
 from array import array
 
+from daybook.llm.common import CACHES
+
 #: The file's pre-token pattern, for characters below U+0250 only.
 LATIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 #: ASCII, the Latin-1 letters and Latin Extended-A: letters, digits and marks
@@ -101,3 +103,6 @@ def encoder(path: str) -> WordBpe:
     if path not in _ENCODERS:
         _ENCODERS[path] = WordBpe(path)
     return _ENCODERS[path]
+
+
+CACHES.append(_ENCODERS.clear)
