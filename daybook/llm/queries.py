@@ -119,7 +119,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _TERMS = (r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"""
           r""" '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')""")
 
+_EDGE = "([^a-z0-9]|^|$)"
+
 ORACLE: dict[str, str] = {
+    "op2_url_filters": f"""
+WITH u AS (SELECT row_number() OVER () AS r, page_id, url,
+                  CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+     h AS (SELECT r, page_id, translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+                  coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                     'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                  coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
+     rules(rule, rule_host, rule_path, action) AS (VALUES
+         ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+         ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+     patterns(pattern, words) AS (VALUES
+         ('^cheap-pills^', 'cheap-pills'), ('^pills^', 'pills'), ('^casino^', 'casino'), ('^poker^', 'poker'),
+         ('^viagra^', 'viagra'), ('^replica-watches^', 'replica-watches'), ('^payday-loans^', 'payday-loans'),
+         ('^free-download^', 'free-download'), ('^adult^', 'adult'), ('^xxx^', 'xxx'), ('^porn^', 'porn'),
+         ('^betting^', 'betting'), ('^click-here^', 'click-here'), ('^ads.*^banner^', 'ads[.](.|\n)*{_EDGE}banner'),
+         ('^affiliate^', 'affiliate'), ('^warez^', 'warez')),
+     s AS (SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action FROM h JOIN rules
+           ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY r),
+     b AS (SELECT r, arg_max(pattern, lpad(length(pattern)::VARCHAR, 4, '0') || pattern) AS pattern FROM h JOIN patterns
+           ON regexp_matches(low, '{_EDGE}' || words || '{_EDGE}') GROUP BY r)
+SELECT page_id, host, path, rule, pattern,
+       coalesce(action, CASE WHEN pattern IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM h LEFT JOIN s USING (r) LEFT JOIN b USING (r)""",
     "op12_lexical_search": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents WHERE text IS NOT NULL),
      n AS (SELECT count(*)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS total FROM d WHERE len(terms) > 0),

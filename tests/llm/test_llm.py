@@ -153,6 +153,24 @@ def test_urls(spark):
         assert r.verdict in ("allow", "block")
 
 
+@pytest.mark.parametrize("awkward", [False, True])
+def test_url_filters_against_sql(spark, tmp_path, awkward):
+    from daybook.llm.queries import ORACLE
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("page_id", "url")
+    if awkward:
+        urls = [None, "", "no scheme /pills", "http://", "HTTP://A.NET", "x://net/?q#f", "x://sub.Example.NET/en/a", "://org/fr/",
+                "x://notnet/", "x://example.com/de", "x://example.com/de/casino", "a poker b", "x://a.b/ads.\n.banner/c",
+                "x://h/" + "long/" * 40_000 + "betting", "x://é.org/fr/É?pills"]
+        pages = spark.createDataFrame([(i % 9, u) for i, u in enumerate(urls * 2)], "page_id bigint, url string")
+    folder = str(tmp_path / "pages.parquet")
+    pages.write.parquet(folder)
+    got = QUERIES["op2_url_filters"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{folder}/*.parquet'")
+    rows = con.sql(ORACLE["op2_url_filters"])
+    assert sorted(map(str, map(tuple, got.select(*rows.columns).collect()))) == sorted(map(str, rows.fetchall()))
+
+
 # --- secrets
 
 def der(tag, body):
@@ -572,6 +590,18 @@ def test_chains_are_the_best():
         assert got >= max(best.values()) - k                  # the tree ranks by sums; overlaps are charged after
 
 
+def test_fenwick_blocks_give_the_greatest_entry_in_reach():
+    rng = np.random.default_rng(8)
+    for _ in range(50):
+        reach, put = substring_duplicates.Reach(), []
+        for j in range(80):
+            y = int(rng.integers(0, 400))
+            near = [e for e, at in put if y - substring_duplicates.BLOCK <= at < y]
+            assert reach.before(y) == max(near, default=substring_duplicates.NONE)
+            put.append(((float(rng.integers(0, 9)), j), y))
+            reach.put(y, put[-1][0])
+
+
 def test_chains_of_passages_far_apart(spark):
     for apart in (70, 200, 1500):
         at = [*range(0, 300, 10), *range(300 + apart, 600 + apart, 10)]
@@ -745,3 +775,22 @@ def test_pipeline_stages(spark):
         before = n
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL)
     assert packed.where("piece = 0").count() == before
+
+
+def test_pipeline_keeps_columns_of_any_name(spark):
+    """Columns named as an operator names its own come through unchanged; empty tables give empty tables."""
+    import corpus_pipeline
+    names = ["score", "predicted", "held_out", "secrets", "topic", "n_tokens", "rate", "sampled", "copies", "chosen",
+             "_key", "row", "component_id", "kept_0", "a.b", "value"]
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    for n in names:
+        docs = docs.withColumn(n, F.concat(F.lit(n + " of "), F.col("doc_id").cast("string")))
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.handoff(stage(spark, docs, SF_SMALL), f"clash-{name}")
+        assert docs.columns == empty.columns, name
+        for r in docs.collect():
+            assert [r[n] for n in names] == [f"{n} of {r.doc_id}" for n in names], name
+        empty = corpus_pipeline.handoff(stage(spark, empty, SF_SMALL), f"empty-{name}")
+        assert empty.columns == docs.columns and empty.count() == 0, name
+    assert corpus_pipeline.STAGES[-1][1](spark, empty, SF_SMALL).count() == 0
