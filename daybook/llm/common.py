@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from daybook.sources.sinks import handoff  # noqa: F401 - written tables in the shared folder
 
@@ -34,6 +34,12 @@ def forget() -> None:
     pa.default_memory_pool().release_unused()
 
 
+def release(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of steps whose results are handed off: its
+    cleaner does so once the driver has collected the plans that nothing refers to."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def tasks_for(df: DataFrame) -> int:
     """Shuffle partitions of the session (the cluster's choice)."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

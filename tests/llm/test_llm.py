@@ -619,6 +619,64 @@ def test_chains_of_passages_far_apart(spark):
     assert sorted((r.match_start, r.match_end) for r in out) == [(0, 300), (501, 797)]  # past the last cut, 2 words
 
 
+def test_chains_of_parts_are_those_of_the_whole_pair():
+    rng = np.random.default_rng(14)
+    chains, least = substring_duplicates.chains, substring_duplicates.MIN_SEEDS
+    for reach in (100, 400, 1500):
+        x, y = rng.integers(0, reach, 60), rng.integers(0, reach, 60)
+        x, y = np.append(x, np.arange(0, 90, 4)), np.append(y, np.arange(0, 90, 4) + reach)
+        once = np.unique(np.stack([x, y], axis=1), axis=0)
+        x, y = once[:, 0], once[:, 1]
+
+        def found(x, y):
+            x, y = x.tolist(), y.tolist()
+            return [tuple((x[i], y[i]) for i in c) for c in chains(x, y) if len(c) >= least]
+        pair, px, py, part = substring_duplicates.parted(np.zeros(len(x), np.int64), x, y)
+        got = [c for p in np.unique(part) for c in found(px[part == p], py[part == p])]
+        assert sorted(got) == sorted(found(x, y)) and len(got) > 0
+    assert all(len(c) == 0 for c in substring_duplicates.parted(*[np.zeros(0, np.int64)] * 3))
+
+
+def test_seeds_are_the_runs_of_several_documents(spark, tmp_path):
+    rng = np.random.default_rng(15)
+    line = [f"w{x}" for x in rng.integers(0, 1000, 70)]
+    texts = {i: [f"w{x}" for x in rng.integers(0, 12, 80)] + (line if i % 3 == 0 else []) for i in range(12)}
+    texts[20] = ["again"] * 300
+    texts[21] = ["again"] * 120 + [f"u{i}" for i in range(40)]
+    texts[22] = [f"v{i}" for i in range(400)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id bigint, text string").repartition(3)
+    sliced = docs.mapInArrow(substring_duplicates._slice_rows, substring_duplicates.SLICE)
+    sliced.write.parquet(str(tmp_path / "slices"))
+    got = collections.Counter((r.doc_id, r.at, r.n) for r in substring_duplicates.seeds(
+        spark.read.parquet(str(tmp_path / "slices"))).collect())
+    for n in (4, 50):
+        runs, holders = {}, collections.defaultdict(set)
+        for i, w in texts.items():
+            seen = collections.Counter()
+            for at in range(len(w) - n + 1):
+                run = tuple(w[at:at + n])
+                keys = [(run, 0)] + ([(run, seen[run])] if seen[run] else [])
+                seen[run] += 1
+                runs[i, at] = keys
+                for key in keys:
+                    holders[key].add(i)
+        want = collections.Counter()
+        for (i, at), keys in runs.items():
+            want[i, at, n] += sum(len(holders[k]) > 1 for k in keys)
+        want = +want
+        mine = collections.Counter({k: v for k, v in got.items() if k[2] == n})
+        assert not want - mine                                # none is lost
+        assert n > 4 or sum((mine - want).values()) <= 3      # cut hashes may let one through by chance
+
+
+def test_equal_texts_repeat_the_first_one(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, text), (5, text), (9, text), (9, text), (9, None), (10, "short"), (11, "short"), (None, text)]
+    got = {(r.doc_id, r.match_doc_id, r.start, r.end, r.n_equal) for r in substring_duplicates.repeated_passages(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {(5, 3, 0, 60, 60), (9, 3, 0, 60, 60)}
+
+
 def test_passages_with_spread_edits(spark):
     rng = np.random.default_rng(12)
 
