@@ -121,6 +121,9 @@ _SLOT = StructType([StructField(f, IntegerType(), False) for f in ("start", "wid
 #: Between two cells and between two numbers of one cell, in the pattern of a row.
 _CELL, _BLANK = "|", " "
 MAX_PATTERNS = 64
+#: Digits and commas of a number that may not fit 64 bits.
+LONG_NUMBER = "[0-9,]{19}"
+REJECTED = "array<struct<measure:string,cell:int,text:string>>"
 
 
 def _regular_rows(lay: Layout) -> tuple[int, int, list[str]]:
@@ -230,7 +233,9 @@ def normalize_rows(rows: DataFrame, layouts: Sequence[Layout], measures: Sequenc
     drop = (F.col("_drop_end") > 0) & ((F.size(cells) < F.col("_drop_end"))
                                         | (F.instr(used, _NULL_MARK) > 0))
     joined = F.array_join(F.slice(cells, F.col("_first") + 1, F.col("_width")), _CELL, _NULL_MARK)
-    regular = F.array_contains("_patterns", F.translate("_joined", "0123456789,", ""))
+    # a number that may be beyond 64 bits is left to the other rows' way
+    regular = (F.array_contains("_patterns", F.translate("_joined", "0123456789,", ""))
+               & ~F.col("_joined").rlike(LONG_NUMBER))
     j = (j.where(~drop).withColumn("_joined", F.coalesce(joined, F.lit(_NULL_MARK)))
          .select("*", regular.alias("_regular")))
     read = j.select(*keep, region.alias("region"), "_slots", "_regular",
@@ -239,32 +244,28 @@ def normalize_rows(rows: DataFrame, layouts: Sequence[Layout], measures: Sequenc
                     *([cells.alias("_cells")] if rejected else []))
     read = read.withColumn("_numbers", F.when(F.col("_regular"), F.split("_numbers", _BLANK)))
 
-    measure_cols, names, at, overflow = [], [], 0, F.lit(0)
+    measure_cols, names, at = [], [], 0
     for m, n in zip(measures, n_slots):
         total = F.lit(0).cast("bigint")
         for k in range(at, at + n):
-            token = F.get("_numbers", F.col("_slots")[k]["flat"] - 1)
-            number = token.try_cast("bigint")
+            number = F.get("_numbers", F.col("_slots")[k]["flat"] - 1).try_cast("bigint")
             total = total + F.coalesce(F.when(F.col("_regular"), number).otherwise(F.col("_read")[k]["value"]),
                                        F.lit(0))
-            overflow = overflow + F.when(number.isNull() & (token != ""), 1).otherwise(0)
         measure_cols.append(total.alias(m))
         names += [m] * n
         at += n
-    # a regular row has no other reject than a number beyond 64 bits
-    marked = F.size(F.filter("_read", lambda r: r["bad"]))
-    rejects = F.when(F.col("_regular"), overflow).otherwise(marked)
+    # a regular row has no reject
+    rejects = F.when(F.col("_regular"), 0).otherwise(F.size(F.filter("_read", lambda r: r["bad"])))
     out = [*keep, "region", *measure_cols, rejects.cast("int").alias("rejects")]
     if rejected:
         named = F.array(*[F.lit(m) for m in names])
-        token = lambda slot: F.get("_numbers", slot["flat"] - 1)
-        bad = lambda slot, i: F.when(F.col("_regular"), token(slot).try_cast("bigint").isNull()
-                                     & (token(slot) != "")).otherwise(F.get("_read", i)["bad"])
-        found = F.transform("_slots", lambda slot, i: F.struct(
-            F.get(named, i).alias("measure"), slot["start"].alias("cell"),
-            F.when(bad(slot, i), F.array_join(F.slice("_cells", slot["start"] + 1, slot["width"]), " "))
+        # the values are read once a row: the slots beside them hold only what is cheap to repeat
+        found = F.transform(F.arrays_zip("_slots", "_read"), lambda z, i: F.struct(
+            F.get(named, i).alias("measure"), z["_slots"]["start"].alias("cell"),
+            F.when(z["_read"]["bad"], F.array_join(F.slice("_cells", z["_slots"]["start"] + 1, z["_slots"]["width"]), " "))
             .alias("text")))
-        out.append(F.filter(found, lambda x: x["text"].isNotNull()).alias("rejected"))
+        out.append(F.when(F.col("_regular"), F.array().cast(REJECTED)).otherwise(
+            F.filter(found, lambda x: x["text"].isNotNull())).alias("rejected"))
     return read.select(*out)
 
 

@@ -113,21 +113,17 @@ def reference_cells(spark: SparkSession, sf: str) -> DataFrame:
     doc = F.col("doc_index")
     c = F.col
     layout = position_case(doc, REFERENCE_DISPATCH, None)
-    fields = _fields()
-    names = list(fields)
-    groups = {lay: [[names.index(n) + 1 for n in cell.split()] for cell in text.split("|")]
-              for lay, text in PRINTED.items()}
-    specs = F.create_map(*[x for lay, cells in groups.items() for x in (
-        F.lit(lay), F.array(*[F.array(*[F.lit(i) for i in cell]) for cell in cells]))])
     empty_at = (F.when(doc.isin(12, 389) | ((doc < 328) & (doc % 5 == 0)), 2)     # an empty column comes in here
                 .when((doc >= 328) & (doc % 5 == 2), 3).otherwise(12))
     facts = _doc_facts()
-    values = F.array(*fields.values())
-    read = rows.select("doc_index", "row_index", "kind", values.alias("v"), F.try_element_at(specs, layout).alias("g"),
-                       empty_at.alias("empty_at"), F.when(facts["single"], 0).when(doc == 12, 2)
-                       .when(doc == 100, 3).otherwise(1).alias("table_index"))
-    body = F.transform("g", lambda g: F.when(F.size(g) == 1, F.element_at("v", g[0])).otherwise(
-        F.array_join(F.transform(g, lambda i: F.element_at("v", i)), " ")))
+    read = rows.select("doc_index", "row_index", "kind", *[f.alias(f"v_{n}") for n, f in _fields().items()],
+                       layout.alias("layout"), empty_at.alias("empty_at"), F.when(facts["single"], 0)
+                       .when(doc == 12, 2).when(doc == 100, 3).otherwise(1).alias("table_index"))
+    body = None                                               # one array of columns for each layout
+    for lay, text in PRINTED.items():
+        groups = [[c(f"v_{n}") for n in cell.split()] for cell in text.split("|")]
+        printed = F.array(*[g[0] if len(g) == 1 else F.concat_ws(" ", *g) for g in groups])
+        body = F.when(c("layout") == lay, printed) if body is None else body.when(c("layout") == lay, printed)
     cells = (F.when(c("kind") == "title", F.array_repeat(F.lit("title"), 12))
              .when(c("kind") == "header", F.array(F.lit("1st Dose")))
              .otherwise(F.array_insert(body, c("empty_at"), F.lit(None).cast("string"))))

@@ -11,7 +11,7 @@ from daybook.plans import stages
 from daybook.plans.report_rules import (REFERENCE_DISPATCH, REFERENCE_LAYOUTS, REFERENCE_MEASURES,
                                         REFERENCE_TRIM)
 from daybook.schemas import REPORT_CELLS
-from tests.conftest import rows
+from tests.conftest import SF_SMALL, rows
 
 M = REFERENCE_MEASURES
 
@@ -282,3 +282,11 @@ def test_cells_are_read_once(spark):
     out = normalize_reports(df, lay, [(cond, n) for cond, n in REFERENCE_DISPATCH if n != "L07"], REFERENCE_TRIM, M)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("cells:array<string>") == 1
+
+
+def test_rejected_cells_read_a_row_once(spark):
+    """The reading of a row's slots stays out of the expression over each slot."""
+    from daybook.plans.reference_reports import q58_rejected_cells
+    plan = q58_rejected_cells(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(" in plan
+    assert "END[lambda" not in plan and "get(CASE" not in plan
