@@ -741,7 +741,7 @@ def test_matches_link_every_two_holders(size, monkeypatch):
     want = collections.Counter()
     for seed, doc, at in rows:
         earlier = [10 * seed + d for d in range(doc - 10 * seed)]
-        want.update((doc, e, at, 2, 4) for e in (earlier if len(earlier) < 4 else [earlier[0], earlier[-1]]))
+        want.update((doc, e, at, 2, 4, e == 10 * seed) for e in (earlier if len(earlier) < 4 else [earlier[0], earlier[-1]]))
     assert got == want
 
 
