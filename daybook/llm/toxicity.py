@@ -20,7 +20,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,6 +48,8 @@ MAX_POSITIVE = 700
 MAX_NEGATIVE = 3300
 MAX_TRAIN_CHARS = 16_000
 MAX_WORDS = 600_000
+#: N-grams that a step of the training expands at once.
+PART_GRAMS = 1 << 18
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -82,46 +84,67 @@ def _passages(n: int) -> list[tuple[int, int]]:
     return [(s, s + WINDOW) for s in starts]
 
 
-def train(texts: list[str], labels: list[int], bits: int = BITS, dim: int = DIM,
+def _parts(first: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of words with about ``PART_GRAMS`` n-grams each, so that no step expands all of them at once."""
+    cuts = np.unique(np.searchsorted(first, np.arange(0, first[-1], PART_GRAMS))).tolist()
+    return list(zip(cuts, [*cuts[1:], len(first) - 1]))
+
+
+def _gathered(values: np.ndarray, flat: np.ndarray, first: np.ndarray, parts: list[tuple[int, int]]) -> np.ndarray:
+    """Sum of its n-grams' values for every word."""
+    return np.concatenate([np.add.reduceat(values[flat[first[a]:first[b]]], first[a:b] - first[a]) for a, b in parts])
+
+
+def _spread(values: np.ndarray, flat: np.ndarray, sizes: np.ndarray, first: np.ndarray,
+            parts: list[tuple[int, int]], buckets: int) -> np.ndarray:
+    """Sum of its words' values for every n-gram bucket."""
+    out = np.zeros(buckets)
+    for a, b in parts:
+        np.add.at(out, flat[first[a]:first[b]], np.repeat(values[a:b].astype(np.float64), sizes[a:b]))
+    return out
+
+
+def train(texts: Iterable[str], labels: list[int], bits: int = BITS, dim: int = DIM,
           epochs: int = EPOCHS) -> Model:
-    """Fit n-gram vectors and the softmax together; without both classes, a constant model."""
+    """Fit n-gram vectors and the softmax together; without both classes, a constant model.
+
+    ``texts`` are read once, in the order of ``labels``.
+    """
     rng = np.random.default_rng(SEED)
     y = np.asarray(labels, dtype=np.float64)
     if len(y) == 0 or y.min() == y.max():
         rate = (y.sum() + 1) / (len(y) + 2)
         return Model(np.zeros(1 << bits, np.float32), float(np.log(rate / (1 - rate))))
     vocab: dict[str, int] = {}
-    tokens, bounds, owner = array("I"), [], []
-    at = 0
+    tokens, lo, hi, owner = array("I"), array("q"), array("q"), array("I")  # compact: some millions of tokens and n-grams
     for doc, text in enumerate(texts):
-        ids = [vocab.setdefault(clean(w), len(vocab)) for w in words_of(text)]
-        for a, b in _passages(len(ids)):
+        at = len(tokens)
+        tokens.extend([vocab.setdefault(clean(w), len(vocab)) for w in words_of(text)])
+        for a, b in _passages(len(tokens) - at):
             if b > a:
-                bounds.append((at + a, at + b))
+                lo.append(at + a)
+                hi.append(at + b)
                 owner.append(doc)
-        tokens.extend(ids)
-        at += len(ids)
-    bags, sizes = array("I"), array("I")                     # compact: some millions of n-grams
+    bags, sizes = array("I"), array("I")
     for w in vocab:
         own = grams(w, bits)
         bags.extend(own)
         sizes.append(len(own))
-    flat = np.frombuffer(bags, np.uint32).astype(np.intp)
-    del bags
+    del vocab
+    flat, tokens, owner = (np.frombuffer(c, np.uint32) for c in (bags, tokens, owner))
+    lo, hi = (np.frombuffer(c, np.int64) for c in (lo, hi))
     sizes = np.frombuffer(sizes, np.uint32).astype(np.intp)
-    first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    tokens = np.frombuffer(tokens, np.uint32).astype(np.intp)
-    lo, hi = np.array(bounds, dtype=np.int64).T
-    owner = np.array(owner)
+    first = np.concatenate([[0], np.cumsum(sizes)])          # of each word's n-grams, and the end
+    parts = _parts(first)
     width = (hi - lo).astype(np.float64)
-    heads = np.flatnonzero(np.diff(owner, prepend=-1))
+    heads = np.flatnonzero(np.append(True, np.diff(owner) != 0))
     spread = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(owner))))
     target = y[owner[heads]]
     emb = rng.normal(0, 0.01, (1 << bits, dim))
     out = rng.choice([-1.0, 1.0], (dim, 1)) * np.array([[-SCALE, SCALE]])
     bias = np.array([0.0, np.log(target.mean() / (1 - target.mean()))])
     # frequent n-grams take smaller steps: their gradients are sums over many words
-    often = np.bincount(flat, np.repeat(np.bincount(tokens, minlength=len(sizes)), sizes), 1 << bits)
+    often = _spread(np.bincount(tokens, minlength=len(sizes)), flat, sizes, first, parts, 1 << bits)
     damp = 1 / np.sqrt(np.maximum(1.0, often / FREQUENT))
     params = [emb, out, bias]
     speed = [np.zeros_like(p) for p in params]
@@ -129,7 +152,7 @@ def train(texts: list[str], labels: list[int], bits: int = BITS, dim: int = DIM,
     # one number for each n-gram and word: its vector along the softmax's direction.
     for _ in range(epochs):
         along = out[:, 1] - out[:, 0]
-        word = np.add.reduceat((emb @ along)[flat], first) / sizes
+        word = _gathered(emb @ along, flat, first, parts) / sizes
         run = np.concatenate([[0.0], np.cumsum(word[tokens])])
         gap = (run[hi] - run[lo]) / width + bias[1] - bias[0]
         share = np.exp(gap - np.maximum.reduceat(gap, heads)[spread])
@@ -139,7 +162,7 @@ def train(texts: list[str], labels: list[int], bits: int = BITS, dim: int = DIM,
         d_gap = err[spread] * share / len(heads)
         edge = np.bincount(lo, d_gap / width, len(tokens) + 1) - np.bincount(hi, d_gap / width, len(tokens) + 1)
         d_word = np.bincount(tokens, np.cumsum(edge[:-1]), len(sizes)) / sizes
-        d_emb = np.bincount(flat, np.repeat(d_word, sizes), 1 << bits)
+        d_emb = _spread(d_word, flat, sizes, first, parts, 1 << bits)
         d_out = emb.T @ d_emb
         grads = [np.outer(d_emb * damp, along), np.stack([-d_out, d_out], axis=1), np.array([-1.0, 1.0]) * d_gap.sum()]
         for p, v, g, rate in zip(params, speed, grads, RATES):
@@ -213,8 +236,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     rows = (docs.select("doc_id", "text").where(F.length("text") <= max_chars)
             .join(F.broadcast(picked), "doc_id")  # at most max_positive + max_negative rows
             .groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
-            .orderBy("doc_id").collect())
-    return train([r.text for r in rows], [r.toxic for r in rows])
+            .orderBy(F.desc("doc_id")).collect())
+    labels = [r.toxic for r in reversed(rows)]
+    # by ascending id; a text is let go once it is read
+    return train((rows.pop().text for _ in labels), labels)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

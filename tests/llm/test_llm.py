@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import tracemalloc
 import zlib
 from pathlib import Path
 
@@ -362,6 +363,19 @@ def test_toxicity_learns_words_and_their_misspellings():
     assert scorer.word("horribl3") > max(scorer.word(w) for w in plain[:50])
 
 
+def test_toxicity_training_expands_its_ngrams_in_parts(monkeypatch):
+    texts = [" ".join(f"{i}word{j}longer{i * j}" for j in range(50)) for i in range(400)]
+    tracemalloc.start()
+    model = toxicity.train(iter(texts), [i % 2 for i in range(400)], bits=12, epochs=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    n_grams = sum(len(toxicity.grams(w)) for t in texts for w in t.split())
+    assert n_grams > 4 * toxicity.PART_GRAMS and peak < 16 * n_grams   # 4 bytes each and a part's numbers
+    monkeypatch.setattr(toxicity, "PART_GRAMS", 1000)
+    other = toxicity.train(texts, [i % 2 for i in range(400)], bits=12, epochs=2)
+    assert (other.weights == model.weights).all() and other.bias == model.bias
+
+
 def test_toxicity_awkward(spark, docs):
     model = toxicity.train([], [])
     rows = toxicity.score(docs, model).collect()
