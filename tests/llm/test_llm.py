@@ -515,6 +515,24 @@ def test_near_duplicates_around_one_base(spark):
     assert len(got) == 1001 and len({r.component_id for r in got}) <= 30    # 0.995 of the pairs share a signature
 
 
+def test_sketches_tell_similar_sets_from_less_similar_ones():
+    rng = np.random.default_rng(4)
+    mul, add = near_duplicates._constants(near_duplicates.HASHES)
+
+    def passing(both, own):
+        """Share of the pairs whose sketches fit, of sets with so many common members and so many of their own."""
+        sig = [[], []]
+        for _ in range(300):
+            members = rng.integers(0, 1 << 63, both + 2 * own).astype(np.uint64)
+            for side, part in zip(sig, (members[:both + own], np.append(members[:both], members[both + own:]))):
+                side.append(near_duplicates.signature(part, mul, add))
+        x, y = (near_duplicates._sketch(np.stack(side)) for side in sig)
+        assert x.shape == (300, 64)
+        return (near_duplicates._equal(x, y) >= near_duplicates.SKETCH_LEAST).mean()
+    assert passing(160, 20) == 1 and passing(180, 10) == 1    # similarities 0.8 and 0.9
+    assert passing(130, 35) < 0.3                             # 0.65: 38 whole bytes of 64 would let 0.9 of them through
+
+
 def test_near_duplicates_awkward(docs):
     got = near_duplicates.near_duplicates(docs, size=2).collect()
     assert len(got) == len(AWKWARD)
