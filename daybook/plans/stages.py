@@ -19,6 +19,7 @@ from daybook.functions import dates, numbers, text
 from daybook.operators import aggregates as agg
 from daybook.operators import fills, filters, joins
 from daybook.schemas import CASE_MEASURES, DOSE_MEASURES, POLLUTANTS
+from daybook.sources.sinks import handoff
 
 # --------------------------------------------------------------------------- fixed values
 # Fixed values of the reference's cleaning, in the order the reference applies them.
@@ -127,7 +128,13 @@ def clean_vaccination(rows: DataFrame, rules: CleaningRules = CleaningRules()) -
 
 
 def vaccination_by_region(rows: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    """Cleaned report rows summed per (day, region) (A1; merged names add up)."""
+    """Cleaned report rows summed per (day, region) (A1; merged names add up).
+
+    The rows are written first: the drops of the cleaning would otherwise move
+    into the reading of the report cells, which then runs once for each of them.
+    """
+    used = {"day", "region", "dose_1", *rules.measures}
+    rows = handoff(rows.select(*[c for c in rows.columns if c in used]), "report-rows")
     cleaned = clean_vaccination(rows, rules)
     return agg.group_sum(cleaned, ["day", "region"], list(rules.measures))
 

@@ -290,3 +290,10 @@ def test_rejected_cells_read_a_row_once(spark):
     plan = q58_rejected_cells(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "transform(" in plan
     assert "END[lambda" not in plan and "get(CASE" not in plan
+
+
+def test_cleaning_reads_a_row_once(spark):
+    """The cells are read before the cleaning, so none of its conditions holds the reading."""
+    from daybook.plans.reference_reports import q39_reference_vaccination
+    plan = q39_reference_vaccination(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan and "transform(" not in plan and "_slots" not in plan
