@@ -280,17 +280,14 @@ def position_case(col: Column, rules: Sequence[tuple], default=None) -> Column:
     """
     out = None
     for cond, value in rules:
-        test = None
-        for alt in cond:
-            if isinstance(alt, tuple):
-                lo, hi = alt
-                t = F.lit(True)
-                if lo is not None:
-                    t = t & (col >= lo)
-                if hi is not None:
-                    t = t & (col <= hi)
-            else:
-                t = col == alt
+        same = [alt for alt in cond if not isinstance(alt, tuple)]
+        test = col.isin(*same) if same else None          # one test for all: the generated code stays small
+        for lo, hi in (alt for alt in cond if isinstance(alt, tuple)):
+            t = F.lit(True)
+            if lo is not None:
+                t = t & (col >= lo)
+            if hi is not None:
+                t = t & (col <= hi)
             test = t if test is None else (test | t)
         out = F.when(test, F.lit(value)) if out is None else out.when(test, F.lit(value))
     if out is None:
@@ -419,8 +416,9 @@ def document_bodies(cells: DataFrame, trim: TrimRules, doc_col: str = "doc_index
     stats = small_derived_side(stats, max_docs)
     body = (cells.drop(FILLED, ANCHORED).join(stats, [doc_col, "table_index"])
             .where(F.col("row_index") >= F.col("_start_raw")))
+    there = F.filter("_keep", lambda i: i < F.size("cells"))
     kept = F.when(F.col("_keep").isNull(), F.col("cells")).otherwise(
-        F.filter("cells", lambda x, i: F.array_contains(F.col("_keep"), i)))
+        F.when(F.col("cells").isNotNull(), F.transform(there, lambda i: F.get("cells", i))))
     return (body.withColumn("cells", kept)
             .withColumn("rel_row", F.col("row_index") - F.col("_start_raw"))
             .drop("_start_raw", "_keep"))

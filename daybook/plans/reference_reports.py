@@ -119,14 +119,19 @@ def reference_cells(spark: SparkSession, sf: str) -> DataFrame:
     read = rows.select("doc_index", "row_index", "kind", *[f.alias(f"v_{n}") for n, f in _fields().items()],
                        layout.alias("layout"), empty_at.alias("empty_at"), F.when(facts["single"], 0)
                        .when(doc == 12, 2).when(doc == 100, 3).otherwise(1).alias("table_index"))
-    body = None                                               # one array of columns for each layout
-    for lay, text in PRINTED.items():
-        groups = [[c(f"v_{n}") for n in cell.split()] for cell in text.split("|")]
-        printed = F.array(*[g[0] if len(g) == 1 else F.concat_ws(" ", *g) for g in groups])
-        body = F.when(c("layout") == lay, printed) if body is None else body.when(c("layout") == lay, printed)
+    # the layouts are data: were each one's cells an expression of its own, the generated method would be
+    # too long for the JVM to compile
+    fields = list(_fields())
+    places = F.create_map(*[x for lay, text in PRINTED.items() for x in (F.lit(lay), F.array(*[
+        F.array(*[F.lit(fields.index(n)) for n in cell.split()]) for cell in text.split("|")]))])
+
+    def printed(values):
+        return F.transform(places[c("layout")], lambda cell: F.when(F.size(cell) == 1, F.get(values, cell[0])).otherwise(
+            F.array_join(F.transform(cell, lambda i: F.get(values, i)), " ")))
+    body = F.transform(F.array(F.array(*[c(f"v_{n}") for n in fields])), printed)[0]
     cells = (F.when(c("kind") == "title", F.array_repeat(F.lit("title"), 12))
              .when(c("kind") == "header", F.array(F.lit("1st Dose")))
-             .otherwise(F.array_insert(body, c("empty_at"), F.lit(None).cast("string"))))
+             .when(c("layout").isNotNull(), F.array_insert(body, c("empty_at"), F.lit(None).cast("string"))))
     found = read.select("doc_index", "table_index", "row_index", cells.alias("cells"))
     other = (lines.where(~facts["single"]).select("doc_index").distinct()
              .select("doc_index", F.lit(0).alias("table_index"), F.lit(50).cast("bigint").alias("row_index"),

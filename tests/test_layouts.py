@@ -1,12 +1,13 @@
 """Report-layout normalization with the reference's rules, on hand-made documents."""
 
 import datetime as dt
+import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from daybook.operators.layouts import Layout, TrimRules, normalize_reports, normalize_rows
+from daybook.operators.layouts import Layout, TrimRules, normalize_reports, normalize_rows, position_case
 from daybook.plans import stages
 from daybook.plans.report_rules import (REFERENCE_DISPATCH, REFERENCE_LAYOUTS, REFERENCE_MEASURES,
                                         REFERENCE_TRIM)
@@ -297,3 +298,24 @@ def test_cleaning_reads_a_row_once(spark):
     from daybook.plans.reference_reports import q39_reference_vaccination
     plan = q39_reference_vaccination(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" in plan and "transform(" not in plan and "_slots" not in plan
+
+
+def test_printing_is_short_enough_to_compile(spark, capsys):
+    """The JVM never compiles a method of more than 8000 bytes."""
+    from daybook.plans.reference_reports import reference_cells
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", False)       # its plans show no generated code
+    try:
+        reference_cells(spark, SF_SMALL).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000
+
+
+def test_position_case_with_several_alternatives(spark):
+    rules = [((3, (5, 6), 9), "a"), ((4, (None, 1)), "b"), (((9, None), 2, 3), "c")]
+    df = spark.createDataFrame([(v,) for v in (None, *range(12))], "v int")
+    got = dict(rows(df.select("v", position_case(F.col("v"), rules, "none").alias("x"))))
+    assert got == {None: "none", 0: "b", 1: "b", 2: "c", 3: "a", 4: "b", 5: "a", 6: "a", 7: "none", 8: "none",
+                   9: "a", 10: "c", 11: "c"}
