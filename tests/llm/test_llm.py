@@ -790,6 +790,35 @@ def naive_quality(text):
             n < 10 or 100 * rep > 20 * n)
 
 
+
+def test_packed_matches(monkeypatch):
+    """Matches packed by bucket come back whole, a pair in one bucket, in a fraction of their width."""
+    rng = np.random.default_rng(3)
+    n = 20_000
+    columns = [rng.integers(0, 9, n), rng.integers(-2 ** 62, 2 ** 62, 40)[rng.integers(0, 40, n)],
+               rng.integers(0, 2 ** 31 - 1, n), rng.integers(0, 900, n), rng.choice([4, 16, 50], n), rng.random(n) < .5]
+    columns[0][:100] = 2 ** 63 - 1
+    columns[0][100:200] = -2 ** 63
+    whole = pa.RecordBatch.from_arrays([pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(
+        columns, substring_duplicates.MATCH_ARROW.types)], schema=substring_duplicates.MATCH_ARROW)
+    monkeypatch.setattr(substring_duplicates, "_match_rows", lambda batches: batches)
+    monkeypatch.setattr(substring_duplicates, "BLOCK_MATCHES", 7000)
+    blocks = list(substring_duplicates._block_rows(5)(whole.slice(at, 3000) for at in range(0, n, 3000)))
+    back = pa.Table.from_batches(substring_duplicates._unblocked_rows(iter(blocks)))
+    assert collections.Counter(map(tuple, zip(*back.to_pydict().values()))) == collections.Counter(
+        map(tuple, zip(*whole.to_pydict().values())))
+    of = collections.defaultdict(set)
+    for b in blocks:
+        for r in substring_duplicates._unblocked_rows([b]):
+            for pair in zip(r.column("doc_id").to_pylist(), r.column("first_id").to_pylist()):
+                of[pair].add(b.column("bucket")[0].as_py())
+    assert all(len(x) == 1 and 0 <= min(x) < 5 for x in of.values()) and len(set().union(*of.values())) == 5
+    assert not list(substring_duplicates._block_rows(5)(iter([])))
+    narrow = whole.set_column(2, "at", pa.array(rng.integers(0, 900, n).astype(np.int32)))
+    size = sum(b.nbytes for b in substring_duplicates._block_rows(1)(iter([narrow])))
+    assert size < 9 * n                                       # 29 bytes a match unpacked
+
+
 def test_quality(spark, docs, texts):
     import xxhash
     rows = result(spark, "op9_quality_rules")
