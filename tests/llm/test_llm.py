@@ -670,6 +670,84 @@ def test_chains_of_parts_are_those_of_the_whole_pair():
     assert all(len(c) == 0 for c in substring_duplicates.parted(*[np.zeros(0, np.int64)] * 3))
 
 
+@pytest.mark.parametrize("columns", [0, 4096])
+def test_chains_of_many_parts_at_once(columns, monkeypatch):
+    """Match by match, x by x or by trees: the same chains, also in texts that repeat themselves."""
+    monkeypatch.setattr(substring_duplicates, "MAX_COLUMNS", columns)
+    rng = np.random.default_rng(16)
+    parts = [np.argwhere(np.ones((70, 45), bool)) + 5, np.argwhere((np.add.outer(np.arange(300), np.arange(90)) % 13) == 0),
+             np.stack([np.arange(0, 900, 4)] * 2, axis=1) + [0, 70]]
+    parts += [np.argwhere(rng.random((int(rng.integers(9, 150)), int(rng.integers(9, 150)))) < share)
+              for share in (.01, .05, .3) for _ in range(8)]
+    parts = [p for p in parts if len(p) >= substring_duplicates.MIN_SEEDS]
+    x, y = np.concatenate(parts).T
+    part = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    order, start = substring_duplicates.part_chains(x, y, part)
+    got = sorted(c.tolist() for c in np.split(order, start[1:]))
+    want, at = [], 0
+    for p in parts:
+        want += [[at + i for i in c] for c in substring_duplicates.chains(p[:, 0].tolist(), p[:, 1].tolist())
+                 if len(c) >= substring_duplicates.MIN_SEEDS]
+        at += len(p)
+    assert got == sorted(want) and len(got) > 100
+    assert all(len(c) == 0 for c in substring_duplicates.part_chains(*[np.zeros(0, np.int64)] * 3))
+
+
+def test_equal_words_between_seeds():
+    rng = np.random.default_rng(17)
+    k, gap = substring_duplicates.K, substring_duplicates.MAX_GAP
+    a, b = (rng.integers(0, 4, 3000).astype(np.uint32) for _ in range(2))
+
+    def common(v, w):
+        rows = [[0] * (len(w) + 1)]
+        for p in v:
+            rows.append([0])
+            for i, q in enumerate(w):
+                rows[-1].append(max(rows[-1][i], rows[-2][i + 1], rows[-2][i] + (p == q)))
+        return rows[-1][-1]
+    xs, ys, start, want = [], [], [], []
+    for i in range(150):
+        n = int(rng.integers(1, 7))
+        x = int(rng.integers(0, 2000)) + np.cumsum(rng.integers(1, gap + k + 1, n))
+        y = x - x[0] + 40 if i % 3 == 0 else int(rng.integers(0, 2000)) + np.cumsum(rng.integers(1, gap + k + 1, n))
+        equal = k
+        for dx, dy, px, py in zip(np.diff(x), np.diff(y), x, y):
+            if min(dx, dy) < k:
+                equal += min(dx, dy)
+            elif dx == dy:
+                equal += int((a[px + k:px + dx] == b[py + k:py + dy]).sum()) + k
+            else:
+                equal += common(a[px + k:px + dx].tolist(), b[py + k:py + dy].tolist()) + k
+        want.append(equal)
+        start.append(len(xs))
+        xs += x.tolist()
+        ys += y.tolist()
+    assert substring_duplicates._inner(a, b, np.array(xs), np.array(ys), np.array(start)).tolist() == want
+
+
+def test_packed_seeds_of_a_bucket_come_sorted(monkeypatch):
+    """However common a seed is, no more than a share of a bucket is unpacked and sorted at a time."""
+    monkeypatch.setattr(substring_duplicates, "SEED_ROWS", 500)
+    monkeypatch.setattr(substring_duplicates, "SEED_SAMPLE", 10)
+    rng = np.random.default_rng(18)
+    blocks, rows = [], []
+    for i in range(12):
+        seed = np.sort(rng.choice(np.array([7, 2 ** 63 - 1, -3, -2 ** 63, 12]).view(np.uint64), 400, p=[.8, .05, .05, .05, .05]))
+        columns = [seed, rng.integers(-2 ** 40, 2 ** 40, 400), rng.integers(0, 9000, 400), rng.choice([4, 16, 50], 400)]
+        rows += zip(seed.tolist(), *(c.tolist() for c in columns[1:]))
+        columns[0] = np.diff(seed, prepend=np.uint64(0))
+        blocks.append(pa.RecordBatch.from_pylist([{"bucket": 3 + i // 9, "size": 400, **dict(zip(
+            substring_duplicates.SEED_ARROW.names, map(substring_duplicates._packed, columns)))}],
+            substring_duplicates.SEED_BLOCK_ARROW))
+    out = list(substring_duplicates._sorted_seeds(iter(blocks)))
+    got = [(s % 2 ** 64, *r) for b in out for s, *r in zip(*b.to_pydict().values())]
+    cut = 9 * 400
+    key = lambda r: r[:3]
+    assert [r[:3] for r in got] == [r[:3] for part in (rows[:cut], rows[cut:]) for r in sorted(part, key=key)]
+    assert collections.Counter(got) == collections.Counter(rows)
+    assert max(b.num_rows for b in out) < 1000 and len(out) > 6
+
+
 def test_seeds_are_the_runs_of_several_documents(spark, tmp_path):
     rng = np.random.default_rng(15)
     line = [f"w{x}" for x in rng.integers(0, 1000, 70)]
