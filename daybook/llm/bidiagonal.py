@@ -259,6 +259,10 @@ def _vectors(diagonal: np.ndarray, superdiagonal: np.ndarray, values: np.ndarray
                         z = z - (v @ z) * v
                 z /= math.sqrt(float(z @ z)) or 1.0
         z = z / (math.sqrt(float(z @ z)) or 1.0)
+        astray = [v for v in out if abs(float(v @ z)) > 1000 * EPS]
+        for v in astray:                    # a start that near vectors nearly spanned leaves rounding errors
+            z = z - (v @ z) * v
+        z = z / (math.sqrt(float(z @ z)) or 1.0) if astray else z
         out.append(z)
     return np.array(out)
 
